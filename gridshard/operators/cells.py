@@ -72,17 +72,12 @@ def neighbor_sums(counts: DataFrame) -> DataFrame:
     Each cell adds its count to its neighbours, itself included; a cell that got
     no count from itself is empty and drops out, so no join is needed.
     """
-    steps = (-1, 0, 1)
-    shifts = [
-        F.struct(*[F.lit(v).alias(name) for v, name in zip((i, j, k), ("_dx", "_dy", "_dz"))])
-        for i in steps
-        for j in steps
-        for k in steps
-    ]
     own = (F.col("_dx") == 0) & (F.col("_dy") == 0) & (F.col("_dz") == 0)
+    shifted = counts.select(*CELL, "n")
+    for c in CELL:
+        shifted = shifted.select("*", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias(f"_d{c}"))
     return (
-        counts.select(*CELL, "n", F.inline(F.array(*shifts)))
-        .groupBy(*[(F.col(c) + F.col(f"_d{c}")).alias(c) for c in CELL])
+        shifted.groupBy(*[(F.col(c) + F.col(f"_d{c}")).alias(c) for c in CELL])
         .agg(
             F.sum("n").alias("neighbor_sum"),
             F.sum(F.when(own, F.col("n"))).alias("n"),

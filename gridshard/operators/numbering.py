@@ -14,12 +14,14 @@ split, are counted instead, numbered as one and expanded again.
 
 from __future__ import annotations
 
+import json
 from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridshard.functions.parsing import parsed_once
 from gridshard.operators.skew import SAMPLES_PER_PARTITION, bounded_sample, shuffle_partitions
 
 # Buckets per shuffle partition even out what hashing buckets to partitions leaves uneven.
@@ -80,18 +82,13 @@ def _tag(df: DataFrame, order_by: list[str], bounds: list[tuple[tuple, int]]) ->
     """``df`` with ``_bucket`` (odd for the rows equal to a repeated bound) and ``_sub``."""
     if not bounds:
         return df.withColumns({"_bucket": F.lit(0), "_sub": F.lit(0)})
-    types = {c: df.schema[c].dataType for c in order_by}
-    literals = F.array(
-        *[
-            F.struct(*[F.lit(v).cast(types[c]).alias(c) for v, c in zip(key, order_by)])
-            for key, _ in bounds
-        ]
-    )
+    literals = _literal(bounds, df, order_by)
     key = F.struct(*[F.col(c) for c in order_by])
-    below = _bounds_below(key, literals, len(bounds))
-    tagged = df.withColumn("_below", below)
+    # Never null, or the joins to come would add a filter that looks the bucket up again.
+    below = F.coalesce(_bounds_below(key, literals, len(bounds)), F.lit(0))
     if all(times == 1 for _, times in bounds):
-        return tagged.withColumns({"_bucket": F.col("_below") * 2, "_sub": F.lit(0)}).drop("_below")
+        return df.withColumns({"_bucket": below * 2, "_sub": F.lit(0)})
+    tagged = parsed_once(df, df.columns, {"_below": below})
     times = F.get(F.array(*[F.lit(t) for _, t in bounds]), F.col("_below"))
     own = (times > 1) & (F.get(literals, F.col("_below")) == key)
     # As many parts as the value has bounds, and one more for its ragged ends.
@@ -100,6 +97,14 @@ def _tag(df: DataFrame, order_by: list[str], bounds: list[tuple[tuple, int]]) ->
     return tagged.withColumns({"_bucket": bucket, "_sub": sub}).drop("_below")
 
 
+def _literal(bounds: list[tuple[tuple, int]], df: DataFrame, order_by: list[str]) -> Column:
+    """The bounds as one constant array of structs, typed as the order columns."""
+    texts = json.dumps([dict(zip(map(str, range(len(key))), key)) for key, _ in bounds])
+    as_text = T.StructType([T.StructField(str(i), T.StringType()) for i in range(len(order_by))])
+    typed = T.StructType([T.StructField(c, df.schema[c].dataType) for c in order_by])
+    return F.from_json(F.lit(texts), T.ArrayType(as_text)).cast(T.ArrayType(typed))
+
+
 def _bounds_below(key: Column, bounds: Column, size: int) -> Column:
     """Number of bounds below ``key``, by halving steps over the sorted bounds."""
     steps = [1 << i for i in reversed(range(size.bit_length()))]

@@ -11,47 +11,43 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridshard.functions.parsing import coordinate, strip_parens, timestamp_of
-
-
-def _strings(n: int) -> str:
-    return ", ".join(f"_c{i} string" for i in range(n))
+from gridshard.functions.parsing import coordinate, parsed_once, strip_parens, timestamp_of
 
 
 def scan_points(spark: SparkSession, path: str) -> DataFrame:
     """``point`` text ``"x,y"`` in the first tab separated field, as ``point, x, y``."""
-    text = F.col("_c0")
-    return (
-        spark.read.schema(_strings(1)).option("sep", "\t").csv(path)
-        .select(text.alias("point"), coordinate(text, 0).alias("x"), coordinate(text, 1).alias("y"))
-    )
+    text = F.col("point")
+    lines = spark.read.schema("point string").option("sep", "\t").csv(path)
+    return parsed_once(lines, ["point"], {"x": coordinate(text, 0), "y": coordinate(text, 1)})
 
 
 def scan_rectangles(spark: SparkSession, path: str) -> DataFrame:
     """``rectangle`` text ``"x1,y1,x2,y2"`` in the first tab separated field, with its four numbers."""
-    text = F.col("_c0")
-    corners = [coordinate(text, i).alias(c) for i, c in enumerate(("x1", "y1", "x2", "y2"))]
-    return (
-        spark.read.schema(_strings(1)).option("sep", "\t").csv(path)
-        .select(text.alias("rectangle"), *corners)
-    )
+    text = F.col("rectangle")
+    lines = spark.read.schema("rectangle string").option("sep", "\t").csv(path)
+    corners = {name: coordinate(text, i) for i, name in enumerate(("x1", "y1", "x2", "y2"))}
+    return parsed_once(lines, ["rectangle"], corners)
+
+
+def _trip_fields(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(", ".join(f"_c{i} string" for i in range(6))).option("sep", ";").csv(path)
 
 
 def scan_trips(spark: SparkSession, path: str) -> DataFrame:
     """Trips from ``;`` separated text: field 1 is the pickup time, field 5 ``"(lon,lat)"``.
 
-    Gives ``time, point, lon, lat``, with the parentheses gone from ``point``.
+    Gives ``time, lon, lat``.
     """
     point = strip_parens(F.col("_c5"))
-    return (
-        spark.read.schema(_strings(6)).option("sep", ";").csv(path)
-        .select(
-            timestamp_of(F.col("_c1")).alias("time"),
-            point.alias("point"),
-            coordinate(point, 0).alias("lon"),
-            coordinate(point, 1).alias("lat"),
-        )
-    )
+    parsed = {"time": timestamp_of(F.col("_c1")), "lon": coordinate(point, 0), "lat": coordinate(point, 1)}
+    return parsed_once(_trip_fields(spark, path), [], parsed)
+
+
+def scan_pickups(spark: SparkSession, path: str) -> DataFrame:
+    """Pickup places of a trips file: the ``point`` text without parentheses, and ``lon, lat``."""
+    pickups = parsed_once(_trip_fields(spark, path), [], {"point": strip_parens(F.col("_c5"))})
+    text = F.col("point")
+    return parsed_once(pickups, ["point"], {"lon": coordinate(text, 0), "lat": coordinate(text, 1)})
 
 
 def scan_ratings(spark: SparkSession, path: str) -> DataFrame:

@@ -1,0 +1,256 @@
+import itertools
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridshard.operators import box_join, skew, spatial
+
+
+def rects_of(spark, rows):
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "rid int, x1 double, y1 double, x2 double, y2 double")
+
+
+def points_of(spark, rows):
+    return spark.createDataFrame([(i, *p) for i, p in enumerate(rows)], "pid int, x double, y double")
+
+
+def area(ax, ay, bx, by, cx, cy):
+    return abs((ax * (by - cy) + bx * (cy - ay) + cx * (ay - by)) / 2.0)
+
+
+def by_area(x, y, x1, y1, x2, y2):
+    rect = area(x1, y2, x2, y2, x2, y1) + area(x1, y2, x1, y1, x2, y1)
+    fan = (
+        area(x, y, x1, y2, x2, y2)
+        + area(x, y, x2, y2, x2, y1)
+        + area(x, y, x2, y1, x1, y1)
+        + area(x, y, x1, y1, x1, y2)
+    )
+    return fan - rect <= 1e-10
+
+
+def by_coordinates(x, y, x1, y1, x2, y2):
+    return min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2)
+
+
+def inside(spark, point, rect, mode="exact"):
+    return spatial.range_select(points_of(spark, [point]), rect, mode).count() == 1
+
+
+@pytest.mark.parametrize("mode", ["exact", "compat"])
+@pytest.mark.parametrize("rect", [(0, 0, 2, 2), (2, 2, 0, 0), (0, 2, 2, 0)])
+def test_rectangle_edges_and_corners(spark, mode, rect):
+    points = points_of(spark, [(1.0, 1.0), (2.0, 1.0), (2.0, 2.0), (0.0, 0.0), (3.0, 1.0), (1.0, -0.1)])
+    assert sorted(r.pid for r in spatial.range_select(points, rect, mode).collect()) == [0, 1, 2, 3]
+
+
+def test_compat_accepts_off_degenerate_rectangles(spark):
+    assert inside(spark, (99.0, 5.0), (0, 5, 2, 5), "compat")
+    assert inside(spark, (5.0, 99.0), (5, 0, 5, 2), "compat")
+    assert inside(spark, (99.0, 99.0), (5, 5, 5, 5), "compat")
+    assert not inside(spark, (99.0, 5.0), (0, 5, 2, 5))
+    assert inside(spark, (2 + 1e-11, 1.0), (0, 0, 2, 2), "compat")
+    assert not inside(spark, (2 + 1e-9, 1.0), (0, 0, 2, 2), "compat")
+    assert not inside(spark, (2 + 1e-11, 1.0), (0, 0, 2, 2))
+
+
+def test_unknown_mode_and_strategy(spark):
+    points, rects = points_of(spark, [(0.0, 0.0)]), rects_of(spark, [(0.0, 0.0, 1.0, 1.0)])
+    with pytest.raises(ValueError):
+        spatial.range_select(points, (0, 0, 1, 1), "fuzzy")
+    with pytest.raises(ValueError):
+        spatial.range_join(points, rects, strategy="guess")
+
+
+def test_range_join_rejects_shared_names(spark):
+    rects = rects_of(spark, [(0.0, 0.0, 1.0, 1.0)]).withColumnRenamed("rid", "pid")
+    with pytest.raises(ValueError):
+        spatial.range_join(points_of(spark, [(0.0, 0.0)]), rects)
+
+
+def odd_rectangles(rng):
+    """All sizes from points to everything, thin ones, swapped corners, shared edges, copies."""
+    rows = []
+    for _ in range(60):
+        x, y = rng.uniform(-100, 100), rng.uniform(-100, 100)
+        w, h = (rng.choice([0.0, 1e-14, 1e-9, 1e-3, 0.5, 4.0, 64.0, 300.0]) for _ in range(2))
+        rows.append((x, y, x + w, y + h))
+        rows.append((x + w, y, x, y - h))
+    for i in range(-4, 4):
+        rows.append((float(i), float(i), float(i + 1), float(i + 2)))
+    return rows + rows[:10]
+
+
+def odd_points(rng, rects):
+    rows = [(rng.uniform(-110, 110), rng.uniform(-110, 110)) for _ in range(300)]
+    for x1, y1, x2, y2 in rects:
+        rows += [(x1, y1), (x2, y1), ((x1 + x2) / 2, y2), (x1 + 1e-12, y2 - 1e-12)]
+    return rows + [(float(i), float(j)) for i in range(-3, 4) for j in range(-3, 4)]
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+@pytest.mark.parametrize("mode,test", [("exact", by_coordinates), ("compat", by_area)])
+def test_range_join_equals_nested_loop(spark, mode, test, strategy):
+    rng = random.Random(5)
+    rects = odd_rectangles(rng)
+    points = odd_points(rng, rects)
+    expected = sorted(
+        (r, p) for (r, rect), (p, pt) in itertools.product(enumerate(rects), enumerate(points)) if test(*pt, *rect)
+    )
+    joined = spatial.range_join(points_of(spark, points), rects_of(spark, rects), mode, strategy)
+    assert joined.columns == ["rid", "x1", "y1", "x2", "y2", "pid", "x", "y"]
+    assert sorted((r.rid, r.pid) for r in joined.collect()) == expected
+    count = spatial.range_join_count(points_of(spark, points), rects_of(spark, rects), mode, strategy)
+    assert count.first().n == len(expected)
+
+
+def test_range_join_at_projected_coordinates(spark):
+    """Metre coordinates, where the rounding of the area test is far above its tolerance."""
+    rng = random.Random(6)
+    rects = []
+    for _ in range(40):
+        x, y = rng.uniform(3e5, 8e5), rng.uniform(4e6, 5e6)
+        rects.append((x, y, x + rng.choice([1.0, 1e3, 1e5]), y + rng.choice([1e-6, 1.0, 1e4])))
+    points = [
+        (x1 + (x2 - x1) * rng.uniform(-0.01, 1.01), y1 + (y2 - y1) * rng.uniform(-0.01, 1.01))
+        for x1, y1, x2, y2 in rects
+        for _ in range(40)
+    ]
+    for mode, test in (("exact", by_coordinates), ("compat", by_area)):
+        expected = sum(test(*p, *r) for p in points for r in rects)
+        joined = spatial.range_join(points_of(spark, points), rects_of(spark, rects), mode)
+        assert joined.count() == expected
+
+
+def test_unusable_coordinates_match_nothing(spark):
+    bad = [(None, 1.0), (math.nan, 1.0), (math.inf, 1.0), (1.0, -math.inf)]
+    points = points_of(spark, bad + [(1.0, 1.0)])
+    rects = rects_of(spark, [(0.0, 0.0, 2.0, 2.0), (math.nan, 0.0, 2.0, 2.0), (None, 0.0, 2.0, 2.0)])
+    assert [r.pid for r in spatial.range_select(points, (0, 0, 2, 2)).collect()] == [4]
+    assert [(r.rid, r.pid) for r in spatial.range_join(points, rects).collect()] == [(0, 4)]
+    left = points.selectExpr("pid AS id1", "x AS x1", "y AS y1")
+    right = points.selectExpr("pid AS id2", "x AS x2", "y AS y2")
+    for d in (0, 1, 1e20):
+        assert [(r.id1, r.id2) for r in spatial.distance_join(left, right, d).collect()] == [(4, 4)]
+
+
+def test_empty_inputs(spark):
+    points, rects = points_of(spark, []), rects_of(spark, [])
+    some_points, some_rects = points_of(spark, [(0.0, 0.0)]), rects_of(spark, [(0.0, 0.0, 1.0, 1.0)])
+    for strategy in ("auto", "shuffle"):
+        assert spatial.range_join(points, some_rects, strategy=strategy).count() == 0
+        assert spatial.range_join(some_points, rects, strategy=strategy).count() == 0
+        assert spatial.range_join_count(some_points, rects, strategy=strategy).first().n == 0
+
+
+def pair_inputs(spark, rows1, rows2):
+    left = spark.createDataFrame([(i, *p) for i, p in enumerate(rows1)], "id1 int, x1 double, y1 double")
+    right = spark.createDataFrame([(i, *p) for i, p in enumerate(rows2)], "id2 int, x2 double, y2 double")
+    return left, right
+
+
+def test_distance_select_boundary(spark):
+    points = points_of(spark, [(3.0, 4.0), (3.0, 4.0 + 1e-9), (0.0, 0.0), (-5.0, 0.0)])
+    assert sorted(r.pid for r in spatial.distance_select(points, (0, 0), 5).collect()) == [0, 2, 3]
+    assert [r.pid for r in spatial.distance_select(points, (0, 0), 0).collect()] == [2]
+    assert spatial.distance_select(points, (0, 0), -1).count() == 0
+
+
+@pytest.mark.parametrize("strategy", ["auto", "broadcast", "shuffle"])
+@pytest.mark.parametrize("d", [-1.0, 0.0, 1e-9, 1.0, 3.7, 64.0, 1e15])
+def test_distance_join_equals_nested_loop(spark, d, strategy):
+    rng = random.Random(7)
+    # Integer points put many pairs at distances of exactly 1; self pairs are kept.
+    rows = [(float(i % 12), float(i // 12)) for i in range(120)]
+    rows += [(rng.uniform(-30, 30), rng.uniform(-30, 30)) for _ in range(100)]
+    left, right = pair_inputs(spark, rows, rows)
+    expected = sorted(
+        (i, j)
+        for (i, (x1, y1)), (j, (x2, y2)) in itertools.product(enumerate(rows), enumerate(rows))
+        if math.sqrt((x2 - x1) ** 2 + (y2 - y1) ** 2) <= d
+    )
+    joined = spatial.distance_join(left, right, d, strategy)
+    assert joined.columns == ["id1", "x1", "y1", "id2", "x2", "y2"]
+    assert sorted((r.id1, r.id2) for r in joined.collect()) == expected
+    assert spatial.distance_join_count(left, right, d, strategy).first().n == len(expected)
+
+
+def test_auto_picks_the_side_that_fits(spark, monkeypatch):
+    few, many = [(0.5, 0.5)], [(i / 10, float(i % 7)) for i in range(2000)]
+    expected = sum(math.dist(a, b) <= 2 for a in few for b in many)
+    monkeypatch.setattr(box_join, "BROADCAST_BYTES", 20_000)
+    left, right = pair_inputs(spark, few, many)
+    assert spatial._distance_side(left, right, 2.0, "auto")[0] == "left"
+    assert spatial.distance_join(left, right, 2).count() == expected
+    assert spatial.distance_join_count(left, right, 2).first().n == expected
+    left, right = pair_inputs(spark, many, few)
+    assert spatial._distance_side(left, right, 2.0, "auto")[0] == "right"
+    assert spatial.distance_join(left, right, 2).count() == expected
+    left, right = pair_inputs(spark, many, many)
+    assert spatial._distance_side(left, right, 2.0, "auto")[0] == "none"
+    assert "BroadcastHashJoin" not in plan_of(spatial.distance_join(left, right, 2))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_plans_hold_no_cross_join(spark):
+    rng = random.Random(8)
+    rects = odd_rectangles(rng)
+    points = points_of(spark, odd_points(rng, rects))
+    for mode, strategy in itertools.product(("exact", "compat"), ("broadcast", "shuffle")):
+        plan = plan_of(spatial.range_join(points, rects_of(spark, rects), mode, strategy))
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+        assert ("SortMergeJoin" in plan) == (strategy == "shuffle")
+
+
+def test_selects_push_their_box_to_the_scan(spark, tmp_path):
+    path = str(tmp_path / "points")
+    points_of(spark, [(float(i), float(i)) for i in range(100)]).write.parquet(path)
+    points = spark.read.parquet(path)
+    for found in (
+        spatial.range_select(points, (1, 2, 3, 4)),
+        spatial.range_select(points, (1, 2, 3, 4), "compat"),
+        spatial.distance_select(points, (5, 5), 2),
+        spatial.range_join(points, rects_of(spark, [(1.0, 1.0, 4.0, 4.0)])),
+    ):
+        pushed = plan_of(found).split("PushedFilters: ")[1].split("ReadSchema")[0]
+        assert "GreaterThanOrEqual(x," in pushed and "LessThanOrEqual(y," in pushed
+
+
+def test_hot_cell_is_spread_over_salts(spark):
+    """A third of the points are copies of one; their shuffle key is split and no pair is lost."""
+    n = 30_000
+    points = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, 0.5).otherwise(F.col("id") * 0.01).alias("x"),
+        F.when(F.col("id") % 3 == 0, 0.5).otherwise(F.col("id") % 100 + 0.5).alias("y"),
+        F.col("id").alias("pid"),
+    )
+    rects = spark.range(2000).selectExpr(
+        "id AS rid", "double(id % 300) AS x1", "double(id % 97) AS y1", "id % 300 + 1.0D AS x2", "id % 97 + 1.0D AS y2"
+    )
+    slow = points.join(rects, F.expr("x BETWEEN x1 AND x2 AND y BETWEEN y1 AND y2"))
+    joined = spatial.range_join(points, rects, strategy="shuffle")
+    assert "_salt_l" in plan_of(joined)
+    both = (slow.select("rid", "pid"), joined.select("rid", "pid"))
+    assert both[0].exceptAll(both[1]).isEmpty() and both[1].exceptAll(both[0]).isEmpty()
+
+
+def test_skew_join_with_hot_keys_on_both_sides(spark):
+    left = spark.range(3000).selectExpr("if(id % 3 = 0, 1, id) AS k", "id AS a")
+    right = spark.range(900).selectExpr("if(id % 3 = 0, 1, id) AS k", "id AS b")
+    hot = {r.k: r._parts for r in skew.heavy_keys(left, ["k"])}
+    assert list(hot) == [1] and 2 <= hot[1] <= 4
+    joined = skew.skew_join(left, right, ["k"], ["a"], ["b"])
+    plain = left.join(right, "k").select("k", "a", "b")
+    assert joined.columns == ["k", "a", "b"]
+    assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
+
+
+def test_spread_is_even_for_copies(spark):
+    copies = spark.range(0, 80_000, 1, 40).select(F.lit(1.0).alias("x"))
+    salts = copies.select(skew.spread(F.lit(4), ["x"]).alias("s")).groupBy("s").count().collect()
+    assert len(salts) == 4 and max(r["count"] for r in salts) < 60_000

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridshard.functions.parsing import coordinate, strip_parens
+from gridshard.functions.parsing import coordinate, parsed_once, strip_parens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,16 +88,15 @@ def trips(spark, sf_dir) -> DataFrame:
     )
 
 
-def zone_trips(spark, sf_dir) -> DataFrame:
-    point = strip_parens(F.col("point"))
-    return trip_texts(spark, sf_dir).select(
-        point.alias("point"), coordinate(point, 0).alias("lon"), coordinate(point, 1).alias("lat")
-    )
+def pickups(spark, sf_dir) -> DataFrame:
+    places = parsed_once(trip_texts(spark, sf_dir), [], {"point": strip_parens(F.col("point"))})
+    text = F.col("point")
+    return parsed_once(places, ["point"], {"lon": coordinate(text, 0), "lat": coordinate(text, 1)})
 
 
 def zones(spark, sf_dir) -> DataFrame:
-    corners = [coordinate(F.col("rectangle"), i).alias(c) for i, c in enumerate(("x1", "y1", "x2", "y2"))]
-    return rectangle_texts(spark, sf_dir).select("rectangle", *corners)
+    corners = {name: coordinate(F.col("rectangle"), i) for i, name in enumerate(("x1", "y1", "x2", "y2"))}
+    return parsed_once(rectangle_texts(spark, sf_dir), ["rectangle"], corners)
 
 
 def ratings(spark, sf_dir) -> DataFrame:

@@ -48,7 +48,11 @@ def src_rects(spark, sf_dir):
 
 def src_trips(spark, sf_dir):
     trips = text.scan_trips(spark, _trip_file(spark, sf_dir))
-    return trips.select(F.unix_timestamp("time").alias("epoch"), "point", "lon", "lat")
+    return trips.select(F.unix_timestamp("time").alias("epoch"), "lon", "lat")
+
+
+def src_pickups(spark, sf_dir):
+    return text.scan_pickups(spark, _trip_file(spark, sf_dir))
 
 
 def load_ratings(spark, sf_dir):
@@ -116,7 +120,7 @@ def geo_distance_join_count(spark, sf_dir):
 
 
 def hot_zone_pairs(spark, sf_dir):
-    return hot_spots.hot_zone_pairs(inputs.zone_trips(spark, sf_dir), inputs.zones(spark, sf_dir))
+    return hot_spots.hot_zone_pairs(inputs.pickups(spark, sf_dir), inputs.zones(spark, sf_dir))
 
 
 # Space-time cells.
@@ -243,7 +247,7 @@ def dq_schema_report(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        src_points, src_rects, src_trips, load_ratings, sink_csv,
+        src_points, src_rects, src_trips, src_pickups, load_ratings, sink_csv,
         geo_range_select, geo_range_select_compat, geo_distance_select,
         geo_range_join, geo_range_join_compat, geo_distance_join,
         geo_range_select_count, geo_distance_select_count,

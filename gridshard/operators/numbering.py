@@ -22,12 +22,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridshard.functions.parsing import parsed_once
-from gridshard.operators.skew import SAMPLES_PER_PARTITION, bounded_sample, shuffle_partitions
+from gridshard.operators.skew import shuffle_partitions
 
 # Buckets per shuffle partition even out what hashing buckets to partitions leaves uneven.
 _BUCKETS_PER_PARTITION = 4
 _MAX_BUCKETS = 4096
-_SAMPLES_PER_BUCKET = SAMPLES_PER_PARTITION // _BUCKETS_PER_PARTITION
+_SAMPLES_PER_BUCKET = 64
 _ROWS_PER_CHUNK = 1_000_000
 
 
@@ -63,11 +63,13 @@ def _bounds(df: DataFrame, order_by: list[str]) -> list[tuple[tuple, int]]:
     Values travel as text, which every orderable type can be cast back from.
     """
     buckets = min(_MAX_BUCKETS, _BUCKETS_PER_PARTITION * shuffle_partitions(df))
+    wanted = buckets * _SAMPLES_PER_BUCKET
     keys = df.select(*order_by)
-    sample, total = bounded_sample(keys, buckets * _SAMPLES_PER_BUCKET)
-    # The sample is bounded, so ordering it in one task is.
+    total = keys.count()
+    # The sample only balances the buckets. It is bounded, so ordering it in one task is.
+    sample = keys if total <= wanted else keys.sample(wanted / total, seed=17)
     position = F.row_number().over(Window.orderBy(*order_by))
-    every = max(1, min(total, buckets * _SAMPLES_PER_BUCKET) // buckets)
+    every = max(1, min(total, wanted) // buckets)
     rows = (
         sample.withColumn("_position", position)
         .where(F.col("_position") % every == 0)

@@ -60,19 +60,37 @@ def reach(center: Column, d: float) -> Column:
 _AREA_ROUNDING = 4e-14
 
 
-def area_slack(x1: Column, y1: Column, x2: Column, y2: Column) -> tuple[Column, Column]:
+def _size(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+    return F.greatest(F.abs(x1), F.abs(x2), F.abs(y1), F.abs(y2)) + F.abs(x2 - x1)
+
+
+def is_flat(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+    """The width cannot be told from rounding."""
+    return F.abs(x2 - x1) <= F.lit(2 * _AREA_ROUNDING) * _size(x1, y1, x2, y2)
+
+
+def area_slack(
+    x1: Column, y1: Column, x2: Column, y2: Column, farthest: float | None = None
+) -> tuple[Column, Column]:
     """How far outside a rectangle ``contains_by_area`` may still accept a point.
 
     A point dx, dy outside a w by h rectangle raises the area sum by h*dx + w*dy,
     so it can pass only while that stays below the tolerance plus the rounding of
-    the sum. Infinity means the axis has no bound: an edge too short to be told
-    from rounding accepts points at any distance.
+    the sum. Infinity means the axis has no bound, as across an edge of length 0.
+
+    For a flat rectangle the rounding grows with the y of the point. ``farthest``
+    is a bound on its size; without one, flat rectangles have no bounds.
     """
-    w, h = F.abs(x2 - x1), F.abs(y2 - y1)
-    size = F.greatest(F.abs(x1), F.abs(x2), F.abs(y1), F.abs(y2)) + w
+    w, h, size = F.abs(x2 - x1), F.abs(y2 - y1), _size(x1, y1, x2, y2)
     unbounded = F.lit(math.inf)
-    flat = w <= F.lit(2 * _AREA_ROUNDING) * size
-    excess = F.lit(AREA_TOLERANCE) + F.lit(_AREA_ROUNDING) * h * size
-    dx = F.coalesce(F.try_divide(F.lit(2.0) * excess, h), unbounded)
-    dy = F.coalesce(F.try_divide(F.lit(2.0) * excess, w), unbounded)
-    return F.when(flat, unbounded).otherwise(dx), F.when(flat, unbounded).otherwise(dy)
+
+    def slack(rounding: Column, edge: Column) -> Column:
+        excess = F.lit(AREA_TOLERANCE) + F.lit(_AREA_ROUNDING) * size * rounding
+        return F.coalesce(F.try_divide(F.lit(2.0) * excess, edge), unbounded)
+
+    flat = is_flat(x1, y1, x2, y2)
+    if farthest is None:
+        flat_dx = flat_dy = unbounded
+    else:
+        flat_dx, flat_dy = (slack(F.lit(farthest) + size, edge) for edge in (h, w))
+    return F.when(flat, flat_dx).otherwise(slack(h, h)), F.when(flat, flat_dy).otherwise(slack(h, w))

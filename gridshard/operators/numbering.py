@@ -84,36 +84,57 @@ def _tag(df: DataFrame, order_by: list[str], bounds: list[tuple[tuple, int]]) ->
     """``df`` with ``_bucket`` (odd for the rows equal to a repeated bound) and ``_sub``."""
     if not bounds:
         return df.withColumns({"_bucket": F.lit(0), "_sub": F.lit(0)})
-    literals = _literal(bounds, df, order_by)
-    key = F.struct(*[F.col(c) for c in order_by])
+    columns = [_BoundColumn(df, c, [key[i] for key, _ in bounds]) for i, c in enumerate(order_by)]
     # Never null, or the joins to come would add a filter that looks the bucket up again.
-    below = F.coalesce(_bounds_below(key, literals, len(bounds)), F.lit(0))
+    below = F.coalesce(_bounds_below(columns, len(bounds)), F.lit(0))
     if all(times == 1 for _, times in bounds):
         return df.withColumns({"_bucket": below * 2, "_sub": F.lit(0)})
     tagged = parsed_once(df, df.columns, {"_below": below})
     times = F.get(F.array(*[F.lit(t) for _, t in bounds]), F.col("_below"))
-    own = (times > 1) & (F.get(literals, F.col("_below")) == key)
+    own = times > 1
+    for column in columns:
+        own = own & column.equals(F.col("_below"))
     # As many parts as the value has bounds, and one more for its ragged ends.
     sub = F.when(own, F.pmod(F.xxhash64(*df.columns), times + 1).cast("int")).otherwise(0)
     bucket = F.col("_below") * 2 + F.coalesce(own, F.lit(False)).cast("int")
     return tagged.withColumns({"_bucket": bucket, "_sub": sub}).drop("_below")
 
 
-def _literal(bounds: list[tuple[tuple, int]], df: DataFrame, order_by: list[str]) -> Column:
-    """The bounds as one constant array of structs, typed as the order columns."""
-    texts = json.dumps([dict(zip(map(str, range(len(key))), key)) for key, _ in bounds])
-    as_text = T.StructType([T.StructField(str(i), T.StringType()) for i in range(len(order_by))])
-    typed = T.StructType([T.StructField(c, df.schema[c].dataType) for c in order_by])
-    return F.from_json(F.lit(texts), T.ArrayType(as_text)).cast(T.ArrayType(typed))
+class _BoundColumn:
+    """One order column of the bounds, as a constant array, against the same column of a row.
 
+    One array per column: comparing structs is several times slower.
+    """
+
+    def __init__(self, df: DataFrame, name: str, texts: list[str | None]):
+        as_text = F.from_json(F.lit(json.dumps(texts)), T.ArrayType(T.StringType()))
+        self.bounds = as_text.cast(T.ArrayType(df.schema[name].dataType))
+        self.value = F.col(name)
+        self.has_null = None in texts
+
+    def is_less(self, i: Column) -> Column:
+        """Bound ``i`` comes before the value; nulls come first."""
+        bound = F.get(self.bounds, i)
+        less = F.coalesce(bound < self.value, F.lit(False))
+        return less | (bound.isNull() & self.value.isNotNull()) if self.has_null else less
 
-def _bounds_below(key: Column, bounds: Column, size: int) -> Column:
-    """Number of bounds below ``key``, by halving steps over the sorted bounds."""
+    def equals(self, i: Column) -> Column:
+        return F.get(self.bounds, i).eqNullSafe(self.value)
+
+
+def _bounds_below(columns: list[_BoundColumn], size: int) -> Column:
+    """Number of bounds below a row, by halving steps over the sorted bounds."""
     steps = [1 << i for i in reversed(range(size.bit_length()))]
 
+    def is_below(i: Column) -> Column:
+        below = columns[-1].is_less(i)
+        for column in reversed(columns[:-1]):
+            below = column.is_less(i) | (column.equals(i) & below)
+        return below
+
     def advance(found: Column, step: Column) -> Column:
         further = found + step
-        return F.when((further <= size) & (F.get(bounds, further - 1) < key), further).otherwise(found)
+        return F.when((further <= size) & is_below(further - 1), further).otherwise(found)
 
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
 

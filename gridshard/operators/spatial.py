@@ -59,32 +59,41 @@ def count_rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))
 
 
-def _rect_boxes(rects: DataFrame, mode: str) -> DataFrame:
+def _rect_boxes(rects: DataFrame, mode: str, farthest: float | None = None) -> DataFrame:
     corners = [F.col(c) for c in CORNERS]
     finite = reduce(lambda a, b: a & b, [is_finite(c) for c in corners])
-    return bj.with_box(rects.where(finite), *_bounds(corners, mode))
+    return bj.with_box(rects.where(finite), *_bounds(corners, mode, farthest))
 
 
-def _bounds(corners: list[Column], mode: str) -> tuple[Column, Column, Column, Column]:
+def _bounds(
+    corners: list[Column], mode: str, farthest: float | None = None
+) -> tuple[Column, Column, Column, Column]:
     """Ranges of x and y that hold every point of the rectangle."""
     x1, y1, x2, y2 = corners
-    dx, dy = (F.lit(0.0), F.lit(0.0)) if mode == "exact" else geometry.area_slack(*corners)
+    dx, dy = (F.lit(0.0), F.lit(0.0)) if mode == "exact" else geometry.area_slack(*corners, farthest)
     return F.least(x1, x2) - dx, F.greatest(x1, x2) + dx, F.least(y1, y2) - dy, F.greatest(y1, y2) + dy
 
 
+def _farthest(points: DataFrame, rects: DataFrame, mode: str) -> float | None:
+    """The largest size of a y of the points, where flat rectangles make it matter."""
+    if mode == "exact" or rects.where(geometry.is_flat(*[F.col(c) for c in CORNERS])).isEmpty():
+        return None
+    return points.where(is_finite(F.col("y"))).agg(F.max(F.abs("y"))).first()[0]
+
+
 def range_join(points: DataFrame, rects: DataFrame, mode: str = "exact", strategy: str = "auto") -> DataFrame:
     """All (rectangle, point) pairs with the point inside.
 
     ``strategy``: ``broadcast`` or ``shuffle`` the covered cells of the
     rectangles; ``auto`` broadcasts up to ``BROADCAST_BYTES`` of them.
     """
-    return _range_pairs(points, rects, mode, *_measured(rects, mode, strategy)).select(
-        *rects.columns, *points.columns
-    )
+    cover, stats, broadcast = _measured(points, rects, mode, strategy)
+    return _range_pairs(points, mode, cover, stats, broadcast).select(*rects.columns, *points.columns)
 
 
-def _measured(rects: DataFrame, mode: str, strategy: str):
-    cover = bj.covered(_rect_boxes(rects, mode))
+def _measured(points: DataFrame, rects: DataFrame, mode: str, strategy: str):
+    _contains(mode)
+    cover = bj.covered(_rect_boxes(rects, mode, _farthest(points, rects, mode)))
     stats = bj.measure(cover)
     return cover, stats, _broadcasts(stats, strategy)
 
@@ -95,7 +104,7 @@ def _broadcasts(stats: bj.BoxStats, strategy: str) -> bool:
     return strategy == "broadcast" or (strategy == "auto" and stats.cell_bytes <= bj.BROADCAST_BYTES)
 
 
-def _range_pairs(points, rects, mode, cover, stats, broadcast) -> DataFrame:
+def _range_pairs(points, mode, cover, stats, broadcast) -> DataFrame:
     predicate = _contains(mode)(F.col("x"), F.col("y"), *[F.col(c) for c in CORNERS])
     return bj.box_join(points, cover, "x", "y", predicate, stats, broadcast, list(CORNERS))
 
@@ -117,12 +126,12 @@ def range_join_count(
     counted before they meet.
     """
     rects = _collapsed(rects, list(CORNERS), "_rects")
-    cover, stats, broadcast = _measured(rects, mode, strategy)
     points = points.select("x", "y")
+    cover, stats, broadcast = _measured(points, rects, mode, strategy)
     if broadcast:
-        return _weighted_count(_range_pairs(points, rects, mode, cover, stats, True), F.col("_rects"))
+        return _weighted_count(_range_pairs(points, mode, cover, stats, True), F.col("_rects"))
     points = _collapsed(points, ["x", "y"], "_points")
-    pairs = _range_pairs(points, rects, mode, cover, stats, False)
+    pairs = _range_pairs(points, mode, cover, stats, False)
     return _weighted_count(pairs, F.col("_rects") * F.col("_points"))
 
 

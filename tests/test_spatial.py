@@ -124,6 +124,21 @@ def test_range_join_at_projected_coordinates(spark):
         assert joined.count() == expected
 
 
+def test_compat_bounds_flat_rectangles_where_it_can(spark):
+    """A vertical line has a narrow x range, a horizontal one a narrow y range."""
+    rects = rects_of(spark, [(5.0, 0.0, 5.0, 3.0), (0.0, 5.0, 3.0, 5.0), (1.0, 1.0, 1.0, 1.0)])
+    points = points_of(spark, [(5.0, 1e6), (5.0 + 1e-9, -1e6), (7.0, 5.0)])
+    farthest = spatial._farthest(points, rects, "compat")
+    assert farthest == 1e6 and spatial._farthest(points, rects, "exact") is None
+    line, level, point = spatial._rect_boxes(rects, "compat", farthest).orderBy("rid").collect()
+    assert 0 < line._x_high - line._x_low < 1e-4 and line._y_high == math.inf
+    assert 0 < level._y_high - level._y_low < 1e-9 and level._x_low == -math.inf
+    assert point._x_high == point._y_high == math.inf
+    expected = [(r.rid, p.pid) for r in rects.collect() for p in points.collect() if by_area(p.x, p.y, *r[1:])]
+    pairs = spatial.range_join(points, rects, "compat").collect()
+    assert sorted((r.rid, r.pid) for r in pairs) == expected
+
+
 def test_unusable_coordinates_match_nothing(spark):
     bad = [(None, 1.0), (math.nan, 1.0), (math.inf, 1.0), (1.0, -math.inf)]
     points = points_of(spark, bad + [(1.0, 1.0)])

@@ -28,6 +28,8 @@ from gridshard.operators.skew import shuffle_partitions
 _BUCKETS_PER_PARTITION = 4
 _MAX_BUCKETS = 4096
 _SAMPLES_PER_BUCKET = 64
+# Fewer rows are not worth a bucket.
+_ROWS_PER_BUCKET = 10_000
 _ROWS_PER_CHUNK = 1_000_000
 
 
@@ -62,12 +64,13 @@ def _bounds(df: DataFrame, order_by: list[str]) -> list[tuple[tuple, int]]:
 
     Values travel as text, which every orderable type can be cast back from.
     """
-    buckets = min(_MAX_BUCKETS, _BUCKETS_PER_PARTITION * shuffle_partitions(df))
-    wanted = buckets * _SAMPLES_PER_BUCKET
     keys = df.select(*order_by)
     total = keys.count()
+    most = min(_MAX_BUCKETS, _BUCKETS_PER_PARTITION * shuffle_partitions(df))
+    buckets = min(most, total // _ROWS_PER_BUCKET + 1)
+    wanted = buckets * _SAMPLES_PER_BUCKET
     # The sample only balances the buckets. It is bounded, so ordering it in one task is.
-    sample = keys if total <= wanted else keys.sample(wanted / total, seed=17)
+    sample = keys if total <= wanted else keys.sample(fraction=wanted / total, seed=17)
     position = F.row_number().over(Window.orderBy(*order_by))
     every = max(1, min(total, wanted) // buckets)
     rows = (
@@ -85,11 +88,9 @@ def _tag(df: DataFrame, order_by: list[str], bounds: list[tuple[tuple, int]]) ->
     if not bounds:
         return df.withColumns({"_bucket": F.lit(0), "_sub": F.lit(0)})
     columns = [_BoundColumn(df, c, [key[i] for key, _ in bounds]) for i, c in enumerate(order_by)]
-    # Never null, or the joins to come would add a filter that looks the bucket up again.
-    below = F.coalesce(_bounds_below(columns, len(bounds)), F.lit(0))
+    tagged = _with_bounds_below(df, columns, len(bounds))
     if all(times == 1 for _, times in bounds):
-        return df.withColumns({"_bucket": below * 2, "_sub": F.lit(0)})
-    tagged = parsed_once(df, df.columns, {"_below": below})
+        return tagged.withColumns({"_bucket": F.col("_below") * 2, "_sub": F.lit(0)}).drop("_below")
     times = F.get(F.array(*[F.lit(t) for _, t in bounds]), F.col("_below"))
     own = times > 1
     for column in columns:
@@ -122,21 +123,22 @@ class _BoundColumn:
         return F.get(self.bounds, i).eqNullSafe(self.value)
 
 
-def _bounds_below(columns: list[_BoundColumn], size: int) -> Column:
-    """Number of bounds below a row, by halving steps over the sorted bounds."""
-    steps = [1 << i for i in reversed(range(size.bit_length()))]
+def _with_bounds_below(df: DataFrame, columns: list[_BoundColumn], size: int) -> DataFrame:
+    """``df`` with ``_below``, the number of bounds below each row, by halving steps over the sorted bounds.
 
-    def is_below(i: Column) -> Column:
-        below = columns[-1].is_less(i)
+    One projection per step is compiled code, which ``aggregate`` over the steps is not.
+    """
+    found = F.col("_found")
+    searched = df.withColumn("_found", F.lit(0))
+    for i in reversed(range(size.bit_length())):
+        bound = found + ((1 << i) - 1)
+        below = columns[-1].is_less(bound)
         for column in reversed(columns[:-1]):
-            below = column.is_less(i) | (column.equals(i) & below)
-        return below
-
-    def advance(found: Column, step: Column) -> Column:
-        further = found + step
-        return F.when((further <= size) & is_below(further - 1), further).otherwise(found)
-
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
+            below = column.is_less(bound) | (column.equals(bound) & below)
+        step = F.when((bound < size) & below, 1 << i).otherwise(0)
+        searched = searched.withColumn("_found", found + step)
+    # Filters to come must not take the steps along, each of which doubles them.
+    return parsed_once(searched, df.columns, {"_below": found})
 
 
 def _offsets(tagged: DataFrame) -> DataFrame:

@@ -146,8 +146,8 @@ def distance_join(left: DataFrame, right: DataFrame, d: float, strategy: str = "
     d = float(d)
     if not d >= 0:
         return bj.no_pairs(left, right)
-    side, stats = _distance_side(left, right, d, strategy)
-    return _distance_pairs(left, right, d, side, stats).select(*left.columns, *right.columns)
+    side, cover, stats = _distance_side(left, right, d, strategy)
+    return _distance_pairs(left, right, d, side, cover, stats).select(*left.columns, *right.columns)
 
 
 def distance_join_count(left: DataFrame, right: DataFrame, d: float, strategy: str = "auto") -> DataFrame:
@@ -160,7 +160,7 @@ def distance_join_count(left: DataFrame, right: DataFrame, d: float, strategy: s
     left, right = left.select(*_LEFT), right.select(*_RIGHT)
     if not d >= 0:
         return count_rows(bj.no_pairs(left, right))
-    side, stats = _distance_side(left, right, d, strategy)
+    side, _, stats = _distance_side(left, right, d, strategy)
     weights = F.lit(1)
     if side != "right":
         left = _collapsed(left, list(_LEFT), "_left")
@@ -168,32 +168,34 @@ def distance_join_count(left: DataFrame, right: DataFrame, d: float, strategy: s
     if side != "left":
         right = _collapsed(right, list(_RIGHT), "_right")
         weights = weights * F.col("_right")
-    return _weighted_count(_distance_pairs(left, right, d, side, stats), weights)
+    # The measure holds for the collapsed side: fewer rows in the same cells.
+    cover = _disc_boxes(left, *_LEFT, d) if side == "left" else _disc_boxes(right, *_RIGHT, d)
+    return _weighted_count(_distance_pairs(left, right, d, side, cover, stats), weights)
 
 
 _LEFT, _RIGHT = ("x1", "y1"), ("x2", "y2")
 
 
-def _distance_side(left, right, d, strategy) -> tuple[str, bj.BoxStats]:
-    """The side to broadcast (``left``, ``right`` or ``none``), and the measure of the covered side."""
-    stats = bj.measure(_disc_boxes(right, *_RIGHT, d))
+def _distance_side(left, right, d, strategy) -> tuple[str, DataFrame, bj.BoxStats]:
+    """The side to broadcast (``left``, ``right`` or ``none``), and the covered side with its measure."""
+    cover = _disc_boxes(right, *_RIGHT, d)
+    stats = bj.measure(cover)
     if _broadcasts(stats, strategy):
-        return "right", stats
+        return "right", cover, stats
     if strategy == "auto":
-        left_stats = bj.measure(_disc_boxes(left, *_LEFT, d))
+        left_cover = _disc_boxes(left, *_LEFT, d)
+        left_stats = bj.measure(left_cover)
         if _broadcasts(left_stats, strategy):
-            return "left", left_stats
-    return "none", stats
+            return "left", left_cover, left_stats
+    return "none", cover, stats
 
 
-def _distance_pairs(left, right, d, side, stats) -> DataFrame:
+def _distance_pairs(left, right, d, side, cover, stats) -> DataFrame:
     if d == 0:
         return _equal_points(left, right, side)
     predicate = geometry.within(*[F.col(c) for c in (*_LEFT, *_RIGHT)], d)
     if side == "left":
-        cover = _disc_boxes(left, *_LEFT, d)
         return bj.box_join(right, cover, *_RIGHT, predicate, stats, True, list(_LEFT))
-    cover = _disc_boxes(right, *_RIGHT, d)
     return bj.box_join(left, cover, *_LEFT, predicate, stats, side == "right", list(_RIGHT))
 
 

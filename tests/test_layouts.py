@@ -59,8 +59,9 @@ def test_round_robin_deals_in_order(spark):
     "order_by", [["u"], ["k"], ["t", "k"], ["s"], ["d", "u"], ["same"]], ids=lambda o: "-".join(o)
 )
 @pytest.mark.parametrize("rows", [0, 1, 10, 20_000])
-def test_row_numbers(spark, order_by, rows):
+def test_row_numbers(spark, order_by, rows, monkeypatch):
     """Unique, tied, null, text and constant keys; a third of the rows are copies of one."""
+    monkeypatch.setattr(numbering, "_ROWS_PER_BUCKET", 500)
     i = F.col("i")
     df = spark.range(rows).selectExpr("if(id % 3 = 0, 7, id) AS i").select(
         F.xxhash64(i).alias("u"),
@@ -86,8 +87,9 @@ def test_row_numbers_equal_a_plain_window(spark):
     assert ours.exceptAll(plain.withColumn("row_num", F.col("row_num").cast("long"))).isEmpty()
 
 
-def test_row_numbers_split_a_hot_value(spark):
+def test_row_numbers_split_a_hot_value(spark, monkeypatch):
     """No bucket comes near the third of the rows that share one key, copies or not."""
+    monkeypatch.setattr(numbering, "_ROWS_PER_BUCKET", 1000)
     for extra in (F.col("id"), F.lit(0)):
         df = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), extra.alias("v"))
         tagged = numbering._tag(df, ["k"], numbering._bounds(df, ["k"]))
@@ -100,6 +102,7 @@ def test_row_numbers_split_a_hot_value(spark):
 
 def test_long_runs_of_copies_are_expanded_in_chunks(spark, monkeypatch):
     monkeypatch.setattr(numbering, "_ROWS_PER_CHUNK", 100)
+    monkeypatch.setattr(numbering, "_ROWS_PER_BUCKET", 10)
     df = spark.range(1000).select(F.when(F.col("id") < 950, 5).otherwise(F.col("id")).alias("k"))
     got = numbering.global_row_number(df, ["k"]).orderBy("row_num").collect()
     assert [r.row_num for r in got] == list(range(1, 1001))

@@ -93,8 +93,7 @@ def range_join(points: DataFrame, rects: DataFrame, mode: str = "exact", strateg
 
 def _measured(points: DataFrame, rects: DataFrame, mode: str, strategy: str):
     _contains(mode)
-    cover = bj.covered(_rect_boxes(rects, mode, _farthest(points, rects, mode)))
-    stats = bj.measure(cover)
+    cover, stats = bj.cover_boxes(_rect_boxes(rects, mode, _farthest(points, rects, mode)))
     return cover, stats, _broadcasts(stats, strategy)
 
 

@@ -106,6 +106,25 @@ def test_range_join_equals_nested_loop(spark, mode, test, strategy):
     assert count.first().n == len(expected)
 
 
+def test_boxes_of_many_shapes_share_cell_sides(spark):
+    rng = random.Random(9)
+    rects = []
+    for i, j in itertools.product(range(-12, 12), range(-12, 12)):
+        x, y = rng.uniform(-50, 50), rng.uniform(-50, 50)
+        rects.append((x, y, x + 1.3 * 2.0**i, y + 1.7 * 2.0**j))
+    points = [(rng.uniform(-60, 60), rng.uniform(-60, 60)) for _ in range(100)] + [r[2:] for r in rects]
+    boxes = spatial._rect_boxes(rects_of(spark, rects), "exact")
+    assert len(box_join.measure(box_join.covered(boxes)).sides) > 100
+    cover, stats = box_join.cover_boxes(boxes)
+    assert len(stats.sides) <= 16
+    cells = cover.selectExpr("max((_i1 - _i0 + 1) * (_j1 - _j0 + 1))").first()[0]
+    assert cells <= 34 * 34
+    expected = sum(by_coordinates(*p, *r) for p in points for r in rects)
+    for strategy in ("broadcast", "shuffle"):
+        joined = spatial.range_join(points_of(spark, points), rects_of(spark, rects), strategy=strategy)
+        assert joined.select("rid", "pid").distinct().count() == joined.count() == expected
+
+
 def test_range_join_at_projected_coordinates(spark):
     """Metre coordinates, where the rounding of the area test is far above its tolerance."""
     rng = random.Random(6)

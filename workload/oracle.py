@@ -235,7 +235,7 @@ SELECT {ZONE_TEXT} AS rectangle, CAST(x1 AS DOUBLE) AS x1, CAST(y1 AS DOUBLE) AS
        CAST(x2 AS DOUBLE) AS x2, CAST(y2 AS DOUBLE) AS y2
 FROM ({ZONES})""",
     "src_trips": f"""
-SELECT CAST(epoch(time) AS BIGINT) AS epoch, CAST(lon AS DOUBLE) AS lon, CAST(lat AS DOUBLE) AS lat
+SELECT strftime(time, '%Y-%m-%d %H:%M:%S') AS time, CAST(lon AS DOUBLE) AS lon, CAST(lat AS DOUBLE) AS lat
 FROM ({TRIP_TEXTS})""",
     "src_pickups": f"""
 SELECT lon || ',' || lat AS point, CAST(lon AS DOUBLE) AS lon, CAST(lat AS DOUBLE) AS lat

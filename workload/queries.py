@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridshard.functions.parsing import TIMESTAMP_PATTERN
 from gridshard.functions.space_time import GridSpec
 from gridshard.operators import cells, integrity, layouts, spatial
 from gridshard.plans import hot_spots, ratings_layouts, schema_check
@@ -48,7 +49,7 @@ def src_rects(spark, sf_dir):
 
 def src_trips(spark, sf_dir):
     trips = text.scan_trips(spark, _trip_file(spark, sf_dir))
-    return trips.select(F.unix_timestamp("time").alias("epoch"), "lon", "lat")
+    return trips.select(F.date_format("time", TIMESTAMP_PATTERN).alias("time"), "lon", "lat")
 
 
 def src_pickups(spark, sf_dir):

@@ -43,9 +43,7 @@ def global_row_number(df: DataFrame, order_by: list[str], name: str = "row_num")
     tagged = _tag(df, order_by, bounds)
     offsets = _offsets(tagged)
     # Ties are settled by the other columns, so that a task run again numbers rows as before.
-    others = [
-        f.name for f in df.schema.fields if f.name not in order_by and not isinstance(f.dataType, T.MapType)
-    ]
+    others = [c for c in _comparable(df) if c not in order_by]
     w = Window.partitionBy("_bucket", "_sub").orderBy(*order_by, *others)
     plain = tagged.where(F.pmod("_bucket", F.lit(2)) == 0) if hot else tagged
     numbered = (
@@ -56,7 +54,11 @@ def global_row_number(df: DataFrame, order_by: list[str], name: str = "row_num")
     if not hot:
         return numbered
     tied = tagged.where(F.pmod("_bucket", F.lit(2)) == 1)
-    return numbered.unionByName(_number_tied(tied, df.columns, offsets, name))
+    return numbered.unionByName(_number_tied(tied, df, offsets, name))
+
+
+def _comparable(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
 
 
 def _bounds(df: DataFrame, order_by: list[str]) -> list[tuple[tuple, int]]:
@@ -96,7 +98,7 @@ def _tag(df: DataFrame, order_by: list[str], bounds: list[tuple[tuple, int]]) ->
     for column in columns:
         own = own & column.equals(F.col("_below"))
     # As many parts as the value has bounds, and one more for its ragged ends.
-    sub = F.when(own, F.pmod(F.xxhash64(*df.columns), times + 1).cast("int")).otherwise(0)
+    sub = F.when(own, F.pmod(F.xxhash64(*_comparable(df)), times + 1).cast("int")).otherwise(0)
     bucket = F.col("_below") * 2 + F.coalesce(own, F.lit(False)).cast("int")
     return tagged.withColumns({"_bucket": bucket, "_sub": sub}).drop("_below")
 
@@ -149,8 +151,13 @@ def _offsets(tagged: DataFrame) -> DataFrame:
     return counts.select("_bucket", "_sub", first.alias("_first"))
 
 
-def _number_tied(tied: DataFrame, columns: list[str], offsets: DataFrame, name: str) -> DataFrame:
-    w = Window.partitionBy("_bucket", "_sub").orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
+def _number_tied(tied: DataFrame, df: DataFrame, offsets: DataFrame, name: str) -> DataFrame:
+    columns = df.columns
+    w = (
+        Window.partitionBy("_bucket", "_sub")
+        .orderBy(*_comparable(df))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
     starts = (
         tied.groupBy("_bucket", "_sub", *columns)
         .agg(F.count(F.lit(1)).alias("_copies"))

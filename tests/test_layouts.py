@@ -109,6 +109,13 @@ def test_long_runs_of_copies_are_expanded_in_chunks(spark, monkeypatch):
     assert [r.k for r in got] == [5] * 950 + list(range(950, 1000))
 
 
+def test_row_numbers_with_a_map_column(spark):
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), F.create_map(F.lit("a"), F.col("id") % 7).alias("m"))
+    got = numbering.global_row_number(df, ["k"]).orderBy("row_num").collect()
+    assert [r.row_num for r in got] == list(range(1, 101))
+    assert Counter((r.k, r.m["a"]) for r in got) == Counter((r.k, r.m["a"]) for r in df.collect())
+
+
 def test_numbering_uses_one_task_only_for_bucket_counts(spark):
     df = spark.range(10_000).select(F.xxhash64("id").alias("k"), "id")
     plan = numbering.global_row_number(df, ["k"])._jdf.queryExecution().executedPlan().toString()

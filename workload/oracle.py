@@ -252,8 +252,10 @@ UNION ALL SELECT rectangle, point, NULL, 1 FROM ({ZONE_PAIRS})""",
     "geo_range_select_compat": f"SELECT * FROM ({POINTS}) WHERE {_area_test('1e1', '2e1', '3e1', '6e1')}",
     "geo_distance_select": DISTANCE_SELECT,
     "geo_range_join": RANGE_JOIN,
+    "geo_range_join_shuffle": RANGE_JOIN,
     "geo_range_join_compat": _range_join(_area_test("x1", "y1", "x2", "y2")),
     "geo_distance_join": DISTANCE_JOIN,
+    "geo_distance_join_shuffle": DISTANCE_JOIN,
     "geo_range_select_count": f"SELECT count(*) AS n FROM ({RANGE_SELECT})",
     "geo_distance_select_count": f"SELECT count(*) AS n FROM ({DISTANCE_SELECT})",
     "geo_range_join_count": f"SELECT count(*) AS n FROM ({RANGE_JOIN})",

@@ -91,6 +91,14 @@ def geo_range_join(spark, sf_dir):
     return pairs.select("rid", "l_orderkey", "l_linenumber", "x", "y")
 
 
+def geo_range_join_shuffle(spark, sf_dir):
+    """The way taken when the rectangles are too many to broadcast."""
+    pairs = spatial.range_join(
+        inputs.points(spark, sf_dir), inputs.rectangles(spark, sf_dir), strategy="shuffle"
+    )
+    return pairs.select("rid", "l_orderkey", "l_linenumber", "x", "y")
+
+
 def geo_range_join_compat(spark, sf_dir):
     pairs = spatial.range_join(inputs.points(spark, sf_dir), inputs.rectangles(spark, sf_dir), "compat")
     return pairs.select("rid", "l_orderkey", "l_linenumber", "x", "y")
@@ -102,6 +110,12 @@ def geo_distance_join(spark, sf_dir):
     )
 
 
+def geo_distance_join_shuffle(spark, sf_dir):
+    return spatial.distance_join(
+        inputs.customers(spark, sf_dir), inputs.suppliers(spark, sf_dir), JOIN_DISTANCE, "shuffle"
+    )
+
+
 def geo_range_select_count(spark, sf_dir):
     return spatial.count_rows(geo_range_select(spark, sf_dir))
 
@@ -250,7 +264,8 @@ QUERIES = {
     for f in (
         src_points, src_rects, src_trips, src_pickups, load_ratings, sink_csv,
         geo_range_select, geo_range_select_compat, geo_distance_select,
-        geo_range_join, geo_range_join_compat, geo_distance_join,
+        geo_range_join, geo_range_join_shuffle, geo_range_join_compat,
+        geo_distance_join, geo_distance_join_shuffle,
         geo_range_select_count, geo_distance_select_count,
         geo_range_join_count, geo_distance_join_count, hot_zone_pairs,
         cell_assign, cell_assign_doy, cell_bounded, cell_counts, cell_stats,

@@ -9,8 +9,8 @@ are taken until the words left are used up; the one at the end gives its first w
 
 Only the point where each source's order is cut has to be known, one row for each
 source. It is found in two steps, in sums over ranges of the order and then within
-the one range that holds it, so no task orders all documents of a source. Texts
-are not shuffled.
+the one range that holds it. A source of n documents has sqrt(n) ranges, so either step
+orders some sqrt(n) rows and no task all documents of a source. Texts are not shuffled.
 
 Nulls: a null source is a source of its own, the last; a null text has no words; a
 null id counts as empty text in the seeded order. Documents that tie in the order
@@ -30,8 +30,6 @@ from gridshard.operators.numbering import global_row_number
 
 SEED = "mix-1"
 MAX_EPOCHS = 3
-# Documents of a source in one range of its order.
-RANGE_ROWS = 50_000
 _HASH_BITS = 52
 
 
@@ -89,7 +87,7 @@ def cuts(sizes: DataFrame, weights: DataFrame, share: float, max_epochs: float)
     targets = targets.withColumn("whole", whole.cast("long")).withColumn(
         "more", F.floor(F.col("target") + 0.5).cast("long") - F.col("whole") * F.col("source_size")
     )
-    targets = written(targets.withColumn("n_ranges", F.floor(F.col("n_docs") / RANGE_ROWS) + 1), "mix-targets")
+    targets = written(targets.withColumn("n_ranges", F.ceil(F.sqrt("n_docs"))), "mix-targets")
 
     ours = targets.select(F.col("source").alias("of"), "more", "n_ranges")
     in_range = F.floor(F.col("place") / F.lit(float(1 << _HASH_BITS)) * F.col("n_ranges")).cast("long")

@@ -1,10 +1,11 @@
 """The queries of the operators on documents, and the SQL of those that SQL can express."""
 
-from gridshard.llm import decontamination, language, mixing, repetition
+from gridshard.llm import decontamination, language, mixing, repair, repetition
 
 QUERIES = {
     "op1_mix_sources": mixing.op1,
     "op2_repetition_rules": repetition.op2,
+    "op6_token_files": repair.op6,
     "op7_language_id": language.op7,
     "op9_decontaminate": decontamination.op9,
 }

@@ -56,7 +56,8 @@ def training_sample(docs: DataFrame, per_language: int, lang: str = "lang", doc_
     """(lang, text): about ``per_language`` texts of each language, all if there are fewer, by a hash of the id."""
     known = docs.where(F.col(lang).isNotNull())
     known = known.select(F.col(lang).cast("string").alias("lang"), "text", F.col(doc_id).alias("doc_id"))
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).withColumnRenamed("lang", "of")
+    # Written, so that Spark knows how small it is and leaves the texts where they are.
+    sizes = written(known.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n")), "language-sizes")
     chance = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return known.join(sizes, F.col("lang") == F.col("of")).where(chance * F.col("n") < per_language).where(F.col("text").isNotNull()).select("lang", "text")
 

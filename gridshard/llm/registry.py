@@ -1,16 +1,18 @@
 """The queries of the operators on documents, and the SQL of those that SQL can express."""
 
-from gridshard.llm import decontamination, language, mixing, repair, repetition
+from gridshard.llm import decontamination, language, mixing, repair, repetition, sharding
 
 QUERIES = {
     "op1_mix_sources": mixing.op1,
     "op2_repetition_rules": repetition.op2,
     "op6_token_files": repair.op6,
     "op7_language_id": language.op7,
+    "op8_extendible_shards": sharding.op8,
     "op9_decontaminate": decontamination.op9,
 }
 ORACLE = {
     "op1_mix_sources": mixing.OP1_SQL,
     "op2_repetition_rules": repetition.OP2_SQL,
+    "op8_extendible_shards": sharding.OP8_SQL,
     "op9_decontaminate": decontamination.OP9_SQL,
 }

@@ -1,6 +1,6 @@
 """The queries of the operators on documents, and the SQL of those that SQL can express."""
 
-from gridshard.llm import decontamination, language, mixing, repair, repetition, sharding
+from gridshard.llm import decontamination, jaccard_join, language, mixing, repair, repetition, sharding
 
 QUERIES = {
     "op1_mix_sources": mixing.op1,
@@ -9,6 +9,7 @@ QUERIES = {
     "op7_language_id": language.op7,
     "op8_extendible_shards": sharding.op8,
     "op9_decontaminate": decontamination.op9,
+    "op10_jaccard_join": jaccard_join.op10,
 }
 ORACLE = {
     "op1_mix_sources": mixing.OP1_SQL,

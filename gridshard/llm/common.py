@@ -26,7 +26,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back: cuts the lineage, outlives executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.scratch = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``written`` made, once nothing reads them any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh(df: DataFrame, name: str) -> str:

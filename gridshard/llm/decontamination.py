@@ -222,6 +222,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None
     )
 
 
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that aren't contaminated."""
+    names = {n: fresh(docs, "found_" + n) for n, _ in HITS}
+    found = with_hits(docs, benchmark, names, docs.columns, **options)
+    n_hit = F.aggregate(F.zip_with(names["starts"], names["ends"], lambda s, e: e - s), F.lit(0), lambda a, n: a + n)
+    return found.where((n_hit == 0) | (HIT_WORDS_IN * n_hit < F.col(names["n_words"]))).select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def hit_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, per_part: int = WINDOWS_PER_PART) -> DataFrame:
     """(doc_id, start, end, passage): the runs of hit words, by character in the original text."""
     names = {n: n for n, _ in HITS}

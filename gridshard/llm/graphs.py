@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridshard.llm.common import written
+from gridshard.llm.common import discard, written
 
 
 def _linked_to_least(edges: DataFrame, large: bool) -> DataFrame:
@@ -32,7 +32,8 @@ def components(edges: DataFrame) -> DataFrame:
     edges = written(edges.where(F.col("a") != F.col("b")).distinct(), "edges")
     mark = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     while mark[0]:
-        edges = written(_linked_to_least(_linked_to_least(edges, True), False), "edges")
+        before, edges = edges, written(_linked_to_least(_linked_to_least(edges, True), False), "edges")
+        discard(before)
         new = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if new == mark:
             break

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from gridshard.llm.common import documents, fresh, slices, written
+from gridshard.llm.common import discard, documents, fresh, slices, written
 from gridshard.llm.graphs import components
 from gridshard.llm.set_relations import least_overlap, linked
 
@@ -272,30 +272,61 @@ def _links(sets: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.groupBy("group", "left", "right").applyInArrow(run, "fp string, root string, links long")
 
 
-def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest id that links lead to), n_links (other documents
-    that a document links with, copies included) and a fingerprint of its set, null if empty."""
+def _classes(docs: DataFrame, doc_id: str, text: str, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, row_key, fp, n) of each document, and (fp, root, component_id, n_links) of each distinct set."""
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     hashed = written(_hashed(docs, doc_id, text, total // BUCKET_BYTES + 1, shingle), "jaccard-hashes")
-    rows = hashed.where(F.col("bucket").isNull()).select("doc_id", "fp", "n")
-    copies = rows.where("n > 0").groupBy("fp").agg(F.count("*").alias("weight"))
+    rows = written(hashed.where(F.col("bucket").isNull()).select("doc_id", "row_key", "fp", "n"), "jaccard-rows")
     candidates = written(_candidates(hashed), "jaccard-candidates")
-    sets = _sets(docs, candidates, doc_id, text, shingle).join(copies, "fp")
+    discard(hashed)
+    classes = rows.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+    sets = _sets(docs, candidates, doc_id, text, shingle).join(classes.select("fp", F.col("copies").alias("weight")), "fp")
     sets = written(sets, "jaccard-sets")
     groups = written(_groups(sets), "jaccard-groups")
     found = written(_links(sets, groups), "jaccard-links")
+    discard(candidates, sets, groups)
     roots = components(found.select(F.col("fp").alias("a"), F.col("root").alias("b")))
     others = found.groupBy("fp").agg(F.sum("links").alias("others"))
-    classes = rows.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     classes = classes.join(roots, F.col("fp") == F.col("node"), "left").join(others, "fp", "left")
-    classes = written(classes.select("fp", "least", "copies", F.coalesce("root", "fp").alias("root"), F.coalesce("others", F.lit(0)).alias("others")), "jaccard-classes")
+    n_links = F.coalesce("others", F.lit(0)) + F.col("copies") - 1
+    classes = written(classes.select("fp", "least", F.coalesce("root", "fp").alias("root"), n_links.alias("n_links")), "jaccard-classes")
     smallest = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    n_links = (F.col("others") + F.col("copies") - 1).alias("n_links")
-    named = classes.join(smallest, "root").select(F.col("fp").alias("of"), "component_id", n_links)
-    full = rows.where("n > 0").join(named, F.col("fp") == F.col("of")).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", "n_links", "fp")
-    empty = rows.where("n = 0").select("doc_id", F.lit(0).cast("long"), "doc_id", F.lit(0).cast("long"), "fp")
-    return full.union(empty)
+    return rows, classes.join(smallest, "root").select("fp", "root", "component_id", "n_links")
+
+
+def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, n_shingles, component_id (the smallest id that links lead to) and n_links (other documents
+    that a document links with, copies included) of each document."""
+    rows, classes = _classes(docs, doc_id, text, shingle)
+    n_shingles = F.col("n").cast("long").alias("n_shingles")
+    full = rows.where("n > 0").join(classes, "fp").select("doc_id", n_shingles, "component_id", "n_links")
+    return full.union(rows.where("n = 0").select("doc_id", n_shingles, "doc_id", F.lit(0).cast("long")))
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """``docs`` without those linked, directly or not, to one that stays: of each component the document with the
+    smallest id, null last, the first in an order of hashes if several have it, and of rows equal in id and text one.
+
+    Documents without words stay.
+    """
+    rows, classes = _classes(docs, doc_id, text, shingle)
+    grouped = written(rows.where("n > 0").join(classes.select("fp", "root"), "fp").select("doc_id", "row_key", "root"), "jaccard-grouped")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
+    first = grouped.groupBy("root").agg(F.min(order).alias("first"))
+    stays = F.col("row_key").eqNullSafe(F.col("first.row_key")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+    judged = grouped.join(first, "root").withColumn("stays", stays)
+    names = {c: fresh(docs, c) for c in ("jaccard_key", "jaccard_lost_key", "jaccard_lost_id")}
+    lost = judged.where(~F.col("stays")).select(F.col("row_key").alias(names["jaccard_lost_key"]), F.col("doc_id").alias(names["jaccard_lost_id"])).distinct()
+    lost = written(lost, "jaccard-lost")
+    key = F.col(names["jaccard_key"])
+    same = (key == F.col(names["jaccard_lost_key"])) & F.col(doc_id).eqNullSafe(F.col(names["jaccard_lost_id"]))
+    kept = docs.withColumn(names["jaccard_key"], _row_key(doc_id, text)).join(lost, same, "left_anti")
+    repeated = judged.where("stays").groupBy("root").count().where("count > 1")
+    if not repeated.isEmpty():
+        words = F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]")) > 0
+        kept = kept.where(words).dropDuplicates([names["jaccard_key"], doc_id]).unionByName(kept.where(~F.coalesce(words, F.lit(False))))
+    return kept.drop(names["jaccard_key"])
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(documents(spark, sf_dir)).drop("fp")
+    return jaccard_components(documents(spark, sf_dir))

@@ -169,7 +169,7 @@ def _row_key(doc_id: str, text: str) -> Column:
 
 
 def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(chunk, ref, n): of a bucket, how many hashes of a document came from other chunks, too."""
+    """(chunk, refs, counts): of a bucket, how many hashes of each document came from other chunks, too."""
     chunks, hashes, refs, sizes = [], [], [], []
     for batch in batches:
         for chunk, h, r in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("chunk", "hashes", "refs")), strict=True):
@@ -181,33 +181,45 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes, refs = np.concatenate(hashes), np.concatenate(refs)
     ranked = np.sort(hashes)
     again = ranked[1:][ranked[1:] == ranked[:-1]]
-    again = again[np.append(True, again[1:] != again[:-1])] if len(again) else again
     known = refs != _LOCAL
     which, hashes, refs = which[known], hashes[known], refs[known]
     shared = np.zeros(len(hashes), bool)
     if len(again):
-        at = np.searchsorted(again, hashes)
-        shared = again[np.minimum(at, len(again) - 1)] == hashes
+        shared = again[np.minimum(np.searchsorted(again, hashes), len(again) - 1)] == hashes
     keys, n = np.unique(which[shared].astype(np.int64) << 16 | refs[shared], return_counts=True)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.array(chunks, np.int64)[keys >> 16]), pa.array((keys & 0xFFFF).astype(np.int32)), pa.array(n)], names=["chunk", "ref", "n"]
-    )
+    edges = np.searchsorted(keys >> 16, np.arange(len(chunks) + 1)).tolist()
+    refs, n = (keys & 0xFFFF).astype("<u2"), n.astype("<u4")
+    some = [(c, refs[a:b].tobytes(), n[a:b].tobytes()) for c, a, b in zip(chunks, edges, edges[1:], strict=False) if a < b]
+    types = (pa.int64(), pa.binary(), pa.binary())
+    columns = zip(*some, strict=True) if some else [[]] * 3
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["chunk", "refs", "counts"])
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chunk, ref, elsewhere): the answers of all buckets for the documents of a chunk."""
+    chunk, total = None, np.zeros(1 << 16, np.int64)
+    for batch in batches:
+        for chunk, refs, counts in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("chunk", "refs", "counts")), strict=True):
+            np.add.at(total, np.frombuffer(refs, "<u2"), np.frombuffer(counts, "<u4"))
+    found = np.flatnonzero(total)
+    columns = [np.full(len(found), chunk, np.int64), found.astype(np.int32), total[found]]
+    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["chunk", "ref", "elsewhere"])
 
 
 def _candidates(hashed: DataFrame) -> DataFrame:
     """(fp, row_key): distinct sets that share enough of their prefix to have a link, and a document that has it."""
     docs = hashed.where(F.col("bucket").isNull() & (F.col("n") > 0))
     blobs = hashed.where(F.col("bucket").isNotNull()).select("bucket", "chunk", "hashes", "refs")
-    answers = blobs.groupBy("bucket").applyInArrow(_answers, "chunk long, ref int, n long")
-    answers = answers.groupBy("chunk", "ref").agg(F.sum("n").alias("elsewhere"))
+    answers = blobs.groupBy("bucket").applyInArrow(_answers, "chunk long, refs binary, counts binary")
+    answers = answers.groupBy("chunk").applyInArrow(_summed, "chunk long, ref int, elsewhere long")
     wanted = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * 75 / 100) / 4))
     shared = F.col("here") + F.coalesce(F.col("elsewhere"), F.lit(0))
     some = docs.select("fp", "row_key", "n", "chunk", "ref", "here").join(answers, ["chunk", "ref"], "left")
     return some.where(shared >= wanted).groupBy("fp").agg(F.min("row_key").alias("row_key"))
 
 
-def _sets(docs: DataFrame, candidates: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
-    """(fp, n, hashes) of the candidates, from the texts of their documents."""
+def _sets(docs: DataFrame, candidates: DataFrame, repeated: bool, doc_id: str, text: str, shingle: int) -> DataFrame:
+    """(fp, n, hashes) of the candidates, from the texts of their documents; ``repeated``: some of these come more than once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(shingle)
@@ -225,34 +237,36 @@ def _sets(docs: DataFrame, candidates: DataFrame, doc_id: str, text: str, shingl
 
     texts = docs.select(F.col(text).alias("text"), _row_key(doc_id, text)).join(candidates.select("row_key"), "row_key", "left_semi")
     sets = texts.select("text").mapInArrow(run, "fp string, n int, hashes array<long>").where(F.col("n") > 0)
-    return sets.groupBy("fp").agg(F.first("n").alias("n"), F.first("hashes").alias("hashes"))
+    return sets.groupBy("fp").agg(F.first("n").alias("n"), F.first("hashes").alias("hashes")) if repeated else sets
 
 
 def _groups(sets: DataFrame) -> DataFrame:
-    """(fp, group): sets that share one of the rarest hashes of each, connected. A set that shares none has no row."""
-    every = sets.select("fp", "n", F.explode("hashes").alias("hash"))
-    frequency = every.groupBy("hash").agg(F.count("*").alias("f")).where("f > 1")
+    """(id, group): sets that share one of the rarest hashes of each, connected. A set that shares none has no row."""
+    every = sets.select("id", "n", F.explode("hashes").alias("hash"))
+    frequency = every.groupBy("hash").agg(F.count("*").cast("int").alias("f")).where("f > 1")
     repeated = every.join(frequency, "hash")
     # Hashes of one set only come first in its order, and nothing else has them.
-    own = F.col("n") - F.count("*").over(Window.partitionBy("fp"))
-    place = own + F.row_number().over(Window.partitionBy("fp").orderBy("f", "hash"))
+    own = F.col("n") - F.count("*").over(Window.partitionBy("id"))
+    place = own + F.row_number().over(Window.partitionBy("id").orderBy("f", "hash"))
     length = F.col("n") - F.ceil(F.col("n") * 75 / 100) + 1
-    prefix = repeated.select("fp", "hash", place.alias("place"), length.alias("length")).where(F.col("place") <= F.col("length"))
-    prefix = written(prefix.select("fp", "hash"), "jaccard-prefixes")
-    least = prefix.groupBy("hash").agg(F.min("fp").alias("b"))
-    edges = prefix.join(least, "hash").select(F.col("fp").alias("a"), "b")
-    return components(edges).select(F.col("node").alias("fp"), F.col("root").alias("group"))
+    prefix = repeated.select("id", "hash", place.alias("place"), length.alias("length")).where(F.col("place") <= F.col("length"))
+    prefix = written(prefix.select("id", "hash"), "jaccard-prefixes")
+    least = prefix.groupBy("hash").agg(F.min("id").alias("b"))
+    edges = prefix.join(least, "hash").select(F.col("id").alias("a"), "b")
+    groups = components(edges)
+    discard(prefix)
+    return groups.select(F.col("node").alias("id"), F.col("root").alias("group"))
 
 
-def _links(sets: DataFrame, groups: DataFrame) -> DataFrame:
+def _links(sets: DataFrame, groups: DataFrame, weights: DataFrame) -> DataFrame:
     """(fp, root, links) for each set in each pair of blocks of its group."""
-    sizes = groups.join(sets.select("fp", "n"), "fp").groupBy("group").agg(F.count("*").alias("sets"), F.sum("n").alias("tokens"))
+    members = groups.join(sets.select("id", "fp", "n"), "id").join(weights, "fp")
+    sizes = members.groupBy("group").agg(F.count("*").alias("sets"), F.sum("n").alias("tokens")).where("sets > 1")
     n_blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("tokens") / BLOCK_TOKENS)).cast("int")
-    sizes = sizes.where("sets > 1").select("group", n_blocks.alias("blocks"))
-    block = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    rows = sets.join(groups, "fp").join(sizes, "group").withColumn("block", block)
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    rows = rows.select("fp", "weight", "hashes", "group", "block", other)
+    members = members.join(sizes.select("group", n_blocks.alias("blocks")), "group")
+    members = members.withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    members = members.select("id", "fp", "weight", "group", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rows = members.join(sets.select("id", "hashes"), "id")
     rows = rows.select("*", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"))
 
     def run(table: pa.Table) -> pa.Table:
@@ -280,10 +294,11 @@ def _classes(docs: DataFrame, doc_id: str, text: str, shingle: int) -> tuple[Dat
     candidates = written(_candidates(hashed), "jaccard-candidates")
     discard(hashed)
     classes = rows.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
-    sets = _sets(docs, candidates, doc_id, text, shingle).join(classes.select("fp", F.col("copies").alias("weight")), "fp")
-    sets = written(sets, "jaccard-sets")
+    repeated = not rows.join(candidates.select("row_key"), "row_key").groupBy("row_key").count().where("count > 1").isEmpty()
+    sets = _sets(docs, candidates, repeated, doc_id, text, shingle)
+    sets = written(sets.withColumn("id", F.monotonically_increasing_id()), "jaccard-sets")
     groups = written(_groups(sets), "jaccard-groups")
-    found = written(_links(sets, groups), "jaccard-links")
+    found = written(_links(sets, groups, classes.select("fp", F.col("copies").alias("weight"))), "jaccard-links")
     discard(candidates, sets, groups)
     roots = components(found.select(F.col("fp").alias("a"), F.col("root").alias("b")))
     others = found.groupBy("fp").agg(F.sum("links").alias("others"))

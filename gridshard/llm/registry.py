@@ -1,11 +1,12 @@
 """The queries of the operators on documents, and the SQL of those that SQL can express."""
 
-from gridshard.llm import decontamination, jaccard_join, language, mixing, pseudonyms, quality, repair, repetition, sharding
+from gridshard.llm import decontamination, jaccard_join, language, mixing, pseudo_likelihood, pseudonyms, quality, repair, repetition, sharding
 
 QUERIES = {
     "op1_mix_sources": mixing.op1,
     "op2_repetition_rules": repetition.op2,
     "op3_pseudonyms": pseudonyms.op3,
+    "op4_pseudo_likelihood": pseudo_likelihood.op4,
     "op5_quality_votes": quality.op5,
     "op6_token_files": repair.op6,
     "op7_language_id": language.op7,

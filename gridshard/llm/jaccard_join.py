@@ -235,7 +235,9 @@ def _sets(docs: DataFrame, candidates: DataFrame, repeated: bool, doc_id: str, t
                     names=["fp", "n", "hashes"],
                 )
 
-    texts = docs.select(F.col(text).alias("text"), _row_key(doc_id, text)).join(candidates.select("row_key"), "row_key", "left_semi")
+    # A merge join at every size: whether the candidates could be broadcast doesn't change the plan.
+    keys = candidates.select("row_key").hint("merge")
+    texts = docs.select(F.col(text).alias("text"), _row_key(doc_id, text)).join(keys, "row_key", "left_semi")
     sets = texts.select("text").mapInArrow(run, "fp string, n int, hashes array<long>").where(F.col("n") > 0)
     return sets.groupBy("fp").agg(F.first("n").alias("n"), F.first("hashes").alias("hashes")) if repeated else sets
 

@@ -48,7 +48,8 @@ def has_letter(text: str | None) -> bool:
 
 
 def ngrams(word: str, n: int) -> list[str]:
-    marked = f"<{word}>"
+    # The marks of the ends alone say nothing.
+    marked = f"<{word}>" if n > 1 else word
     return [marked[i : i + n] for i in range(len(marked) - n + 1)]
 
 

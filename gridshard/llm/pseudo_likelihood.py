@@ -36,7 +36,7 @@ OTHER = 64
 WINDOW = 2
 WIDTH = 24
 MASK = 8
-BATCH = 4096
+BATCH = 1024
 RATE = 0.1
 FAN_IN = 64
 BLOCK_FLOATS = 8192

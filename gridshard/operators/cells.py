@@ -55,14 +55,19 @@ def cell_counts(cells: DataFrame) -> DataFrame:
 
 
 def cell_stats(counts: DataFrame, grid: GridSpec = GridSpec()) -> DataFrame:
-    """One row: ``total``, ``sum_sq``, and ``mean`` and ``std`` over all cells of the grid, empty ones included."""
-    n = F.col("n")
+    """One row: ``total``, ``sum_sq``, and ``mean`` and ``std`` over all cells of the grid, empty ones included.
+
+    ``sum_sq`` is a decimal, as squares of counts outgrow 64 bits first. The variance is
+    the exact difference of two such products, so nothing cancels in it.
+    """
+    n = F.col("n").cast("decimal(19,0)")
     cells = F.lit(float(grid.num_cells))
-    variance = F.col("sum_sq") / cells - F.col("mean") * F.col("mean")
+    total, many = F.col("total").cast("decimal(19,0)"), F.lit(grid.num_cells).cast("decimal(6,0)")
+    spread = (many * F.col("sum_sq")).cast("decimal(38,0)") - (total * total).cast("decimal(38,0)")
     return (
-        counts.agg(F.sum(n).alias("total"), F.sum(n * n).alias("sum_sq"))
+        counts.agg(F.sum("n").alias("total"), F.sum((n * n).cast("decimal(38,0)")).alias("sum_sq"))
         .withColumn("mean", F.col("total") / cells)
-        .withColumn("std", F.sqrt(F.greatest(variance, F.lit(0.0))))
+        .withColumn("std", F.sqrt(spread.cast("double")) / cells)
     )
 
 

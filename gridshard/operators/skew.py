@@ -1,40 +1,54 @@
-"""Equi joins whose keys may be hot on either side.
+"""Equi joins whose keys may be hot.
 
-A hot key is one that holds more than a shuffle partition's share of the rows, so
-there are fewer of them than partitions. Only their rows are spread: a row of the
-hot side goes to one of the key's salts, the matching rows of the other side to
-all of them. The result is the plain inner join whatever was found hot.
+What makes a key hot is the pairs it has: the product of its rows on both sides, held
+against all pairs of the join. Rows of a hot key are spread over salts of both sides, a row of
+one side goes to one of its own salts and all of the other's, so the key's pairs
+are cut into parts of less than a partition's share. The result is the plain inner
+join whatever was found hot.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-# Limit of the frequent-items aggregate.
-_MAX_HOT_KEYS = 10_000
-# Items tracked per wanted item; its counts are off by at most 3.5 / tracked of all rows.
-_TRACKED_PER_KEY = 16
+# A key is cut into parts of a partition's share divided by this: several to a partition even out.
+_PARTS_PER_SHARE = 8
+# Share of the left rows that keys are counted on. Salts only balance, so an estimate will do.
+_SAMPLED = 1 / 16
 
 
 def shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """The number the session sets; where that isn't a number, one for each core."""
+    wanted = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    return int(wanted) if wanted.isdigit() else df.sparkSession.sparkContext.defaultParallelism
 
 
-def heavy_keys(df: DataFrame, keys: list[str]) -> dict[int, int]:
-    """Hashes of the keys above a partition's share of the rows, with their size in partitions.
+def hot_keys(left: DataFrame, right: DataFrame, keys: list[str], sampled: float = _SAMPLED) -> list[tuple[int, int, int]]:
+    """Hash and number of salts on either side of each key with more than a part of all pairs.
 
-    One pass with a frequent-items aggregate of bounded size.
+    There are at most as many such keys as parts. Left rows are counted on a sample.
     """
-    wanted = min(shuffle_partitions(df), _MAX_HOT_KEYS)
-    row = df.selectExpr(
-        "count(*) AS n",
-        f"approx_top_k(xxhash64({', '.join(keys)}), {wanted}, {wanted * _TRACKED_PER_KEY}) AS top",
-    ).first()
-    shares = {item["item"]: item["count"] * wanted / row["n"] for item in row["top"]}
-    return {item: math.ceil(share) for item, share in shares.items() if share > 1}
+    parts = shuffle_partitions(left) * _PARTS_PER_SHARE
+    hashed = F.xxhash64(*keys).alias("_hash")
+    some = left.select(hashed).sample(sampled, 29).groupBy("_hash").agg((F.count(F.lit(1)) / sampled).alias("_l"))
+    many = right.select(hashed).groupBy("_hash").agg(F.count(F.lit(1)).alias("_r"))
+    work = some.join(many, "_hash").withColumn("_pairs", F.col("_l") * F.col("_r"))
+    total = Observation()
+    top = work.observe(total, F.sum("_pairs").alias("pairs")).orderBy(F.desc("_pairs")).limit(parts).collect()
+    if not top:
+        return []
+    part = total.get["pairs"] / parts
+    salts = []
+    for row in top:
+        cuts = math.ceil(row["_pairs"] / part)
+        if cuts > 1:
+            # As many salts on each side as make the copied rows fewest.
+            n_left = min(cuts, max(1, round(math.sqrt(cuts * row["_l"] / row["_r"]))))
+            salts.append((row["_hash"], n_left, -(-cuts // n_left)))
+    return salts
 
 
 def spread(salts: Column, columns: list[str]) -> Column:
@@ -53,34 +67,26 @@ def skew_join(
     spread_right: list[str],
     condition: Column | None = None,
 ) -> DataFrame:
-    """Inner shuffle join on ``keys`` that splits hot keys of both sides.
+    """Inner shuffle join on ``keys`` that splits hot keys.
 
     ``spread_left`` and ``spread_right`` are columns that differ between most rows of a key.
+    The partitions are numbered explicitly: adaptive execution would put small ones, which may have most pairs, together.
     """
-    salts: dict[int, list[int]] = {}
-    for side, df in enumerate((left, right)):
-        for item, parts in heavy_keys(df, keys).items():
-            salts.setdefault(item, [1, 1])[side] = parts + 1
     on = list(keys)
-    if salts:
-        rows = []
-        for item, (n_left, n_right) in salts.items():
-            if n_left > 1 and n_right > 1:
-                # Both sides are replicated, so the tasks of the key are the product.
-                n_left, n_right = math.isqrt(n_left) + 1, math.isqrt(n_right) + 1
-            rows.append((item, n_left, n_right))
-        hot = left.sparkSession.createDataFrame(rows, "_hash long, _salts_l int, _salts_r int")
+    if salts := hot_keys(left, right, keys):
+        hot = left.sparkSession.createDataFrame(salts, "_hash long, _salts_l int, _salts_r int")
         left = _salted(left, hot, keys, "_salts_l", "_salts_r", "_salt_l", "_salt_r", spread_left)
         right = _salted(right, hot, keys, "_salts_r", "_salts_l", "_salt_r", "_salt_l", spread_right)
         on += ["_salt_l", "_salt_r"]
-    joined = left.join(right.hint("merge"), on, "inner")
+    n = shuffle_partitions(left)
+    joined = left.repartition(n, *on).join(right.repartition(n, *on).hint("merge"), on, "inner")
     if condition is not None:
         joined = joined.where(condition)
     return joined.drop("_salt_l", "_salt_r")
 
 
 def _salted(df, hot, keys, own, other, own_salt, other_salt, columns):
-    # Fewer rows than shuffle partitions: safe to broadcast.
+    # A bounded number of rows for each shuffle partition: safe to broadcast.
     tagged = df.withColumn("_hash", F.xxhash64(*keys)).join(F.broadcast(hot), "_hash", "left")
     own_salts = F.coalesce(F.col(own), F.lit(1))
     copies = F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)

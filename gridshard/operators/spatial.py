@@ -5,11 +5,13 @@ opposite corners in any order. All other columns are carried along. Coordinates
 that are null, NaN or infinite match nothing.
 
 ``mode="exact"`` compares coordinates. ``mode="compat"`` compares areas with a
-tolerance (see ``geometry.contains_by_area``).
+tolerance (see ``geometry.contains_by_area``); a rectangle that is a point then accepts
+every point, so it pairs with all of them.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -32,6 +34,8 @@ def _contains(mode: str):
 
 def range_select(points: DataFrame, rect: tuple[float, float, float, float], mode: str = "exact") -> DataFrame:
     """Points inside one rectangle."""
+    if not all(map(math.isfinite, map(float, rect))):
+        return points.where(F.lit(False))
     x, y = F.col("x"), F.col("y")
     corners = [F.lit(float(v)) for v in rect]
     inside = _contains(mode)(x, y, *corners) & is_finite(x) & is_finite(y)
@@ -93,6 +97,7 @@ def range_join(points: DataFrame, rects: DataFrame, mode: str = "exact", strateg
 
 def _measured(points: DataFrame, rects: DataFrame, mode: str, strategy: str):
     _contains(mode)
+    bj.check_names(points, rects.drop("_rects"))
     cover, stats = bj.cover_boxes(_rect_boxes(rects, mode, _farthest(points, rects, mode)))
     return cover, stats, _broadcasts(stats, strategy)
 
@@ -100,7 +105,10 @@ def _measured(points: DataFrame, rects: DataFrame, mode: str, strategy: str):
 def _broadcasts(stats: bj.BoxStats, strategy: str) -> bool:
     if strategy not in ("auto", "broadcast", "shuffle"):
         raise ValueError(f"strategy must be 'auto', 'broadcast' or 'shuffle', not {strategy!r}")
-    return strategy == "broadcast" or (strategy == "auto" and stats.cell_bytes <= bj.BROADCAST_BYTES)
+    fits = stats.cell_bytes <= bj.BROADCAST_BYTES
+    if strategy == "broadcast" and not fits:
+        raise ValueError(f"{stats.cell_bytes} bytes of cells are too many to broadcast; the limit is {bj.BROADCAST_BYTES}")
+    return fits and strategy != "shuffle"
 
 
 def _range_pairs(points, mode, cover, stats, broadcast) -> DataFrame:
@@ -121,17 +129,12 @@ def range_join_count(
 ) -> DataFrame:
     """Number of pairs of ``range_join``.
 
-    Copies of a rectangle, and of a point where points are shuffled at all, are
-    counted before they meet.
+    Copies of a rectangle are counted before they meet points. Points are shuffled once at most, on the cell.
     """
     rects = _collapsed(rects, list(CORNERS), "_rects")
     points = points.select("x", "y")
     cover, stats, broadcast = _measured(points, rects, mode, strategy)
-    if broadcast:
-        return _weighted_count(_range_pairs(points, mode, cover, stats, True), F.col("_rects"))
-    points = _collapsed(points, ["x", "y"], "_points")
-    pairs = _range_pairs(points, mode, cover, stats, False)
-    return _weighted_count(pairs, F.col("_rects") * F.col("_points"))
+    return _weighted_count(_range_pairs(points, mode, cover, stats, broadcast), F.col("_rects"))
 
 
 def distance_join(left: DataFrame, right: DataFrame, d: float, strategy: str = "auto") -> DataFrame:
@@ -143,6 +146,7 @@ def distance_join(left: DataFrame, right: DataFrame, d: float, strategy: str = "
     small enough, else shuffles both.
     """
     d = float(d)
+    bj.check_names(left, right)
     if not d >= 0:
         return bj.no_pairs(left, right)
     side, cover, stats = _distance_side(left, right, d, strategy)
@@ -152,8 +156,8 @@ def distance_join(left: DataFrame, right: DataFrame, d: float, strategy: str = "
 def distance_join_count(left: DataFrame, right: DataFrame, d: float, strategy: str = "auto") -> DataFrame:
     """Number of pairs of ``distance_join``.
 
-    Copies of a point are counted before they meet, except on a side that is
-    not shuffled anyway.
+    Copies of a point on the side that is broadcast are counted before they meet the others; the
+    other side, or both, are shuffled once at most, on the cell.
     """
     d = float(d)
     left, right = left.select(*_LEFT), right.select(*_RIGHT)
@@ -161,12 +165,12 @@ def distance_join_count(left: DataFrame, right: DataFrame, d: float, strategy: s
         return count_rows(bj.no_pairs(left, right))
     side, _, stats = _distance_side(left, right, d, strategy)
     weights = F.lit(1)
-    if side != "right":
-        left = _collapsed(left, list(_LEFT), "_left")
-        weights = weights * F.col("_left")
-    if side != "left":
-        right = _collapsed(right, list(_RIGHT), "_right")
-        weights = weights * F.col("_right")
+    if side == "left":
+        left = _collapsed(left, list(_LEFT), "_copies")
+        weights = F.col("_copies")
+    elif side == "right":
+        right = _collapsed(right, list(_RIGHT), "_copies")
+        weights = F.col("_copies")
     # The measure holds for the collapsed side: fewer rows in the same cells.
     cover = _disc_boxes(left, *_LEFT, d) if side == "left" else _disc_boxes(right, *_RIGHT, d)
     return _weighted_count(_distance_pairs(left, right, d, side, cover, stats), weights)
@@ -178,12 +182,12 @@ _LEFT, _RIGHT = ("x1", "y1"), ("x2", "y2")
 def _distance_side(left, right, d, strategy) -> tuple[str, DataFrame, bj.BoxStats]:
     """The side to broadcast (``left``, ``right`` or ``none``), and the covered side with its measure."""
     cover = _disc_boxes(right, *_RIGHT, d)
-    stats = bj.measure(cover)
+    stats, _ = bj.measure(cover)
     if _broadcasts(stats, strategy):
         return "right", cover, stats
     if strategy == "auto":
         left_cover = _disc_boxes(left, *_LEFT, d)
-        left_stats = bj.measure(left_cover)
+        left_stats, _ = bj.measure(left_cover)
         if _broadcasts(left_stats, strategy):
             return "left", left_cover, left_stats
     return "none", cover, stats
@@ -220,4 +224,5 @@ def _equal_points(left: DataFrame, right: DataFrame, side: str) -> DataFrame:
 
 def _keyed_points(df: DataFrame, x: str, y: str) -> DataFrame:
     finite = df.where(is_finite(F.col(x)) & is_finite(F.col(y)))
-    return finite.withColumns({"_i": F.col(x), "_j": F.col(y)})
+    # As text, which tells doubles apart and both zeros together.
+    return finite.withColumns({"_i": (F.col(x) + 0.0).cast("string"), "_j": (F.col(y) + 0.0).cast("string")})

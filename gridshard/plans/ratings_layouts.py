@@ -31,20 +31,20 @@ def metadata(spark: SparkSession, layout: str) -> DataFrame:
 
 def partition_by_range(ratings: DataFrame, layout: str, n: int) -> None:
     """Write ratings as ``n`` equal rating ranges, with the bounds as metadata."""
-    write_fragments(layouts.range_partition(ratings, n), f"{layout}/fragments", n)
+    write_fragments(layouts.range_partition(ratings, n), f"{layout}/fragments")
     layouts.range_bounds(ratings.sparkSession, n).write.mode("overwrite").parquet(f"{layout}/metadata")
 
 
 def append_by_range(batch: DataFrame, layout: str) -> None:
     """Add a batch of ratings to the fragments of their ranges."""
     n = metadata(batch.sparkSession, layout).count()
-    write_fragments(layouts.range_partition(batch, n), f"{layout}/fragments", n, "append")
+    write_fragments(layouts.range_partition(batch, n), f"{layout}/fragments", "append")
 
 
 def partition_round_robin(ratings: DataFrame, layout: str, n: int, order_by: list[str]) -> None:
     """Write ratings dealt to ``n`` fragments in ``order_by`` order, with the next fragment as metadata."""
-    write_fragments(layouts.round_robin(ratings, n, order_by), f"{layout}/fragments", n)
-    _write_state(ratings.sparkSession, layout, n)
+    write_fragments(layouts.round_robin(ratings, n, order_by), f"{layout}/fragments")
+    _write_state(ratings.sparkSession, layout, n, ratings.count())
 
 
 def append_round_robin(batch: DataFrame, layout: str, order_by: list[str]) -> None:
@@ -56,12 +56,13 @@ def append_round_robin(batch: DataFrame, layout: str, order_by: list[str]) -> No
     spark = batch.sparkSession
     n = metadata(spark, layout).first()["partition_num"]
     start = fragments(spark, layout).count() % n
-    write_fragments(layouts.round_robin(batch, n, order_by, start), f"{layout}/fragments", n, "append")
-    _write_state(spark, layout, n)
+    write_fragments(layouts.round_robin(batch, n, order_by, start), f"{layout}/fragments", "append")
+    _write_state(spark, layout, n, start + batch.count())
 
 
-def _write_state(spark: SparkSession, layout: str, n: int) -> None:
-    layouts.round_robin_state(fragments(spark, layout), n).write.mode("overwrite").parquet(f"{layout}/metadata")
+def _write_state(spark: SparkSession, layout: str, n: int, rows: int) -> None:
+    state = spark.range(1).select(F.lit(n).alias("partition_num"), F.lit(rows % n).alias("table_next_insert"))
+    state.write.mode("overwrite").parquet(f"{layout}/metadata")
 
 
 def fragment_sizes(spark: SparkSession, layout: str, n: int) -> DataFrame:

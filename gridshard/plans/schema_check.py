@@ -1,44 +1,70 @@
-"""All rules of a schema over its tables, as one report."""
+"""All rules of a schema over its tables, as one report.
+
+One pass over each table turns rows into findings: a value for each unique key, foreign
+key and key that others refer to, and a row for each null or failed check. Findings are
+counted by value, with map-side combine, so a frequent value is one row in what follows.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridshard.operators import integrity
 from gridshard.sources.schemas import RATINGS_SCHEMA, TableSpec
 
+REPORT = "table_name string, rule string, subject string"
+
 
 def check_schema(tables: dict[str, DataFrame], specs: dict[str, TableSpec] = RATINGS_SCHEMA) -> DataFrame:
     """One row per rule: ``table_name, rule, subject, violations`` (violating rows)."""
-    reports = []
-    for name, spec in specs.items():
-        df = tables[name]
-        nulls = integrity.not_null(df, list(spec.required))
-        reports.append(_report(nulls, name, "not null", F.col("column_name"), F.col("nulls")))
-        for key in spec.keys:
-            found = integrity.unique(df, list(key))
-            reports.append(_report(_rows(found), name, "unique", F.lit(", ".join(key)), F.col("rows")))
-        for column, parent, parent_key in spec.foreign_keys:
-            found = integrity.foreign_key(df, column, tables[parent], parent_key)
-            subject = F.lit(f"{column} -> {parent}.{parent_key}")
-            reports.append(_report(_rows(found), name, "foreign key", subject, F.col("rows")))
-        for rule in spec.checks:
-            found = integrity.check(df, F.expr(rule)).agg(F.count(F.lit(1)).alias("rows"))
-            reports.append(_report(found, name, "check", F.lit(rule), F.col("rows")))
-    return reduce(DataFrame.unionByName, reports)
-
-
-def _rows(counted: DataFrame) -> DataFrame:
-    return counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
-
-
-def _report(df, table, rule, subject, violations) -> DataFrame:
-    return df.select(
-        F.lit(table).alias("table_name"),
-        F.lit(rule).alias("rule"),
-        subject.alias("subject"),
-        violations.cast("long").alias("violations"),
+    referred = {(parent, key) for spec in specs.values() for _, parent, key in spec.foreign_keys}
+    found = reduce(DataFrame.unionByName, [_findings(tables[t], t, spec, specs, referred) for t, spec in specs.items()])
+    by_rule = ("table_name", "rule", "subject")
+    counted = found.groupBy("link", "value", *by_rule).agg(F.count(F.lit(1)).alias("n"))
+    # Of a value, one row for each rule that names it: few, whatever the tables hold.
+    met = counted.groupBy("link", "value").agg(
+        F.max(F.col("rule") == "known").alias("known"), F.collect_list(F.struct(*by_rule, "n")).alias("rules")
     )
+    violations = (
+        met.select("known", F.inline("rules"))
+        .where("rule IN ('not null', 'check') OR rule = 'unique' AND n > 1 OR rule = 'foreign key' AND NOT known")
+        .groupBy(*by_rule)
+        .agg(F.sum("n").alias("violations"))
+    )
+    rules = found.sparkSession.createDataFrame(_rules(specs), REPORT)
+    report = rules.join(violations, list(by_rule), "left")
+    return report.select("table_name", "rule", "subject", F.coalesce("violations", F.lit(0)).cast("long").alias("violations"))
+
+
+def _rules(specs: dict[str, TableSpec]) -> list[tuple[str, str, str]]:
+    out = []
+    for name, spec in specs.items():
+        out += [(name, "not null", c) for c in spec.required]
+        out += [(name, "unique", ", ".join(key)) for key in spec.keys]
+        out += [(name, "foreign key", f"{c} -> {parent}.{key}") for c, parent, key in spec.foreign_keys]
+        out += [(name, "check", rule) for rule in spec.checks]
+    return out
+
+
+def _findings(df: DataFrame, name: str, spec: TableSpec, specs: dict, referred: set[tuple[str, str]]) -> DataFrame:
+    """(table_name, rule, subject, link, value) of one table; a foreign key has the link of the key it refers to."""
+
+    def finding(rule: str, subject: str, value: Column, when: Column, link: str | None = None) -> Column:
+        texts = {"rule": rule, "subject": subject, "link": link or f"{rule} {name} {subject}"}
+        return F.when(when, F.struct(*(F.lit(v).alias(k) for k, v in texts.items()), value.alias("value")))
+
+    nothing = F.lit(None).cast("string")
+    out = [finding("not null", c, nothing, F.col(c).isNull()) for c in spec.required]
+    out += [finding("check", rule, nothing, ~F.expr(rule)) for rule in spec.checks]
+    for key in spec.keys:
+        complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
+        out.append(finding("unique", ", ".join(key), F.to_json(F.struct(*key)), complete))
+    referring = [("foreign key", f"{c} -> {parent}.{key}", c, parent, key) for c, parent, key in spec.foreign_keys]
+    referring += [("known", key, key, name, key) for parent, key in sorted(referred) if parent == name]
+    for rule, subject, column, parent, key in referring:
+        # Values are compared in the type that the schema gives the key.
+        value = F.col(column).cast(specs[parent].schema[key].dataType).cast("string")
+        out.append(finding(rule, subject, value, F.col(column).isNotNull(), f"{parent}.{key}"))
+    return df.select(F.lit(name).alias("table_name"), F.inline(F.array_compact(F.array(*out))))

@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Fragments up to which each task may as well write one file per fragment.
-_DIRECT_FRAGMENTS = 16
-
 
 def write_csv_results(results: list[DataFrame], prefix: str) -> list[str]:
     """One CSV folder per result: ``prefix`` followed by its position. Replaces what is there."""
@@ -16,16 +13,15 @@ def write_csv_results(results: list[DataFrame], prefix: str) -> list[str]:
     return paths
 
 
-def write_fragments(df: DataFrame, path: str, n: int, mode: str = "overwrite") -> None:
+def write_fragments(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write rows to one folder per ``part_id``; rows without one keep a folder of their own.
 
-    With few fragments every task writes its own file to each, without a shuffle.
-    With many, rows are first gathered by fragment into files of even size; a
-    fragment that holds much of the table is split over many tasks.
+    Rows are first gathered by fragment into files of even size, and a fragment that
+    holds much of the table is split over many tasks. Adaptive execution does that, so it has to be on.
     """
-    if n > _DIRECT_FRAGMENTS:
-        df = df.hint("rebalance", "part_id")
-    df.write.mode(mode).partitionBy("part_id").parquet(path)
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        raise ValueError("writing fragments needs spark.sql.adaptive.enabled")
+    df.hint("rebalance", "part_id").write.mode(mode).partitionBy("part_id").parquet(path)
 
 
 def read_fragments(spark: SparkSession, path: str) -> DataFrame:

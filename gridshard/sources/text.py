@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridshard.functions.parsing import coordinate, parsed_once, strip_parens, timestamp_of
@@ -62,4 +62,17 @@ def scan_ratings(spark: SparkSession, path: str) -> DataFrame:
 
 def unparsed(scanned: DataFrame) -> DataFrame:
     """Rows of a scan in which some value is missing."""
-    return scanned.where(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in scanned.columns]))
+    return scanned.where(_any_null(scanned.columns))
+
+
+def _any_null(columns: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
+
+
+def reject_counts(scans: dict[str, DataFrame]) -> DataFrame:
+    """``source, total, rejected`` of each scan: its rows, and those in which some value is missing."""
+    counts = []
+    for name, df in scans.items():
+        bad = F.count_if(_any_null(df.columns))
+        counts.append(df.agg(F.count(F.lit(1)).alias("total"), bad.alias("rejected")).select(F.lit(name).alias("source"), "*"))
+    return reduce(DataFrame.unionByName, counts)

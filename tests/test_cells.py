@@ -1,3 +1,4 @@
+import math
 import random
 from collections import Counter
 from datetime import datetime
@@ -125,3 +126,13 @@ def test_trips_are_read_once(spark, tmp_path):
     assert "ReusedExchange" in plan
     pushed = plan.split("PushedFilters: ")[1].split("ReadSchema")[0]
     assert "GreaterThanOrEqual(lon,-74.51)" in pushed and "LessThanOrEqual(lat,40.92)" in pushed
+
+
+def test_statistics_of_very_many_trips(spark):
+    grid = GridSpec()
+    one = cells.cell_stats(spark.createDataFrame([(0, 0, 1, 4 * 10**9)], "x int, y int, z int, n long")).first()
+    assert one.sum_sq == 16 * 10**18
+    assert one.std == pytest.approx(4e9 * math.sqrt((1 - 1 / grid.num_cells) / grid.num_cells))
+    even = spark.range(grid.num_cells).select(F.lit(10**7).cast("long").alias("n"))
+    row = cells.cell_stats(even).first()
+    assert (row.total, row.sum_sq, row.mean, row.std) == (grid.num_cells * 10**7, grid.num_cells * 10**14, 1e7, 0.0)

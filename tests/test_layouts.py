@@ -150,9 +150,19 @@ def test_round_robin_layout_on_storage(spark, tmp_path):
     assert ratings_layouts.metadata(spark, layout).first().table_next_insert == 0
 
 
-def test_many_fragments_are_gathered_before_writing(spark, tmp_path):
+@pytest.mark.parametrize("n", [5, 16, 17, 50])
+def test_fragments_are_gathered_before_writing(spark, tmp_path, n):
     layout = str(tmp_path / "many")
-    ratings_layouts.partition_by_range(ratings_of(spark, [i / 100 for i in range(501)]).repartition(6), layout, 50)
+    ratings_layouts.partition_by_range(ratings_of(spark, [i / 100 for i in range(501)]).repartition(40), layout, n)
     files = [p for p in (tmp_path / "many" / "fragments").rglob("*.parquet")]
-    assert 50 <= len(files) <= 100
+    assert n <= len(files) <= 2 * n
     assert ratings_layouts.fragments(spark, layout).count() == 501
+
+
+def test_writing_fragments_needs_adaptive_execution(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="adaptive"):
+            ratings_layouts.partition_by_range(ratings_of(spark, [1.0]), str(tmp_path / "layout"), 2)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

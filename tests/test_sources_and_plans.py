@@ -159,3 +159,13 @@ def test_schema_report(spark):
         ("tags", "foreign key", "movieid -> movies.movieid"): 1,
         ("hasagenre", "foreign key", "genreid -> genres.genreid"): 1,
     }
+
+
+def test_schema_report_reads_each_table_once_for_its_rules(spark, tmp_path):
+    tables = {}
+    for name, spec in RATINGS_SCHEMA.items():
+        path = str(tmp_path / name)
+        spark.createDataFrame([], spec.schema).write.parquet(path)
+        tables[name] = spark.read.parquet(path)
+    plan = schema_check.check_schema(tables)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 7

@@ -5,6 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from workload import inputs, queries
+
 from gridshard.operators import box_join, skew, spatial
 
 
@@ -114,11 +116,11 @@ def test_boxes_of_many_shapes_share_cell_sides(spark):
         rects.append((x, y, x + 1.3 * 2.0**i, y + 1.7 * 2.0**j))
     points = [(rng.uniform(-60, 60), rng.uniform(-60, 60)) for _ in range(100)] + [r[2:] for r in rects]
     boxes = spatial._rect_boxes(rects_of(spark, rects), "exact")
-    assert len(box_join.measure(box_join.covered(boxes)).sides) > 100
+    assert len(box_join.measure(box_join.covered(boxes))[0].sides) > 100
     cover, stats = box_join.cover_boxes(boxes)
-    assert len(stats.sides) <= 16
+    assert len(stats.sides) <= box_join.MAX_PAIRS
     cells = cover.selectExpr("max((_i1 - _i0 + 1) * (_j1 - _j0 + 1))").first()[0]
-    assert cells <= 34 * 34
+    assert cells <= box_join.MAX_CELLS
     expected = sum(by_coordinates(*p, *r) for p in points for r in rects)
     for strategy in ("broadcast", "shuffle"):
         joined = spatial.range_join(points_of(spark, points), rects_of(spark, rects), strategy=strategy)
@@ -214,7 +216,7 @@ def test_distance_join_equals_nested_loop(spark, d, strategy):
 def test_distance_join_below_the_resolution_of_coordinates(spark):
     rows = [(1e12 + i, -1e15) for i in range(50)] + [(0.0, 0.0), (1e-7, 0.0), (1e300, 1.0)]
     left, right = pair_inputs(spark, rows, rows)
-    stats = box_join.measure(spatial._disc_boxes(right, "x2", "y2", 1e-6))
+    stats, _ = box_join.measure(spatial._disc_boxes(right, "x2", "y2", 1e-6))
     assert stats.cell_bytes < 53 * 40 * 400
     for strategy in ("broadcast", "shuffle"):
         pairs = spatial.distance_join(left, right, 1e-6, strategy).collect()
@@ -234,7 +236,9 @@ def test_auto_picks_the_side_that_fits(spark, monkeypatch):
     assert spatial.distance_join(left, right, 2).count() == expected
     left, right = pair_inputs(spark, many, many)
     assert spatial._distance_side(left, right, 2.0, "auto")[0] == "none"
-    assert "BroadcastHashJoin" not in plan_of(spatial.distance_join(left, right, 2))
+    plan = plan_of(spatial.distance_join(left, right, 2))
+    # What is broadcast are hot keys at most.
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == plan.count("BroadcastHashJoin [_hash")
 
 
 def plan_of(df):
@@ -286,16 +290,115 @@ def test_hot_cell_is_spread_over_salts(spark):
 def test_skew_join_with_hot_keys_on_both_sides(spark):
     left = spark.range(3000).selectExpr("if(id % 3 = 0, 1, id) AS k", "id AS a")
     right = spark.range(900).selectExpr("if(id % 3 = 0, 1, id) AS k", "id AS b")
-    assert list(skew.heavy_keys(left, ["k"]).values()) == [3]
-    assert skew.heavy_keys(spark.range(0), ["id"]) == {}
-    assert skew.heavy_keys(spark.range(100_000), ["id"]) == {}
+    (_, n_left, n_right), *others = skew.hot_keys(left, right, ["k"], sampled=1.0)
+    assert not others and n_left > n_right > 1 and n_left * n_right >= 60
+    assert skew.hot_keys(spark.range(0), spark.range(0), ["id"]) == []
+    assert skew.hot_keys(spark.range(100_000), spark.range(100_000), ["id"]) == []
     joined = skew.skew_join(left, right, ["k"], ["a"], ["b"])
     plain = left.join(right, "k").select("k", "a", "b")
     assert joined.columns == ["k", "a", "b"]
     assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
 
 
+@pytest.mark.parametrize("shares", [(0.1, 0.1), (0.5, 0.002), (0.002, 0.5)])
+def test_no_task_gets_much_more_than_its_share_of_the_pairs(spark, shares):
+    """One key with nearly all pairs, with adaptive execution on."""
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true"
+    n = 50_000
+    left, right = (
+        spark.range(n).selectExpr(f"if(id < {int(n * s)}, -1, id * 2 + {i}) AS k", f"id AS {c}")
+        for i, (s, c) in enumerate(zip(shares, "ab"))
+    )
+    joined = skew.skew_join(left, right, ["k"], ["a"], ["b"])
+    tasks = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    total = int(n * shares[0]) * int(n * shares[1])
+    assert sum(tasks) == total and len(tasks) == skew.shuffle_partitions(joined)
+    assert max(tasks) <= 2 * total / len(tasks)
+
+
+def test_shuffle_partitions_of_a_setting_that_is_no_number(spark):
+    class Conf:
+        def get(self, _):
+            return "auto"
+
+    class Frame:
+        class sparkSession:
+            conf, sparkContext = Conf(), spark.sparkContext
+
+    assert skew.shuffle_partitions(Frame) == spark.sparkContext.defaultParallelism
+
+
 def test_spread_is_even_for_copies(spark):
-    copies = spark.range(0, 80_000, 1, 40).select(F.lit(1.0).alias("x"))
+    copies = spark.range(0, 80_000, 1, 400).select(F.lit(1.0).alias("x"))
     salts = copies.select(skew.spread(F.lit(4), ["x"]).alias("s")).groupBy("s").count().collect()
-    assert len(salts) == 4 and max(r["count"] for r in salts) < 60_000
+    assert len(salts) == 4 and max(r["count"] for r in salts) < 30_000
+
+
+def test_wide_boxes_keep_to_their_own_cells(spark):
+    rects = [(i * 1e14, 0.0, i * 1e14 + 2e12, 2e12) for i in range(1000)]
+    cover, stats = box_join.cover_boxes(spatial._rect_boxes(rects_of(spark, rects), "exact"))
+    cells = box_join.explode_cells(cover)
+    assert cells.groupBy("_kx", "_ky", "_i", "_j").count().agg(F.max("count")).first()[0] == 1
+    points = [(i * 1e14 + 1e12, 1e12) for i in range(1000)]
+    joined = spatial.range_join(points_of(spark, points), rects_of(spark, rects))
+    assert sorted((r.rid, r.pid) for r in joined.collect()) == [(i, i) for i in range(1000)]
+
+
+def test_shapes_over_sixty_powers_of_two(spark):
+    rng = random.Random(4)
+    rects = []
+    for _ in range(5000):
+        x, y = rng.uniform(-50, 50), rng.uniform(-50, 50)
+        rects.append((x, y, x + 2 ** rng.uniform(-30, 30), y + 2 ** rng.uniform(-30, 30)))
+    cover, stats = box_join.cover_boxes(spatial._rect_boxes(rects_of(spark, rects), "exact"))
+    assert len(stats.sides) <= box_join.MAX_PAIRS
+    assert cover.selectExpr("max((_i1 - _i0 + 1) * (_j1 - _j0 + 1))").first()[0] <= box_join.MAX_CELLS
+
+
+@pytest.mark.parametrize("rect", [(-1e308, -1e308, 1e308, 1e308), (0.0, 0.0, 0.0, 0.0), (1e-300, 0.0, 2e-300, 1e-310)])
+def test_boxes_at_the_limits_of_doubles(spark, rect):
+    points = [(0.0, 0.0), (1.5e-300, 0.0), (1e300, -1e300), (-0.0, 0.0)]
+    expected = [i for i, p in enumerate(points) if by_coordinates(*p, *rect)]
+    joined = spatial.range_join(points_of(spark, points), rects_of(spark, [rect]))
+    assert sorted(r.pid for r in joined.collect()) == expected
+
+
+def test_infinite_rectangles_match_nothing(spark):
+    rect = (-math.inf, -math.inf, math.inf, math.inf)
+    points = points_of(spark, [(0.0, 0.0)])
+    for mode in ("exact", "compat"):
+        assert spatial.range_select(points, rect, mode).count() == 0
+        assert spatial.range_join(points, rects_of(spark, [rect]), mode).count() == 0
+
+
+def test_broadcast_is_checked_and_names_are_reserved(spark, monkeypatch):
+    points, rects = points_of(spark, [(0.0, 0.0)]), rects_of(spark, [(0.0, 0.0, 1.0, 1.0)] * 3)
+    with pytest.raises(ValueError, match="reserved"):
+        spatial.range_join(points.withColumn("_KX", F.lit(1)), rects)
+    with pytest.raises(ValueError, match="reserved"):
+        spatial.range_join(points, rects.withColumn("_i", F.lit(1)))
+    monkeypatch.setattr(box_join, "BROADCAST_BYTES", 10)
+    with pytest.raises(ValueError, match="too many to broadcast"):
+        spatial.range_join(points, rects, strategy="broadcast")
+
+
+def test_counts_shuffle_each_side_once(spark):
+    points, rects = points_of(spark, [(0.5, 0.5)] * 50), rects_of(spark, [(0.0, 0.0, 1.0, 1.0)] * 3)
+    plan = plan_of(spatial.range_join_count(points, rects, strategy="shuffle"))
+    # Copies of rectangles, both sides on the cell, and the sum.
+    assert plan.count("Exchange hashpartitioning") == 3
+    left, right = pair_inputs(spark, [(0.0, 0.0)] * 9, [(0.0, 1.0)] * 9)
+    plan = plan_of(spatial.distance_join_count(left, right, 2, "shuffle"))
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert spatial.distance_join_count(left, right, 2, "shuffle").first().n == 81
+
+
+def test_compat_queries_differ_from_exact(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    points, rects = inputs.points(spark, sf_dir), inputs.flat_rectangles(spark, sf_dir)
+    exact, compat = (spatial.range_join(points, rects, mode).select("rid", "x", "y") for mode in ("exact", "compat"))
+    assert exact.exceptAll(compat).isEmpty() and compat.exceptAll(exact).count() > 6000
+    edge = F.col("rid") % 10 == 2
+    assert exact.where(edge).count() < compat.where(edge).count()
+    flat = queries.FLAT_RECT
+    assert spatial.range_select(points, flat).count() < spatial.range_select(points, flat, "compat").count()

@@ -28,6 +28,18 @@ def rectangles(spark, sf_dir) -> DataFrame:
     )
 
 
+def flat_rectangles(spark, sf_dir) -> DataFrame:
+    """Rectangles that tell containment by area from containment by coordinates: some without width
+    or height, one that is a point, and some whose edge misses whole numbers by 1e-12."""
+    return table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS rid",
+        "s_suppkey % 45 + if(s_suppkey % 10 = 2, 1e-12D, 0D) AS x1",
+        "cast((s_suppkey * 7) % 100 AS double) AS y1",
+        "s_suppkey % 45 + if(s_suppkey % 10 = 0 OR s_suppkey = 5, 0D, 5D) AS x2",
+        "(s_suppkey * 7) % 100 + if(s_suppkey % 10 = 1 OR s_suppkey = 5, 0D, 10D) AS y2",
+    )
+
+
 def customers(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "customer").selectExpr(
         "c_custkey AS id1", "c_acctbal / 1e2 AS x1", "cast(c_nationkey AS double) AS y1"
@@ -40,15 +52,16 @@ def suppliers(spark, sf_dir) -> DataFrame:
     )
 
 
-def point_texts(spark, sf_dir) -> DataFrame:
+def point_texts(spark, sf_dir, *more: str) -> DataFrame:
     """One ``"x,y"`` text per line item."""
     return table(spark, sf_dir, "lineitem").selectExpr(
         "concat(cast(cast(l_quantity AS int) AS string), ',',"
-        " cast(cast(l_extendedprice / 1e3 AS decimal(10,5)) AS string)) AS point"
+        " cast(cast(l_extendedprice / 1e3 AS decimal(10,5)) AS string)) AS point",
+        *more,
     )
 
 
-def rectangle_texts(spark, sf_dir) -> DataFrame:
+def rectangle_texts(spark, sf_dir, *more: str) -> DataFrame:
     """One zone ``"x1,y1,x2,y2"`` in degrees per supplier."""
 
     def degrees(hundredths: str) -> str:
@@ -64,11 +77,12 @@ def rectangle_texts(spark, sf_dir) -> DataFrame:
                 degrees("4054 + (s_suppkey * 7) % 40"),
             ]
         )
-        + ") AS rectangle"
+        + ") AS rectangle",
+        *more,
     )
 
 
-def trip_texts(spark, sf_dir) -> DataFrame:
+def trip_texts(spark, sf_dir, *more: str) -> DataFrame:
     """Pickup time and ``"(lon,lat)"`` per line item, as texts."""
     lon = "cast(cast(-74.52e0 + 1e-2 * l_quantity + 5e-3 AS decimal(8,3)) AS string)"
     lat = "cast(cast(40.48e0 + 1e-2 * (l_suppkey % 45) + 5e-3 AS decimal(8,3)) AS string)"
@@ -76,7 +90,26 @@ def trip_texts(spark, sf_dir) -> DataFrame:
         "date_format(l_shipdate, 'yyyy-MM-dd HH:mm:ss') AS time",
         f"concat('(', {lon}, ',', {lat}, ')') AS point",
         "cast(l_orderkey AS string) AS vendor",
+        *more,
+    )
+
+
+def dirty_texts(spark, sf_dir) -> dict[str, tuple[DataFrame, str]]:
+    """Lines of each text source and their separator; some are malformed."""
+    points = point_texts(spark, sf_dir, "l_linenumber").selectExpr(
+        "CASE l_linenumber WHEN 5 THEN '' WHEN 6 THEN '1' WHEN 7 THEN 'a,b' ELSE point END AS point"
+    )
+    rects = rectangle_texts(spark, sf_dir, "s_suppkey").selectExpr("if(s_suppkey % 7 = 0, '1,2,3', rectangle) AS rectangle")
+    trips = trip_texts(spark, sf_dir, "l_linenumber").selectExpr(
+        "vendor",
+        "if(l_linenumber = 7, '2009-02-30 01:00:00', time) AS time",
+        "'0' AS u0", "'0' AS u1", "'0' AS u2",
+        "if(l_linenumber = 6, '(1)', point) AS point",
+    )
+    ratings = rating_lines(spark, sf_dir, "l_linenumber").selectExpr(
+        "CASE l_linenumber WHEN 6 THEN '1::2' WHEN 7 THEN 'x::y::z::t' ELSE line END AS line"
     )
+    return {"points": (points, "\t"), "rectangles": (rects, "\t"), "trips": (trips, ";"), "ratings": (ratings, "\t")}
 
 
 def trips(spark, sf_dir) -> DataFrame:
@@ -126,12 +159,13 @@ def ordered_batch(spark, sf_dir) -> DataFrame:
     )
 
 
-def rating_lines(spark, sf_dir) -> DataFrame:
+def rating_lines(spark, sf_dir, *more: str) -> DataFrame:
     """Lines ``userid::movieid::rating::timestamp`` with half-star ratings."""
     return table(spark, sf_dir, "lineitem").selectExpr(
         "concat_ws('::', cast(l_suppkey AS string), cast(l_partkey AS string),"
         " cast(cast(round(l_discount * 100) / 2 AS decimal(3,1)) AS string),"
-        " cast(unix_timestamp(l_shipdate) AS string)) AS line"
+        " cast(unix_timestamp(l_shipdate) AS string)) AS line",
+        *more,
     )
 
 

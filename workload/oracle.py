@@ -11,6 +11,15 @@ SELECT s_suppkey AS rid,
 FROM supplier
 """
 
+FLAT_RECTANGLES = """
+SELECT s_suppkey AS rid,
+       s_suppkey % 45 + CASE WHEN s_suppkey % 10 = 2 THEN 1e-12 ELSE 0e0 END AS x1,
+       CAST((s_suppkey * 7) % 100 AS DOUBLE) AS y1,
+       s_suppkey % 45 + CASE WHEN s_suppkey % 10 = 0 OR s_suppkey = 5 THEN 0e0 ELSE 5e0 END AS x2,
+       (s_suppkey * 7) % 100 + CASE WHEN s_suppkey % 10 = 1 OR s_suppkey = 5 THEN 0e0 ELSE 10e0 END AS y2
+FROM supplier
+"""
+
 POINT_TEXT = """
 CAST(CAST(l_quantity AS INT) AS VARCHAR) || ',' || CAST(CAST(l_extendedprice / 1e3 AS DECIMAL(10,5)) AS VARCHAR)
 """
@@ -59,8 +68,8 @@ def _area_test(x1, y1, x2, y2) -> str:
     return f"({fan}) - {rectangle} <= 1e-10"
 
 
-def _range_join(test: str) -> str:
-    return f"SELECT rid, l_orderkey, l_linenumber, x, y FROM ({RECTANGLES}) r JOIN ({POINTS}) p ON {test}"
+def _range_join(test: str, rectangles: str = RECTANGLES) -> str:
+    return f"SELECT rid, l_orderkey, l_linenumber, x, y FROM ({rectangles}) r JOIN ({POINTS}) p ON {test}"
 
 
 RANGE_JOIN = _range_join("x BETWEEN x1 AND x2 AND y BETWEEN y1 AND y2")
@@ -240,6 +249,11 @@ FROM ({TRIP_TEXTS})""",
     "src_pickups": f"""
 SELECT lon || ',' || lat AS point, CAST(lon AS DOUBLE) AS lon, CAST(lat AS DOUBLE) AS lat
 FROM ({TRIP_TEXTS})""",
+    "src_rejects": """
+SELECT 'points' AS source, count(*) AS total, count(*) FILTER (l_linenumber IN (5, 6, 7)) AS rejected FROM lineitem
+UNION ALL SELECT 'rectangles', count(*), count(*) FILTER (s_suppkey % 7 = 0) FROM supplier
+UNION ALL SELECT 'trips', count(*), count(*) FILTER (l_linenumber IN (6, 7)) FROM lineitem
+UNION ALL SELECT 'ratings', count(*), count(*) FILTER (l_linenumber IN (6, 7)) FROM lineitem""",
     "load_ratings": """
 SELECT CAST(l_suppkey AS INT) AS userid, CAST(l_partkey AS INT) AS movieid,
        CAST(round(l_discount * 100) / 2 AS REAL) AS rating
@@ -249,16 +263,18 @@ SELECT CAST(x AS VARCHAR) AS a, CAST(y AS VARCHAR) AS b, CAST(z AS VARCHAR) AS c
 FROM ({RANKED} LIMIT 50)
 UNION ALL SELECT rectangle, point, NULL, 1 FROM ({ZONE_PAIRS})""",
     "geo_range_select": RANGE_SELECT,
-    "geo_range_select_compat": f"SELECT * FROM ({POINTS}) WHERE {_area_test('1e1', '2e1', '3e1', '6e1')}",
+    "geo_range_select_compat": f"SELECT * FROM ({POINTS}) WHERE {_area_test('1e1', '2e1', '1e1', '6e1')}",
     "geo_distance_select": DISTANCE_SELECT,
     "geo_range_join": RANGE_JOIN,
     "geo_range_join_shuffle": RANGE_JOIN,
-    "geo_range_join_compat": _range_join(_area_test("x1", "y1", "x2", "y2")),
+    "geo_range_join_compat": _range_join(_area_test("x1", "y1", "x2", "y2"), FLAT_RECTANGLES),
     "geo_distance_join": DISTANCE_JOIN,
     "geo_distance_join_shuffle": DISTANCE_JOIN,
     "geo_range_select_count": f"SELECT count(*) AS n FROM ({RANGE_SELECT})",
     "geo_distance_select_count": f"SELECT count(*) AS n FROM ({DISTANCE_SELECT})",
     "geo_range_join_count": f"SELECT count(*) AS n FROM ({RANGE_JOIN})",
+    "geo_range_join_count_shuffle": f"SELECT count(*) AS n FROM ({RANGE_JOIN})",
+    "geo_distance_join_count_shuffle": f"SELECT count(*) AS n FROM ({DISTANCE_JOIN})",
     "geo_distance_join_count": f"SELECT count(*) AS n FROM ({DISTANCE_JOIN})",
     "hot_zone_pairs": ZONE_PAIRS,
     "cell_assign": _cells("day"),

@@ -15,6 +15,8 @@ from workload import inputs
 
 GRID = GridSpec()
 RECT = (10.0, 20.0, 30.0, 60.0)
+# Without width: by area, it accepts the whole line through it.
+FLAT_RECT = (10.0, 20.0, 10.0, 60.0)
 CENTER, RADIUS = (25.0, 45.0), 10.0
 JOIN_DISTANCE = 2.0
 RANGE_PARTS, ROBIN_PARTS = 10, 7
@@ -61,6 +63,13 @@ def load_ratings(spark, sf_dir):
     return ratings_layouts.load_ratings(spark, lines, scratch_path(spark, "ratings"))
 
 
+def src_rejects(spark, sf_dir):
+    """Rows and malformed rows of each text source."""
+    scan = {"points": text.scan_points, "rectangles": text.scan_rectangles, "trips": text.scan_trips, "ratings": text.scan_ratings}
+    lines = inputs.dirty_texts(spark, sf_dir)
+    return text.reject_counts({name: scan[name](spark, _written(spark, df, name, sep)) for name, (df, sep) in lines.items()})
+
+
 def sink_csv(spark, sf_dir):
     trips = _trip_file(spark, sf_dir)
     rects = _written(spark, inputs.rectangle_texts(spark, sf_dir), "rectangles", "\t")
@@ -79,7 +88,7 @@ def geo_range_select(spark, sf_dir):
 
 
 def geo_range_select_compat(spark, sf_dir):
-    return spatial.range_select(inputs.points(spark, sf_dir), RECT, "compat")
+    return spatial.range_select(inputs.points(spark, sf_dir), FLAT_RECT, "compat")
 
 
 def geo_distance_select(spark, sf_dir):
@@ -100,7 +109,7 @@ def geo_range_join_shuffle(spark, sf_dir):
 
 
 def geo_range_join_compat(spark, sf_dir):
-    pairs = spatial.range_join(inputs.points(spark, sf_dir), inputs.rectangles(spark, sf_dir), "compat")
+    pairs = spatial.range_join(inputs.points(spark, sf_dir), inputs.flat_rectangles(spark, sf_dir), "compat")
     return pairs.select("rid", "l_orderkey", "l_linenumber", "x", "y")
 
 
@@ -128,6 +137,17 @@ def geo_range_join_count(spark, sf_dir):
     return spatial.range_join_count(inputs.points(spark, sf_dir), inputs.rectangles(spark, sf_dir))
 
 
+def geo_range_join_count_shuffle(spark, sf_dir):
+    points, rects = inputs.points(spark, sf_dir), inputs.rectangles(spark, sf_dir)
+    return spatial.range_join_count(points, rects, strategy="shuffle")
+
+
+def geo_distance_join_count_shuffle(spark, sf_dir):
+    return spatial.distance_join_count(
+        inputs.customers(spark, sf_dir), inputs.suppliers(spark, sf_dir), JOIN_DISTANCE, "shuffle"
+    )
+
+
 def geo_distance_join_count(spark, sf_dir):
     return spatial.distance_join_count(
         inputs.customers(spark, sf_dir), inputs.suppliers(spark, sf_dir), JOIN_DISTANCE
@@ -159,6 +179,8 @@ def cell_counts(spark, sf_dir):
 
 def cell_stats(spark, sf_dir):
     stats = cells.cell_stats(cell_counts(spark, sf_dir), GRID)
+    # Null if it doesn't fit; the operator's own column does not overflow.
+    stats = stats.withColumn("sum_sq", F.col("sum_sq").try_cast("bigint"))
     return stats.withColumns({"mean": F.round("mean", 9), "std": F.round("std", 9)})
 
 
@@ -262,12 +284,13 @@ def dq_schema_report(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        src_points, src_rects, src_trips, src_pickups, load_ratings, sink_csv,
+        src_points, src_rects, src_trips, src_pickups, src_rejects, load_ratings, sink_csv,
         geo_range_select, geo_range_select_compat, geo_distance_select,
         geo_range_join, geo_range_join_shuffle, geo_range_join_compat,
         geo_distance_join, geo_distance_join_shuffle,
         geo_range_select_count, geo_distance_select_count,
         geo_range_join_count, geo_distance_join_count, hot_zone_pairs,
+        geo_range_join_count_shuffle, geo_distance_join_count_shuffle,
         cell_assign, cell_assign_doy, cell_bounded, cell_counts, cell_stats,
         cell_neighbor_sums, getis_ord_scores, getis_ord_scores_compat,
         hot_cells_ranked, hot_cells_top50,

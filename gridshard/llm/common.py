@@ -15,7 +15,8 @@ from gridshard.sources.scratch import scratch_path
 # Runs of characters that are not ASCII white space.
 WORD = "[^\\x20\\x09-\\x0D]+"
 # Texts handled together by a task; a longer text is handled alone.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
+SLICE_ROWS = 10_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +61,7 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Row ranges of about SLICE_BYTES of text."""
     start = size = 0
     for i, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
-        if size and size + n > SLICE_BYTES:
+        if i - start == SLICE_ROWS or size and size + n > SLICE_BYTES:
             yield start, i
             start, size = i, 0
         size += n
@@ -96,6 +97,8 @@ def map_texts(
                 kept = [batch.column(i).slice(start, end - start) for i in range(len(keep))]
                 new = [v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(made, arrow, strict=True)]
                 yield pa.RecordBatch.from_arrays([*kept, *new], names=names)
+        # A worker that is used again would keep what its pool no longer needs.
+        pa.default_memory_pool().release_unused()
 
     hidden = fresh(df, "text_read")
     return df.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text}`").alias(hidden)).mapInArrow(run, schema)

@@ -38,13 +38,13 @@ from gridshard.llm.set_relations import least_overlap, linked
 
 SHINGLE = 5
 # Texts whose hashes are sorted together, and text for each bucket of hashes.
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 16 << 20
 CHUNK_DOCS = 30_000
 BUCKET_BYTES = 12 << 20
 # What a block of a group may hold.
 BLOCK_SETS = 1024
 BLOCK_TOKENS = 1 << 20
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 _LOCAL = 0xFFFF
 _P = [np.uint64(pow(0x9E3779B97F4A7C15, i + 1, 1 << 64)) for i in range(64)]
 

@@ -43,8 +43,8 @@ END_ID = 0
 SHARD_TOKENS = 1_000_000
 MIN_PAIRS = 64
 # Stretches of text and their ids that a task remembers.
-CACHE_PIECES = 600_000
-CACHE_IDS = 6_000_000
+CACHE_PIECES = 400_000
+CACHE_IDS = 4_000_000
 # Pieces that are encoded in one call.
 JOINED_PIECES = 500
 _PIECE = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")

@@ -292,43 +292,39 @@ def compress(ids: np.ndarray, n_base: int, min_pairs: int = MIN_PAIRS) -> tuple[
     return np.concatenate(rules) if rules else np.empty((0, 2), np.uint32), lengths[n_base:], symbols
 
 
-def expanded(symbols: np.ndarray, rules: np.ndarray, n_base: int) -> np.ndarray:
-    """The ids that ``symbols`` stand for: a rule's symbols are older than the rule, so every pass leaves less."""
-    symbols = symbols.astype(np.uint32)
-    while len(symbols):
-        rule = symbols >= n_base
-        if not rule.any():
-            break
-        sizes = np.where(rule, 2, 1)
-        ends = np.cumsum(sizes)
-        out = np.empty(int(ends[-1]), np.uint32)
-        out[ends - sizes] = np.where(rule, rules[np.where(rule, symbols - n_base, 0), 0], symbols) if len(rules) else symbols
-        out[ends[rule] - 1] = rules[symbols[rule] - n_base, 1]
-        symbols = out
-    return symbols
-
-
 class Shard:
     """A shard as read: any range of its ids without expanding the rest."""
 
     def __init__(self, n_base: int, rules: bytes, rule_lengths: bytes, symbols: bytes):
-        self.n_base = n_base
-        self.rules = np.frombuffer(rules, "<u4").reshape(-1, 2)
         self.symbols = np.frombuffer(symbols, "<u4")
-        lengths = np.ones(n_base + len(self.rules), np.int64)
+        lengths = np.ones(n_base + len(rules) // 8, np.int64)
         lengths[n_base:] = np.frombuffer(rule_lengths, "<u4")
+        self.lengths = lengths
+        self.starts = np.cumsum(lengths) - lengths
+        # What every symbol stands for, one after the other; a rule's symbols are older than the rule.
+        self.expansions = np.empty(int(lengths.sum()), np.uint32)
+        self.expansions[:n_base] = np.arange(n_base)
+        for i, (left, right) in enumerate(np.frombuffer(rules, "<u4").reshape(-1, 2).tolist()):
+            at = int(self.starts[n_base + i])
+            for part in (left, right):
+                start, n = int(self.starts[part]), int(lengths[part])
+                self.expansions[at : at + n] = self.expansions[start : start + n]
+                at += n
         self.ends = np.cumsum(lengths[self.symbols])
 
+    def _expanded(self, symbols: np.ndarray) -> np.ndarray:
+        return expand_ranges(self.expansions, self.starts[symbols], self.lengths[symbols])
+
     def ids(self, start: int, end: int) -> np.ndarray:
         if start >= end:
             return np.empty(0, np.uint32)
         first = int(np.searchsorted(self.ends, start, "right"))
         last = int(np.searchsorted(self.ends, end, "left"))
         offset = int(self.ends[first - 1]) if first else 0
-        return expanded(self.symbols[first : last + 1], self.rules, self.n_base)[start - offset : end - offset]
+        return self._expanded(self.symbols[first : last + 1])[start - offset : end - offset]
 
     def all_ids(self) -> np.ndarray:
-        return expanded(self.symbols, self.rules, self.n_base)
+        return self._expanded(self.symbols)
 
 
 def encode_shards(docs: DataFrame, tokenizer_path: str, shard_tokens: int = SHARD_TOKENS, min_pairs: int = MIN_PAIRS) -> DataFrame:

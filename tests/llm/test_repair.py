@@ -31,6 +31,10 @@ def test_encoding_beyond_the_cache(monkeypatch):
     assert [x.tolist() for x in encoder.encode(texts)] == [direct(t) for t in texts]
 
 
+def shard_of(n_base, rules, lengths, symbols):
+    return R.Shard(n_base, *(x.astype("<u4").tobytes() for x in (rules, lengths, symbols)))
+
+
 @pytest.mark.parametrize("n_base", [4, 50_257, 70_000])
 @pytest.mark.parametrize("min_pairs", [2, 5])
 def test_grammar_round_trip_and_random_access(n_base, min_pairs):
@@ -39,13 +43,18 @@ def test_grammar_round_trip_and_random_access(n_base, min_pairs):
     runs = [np.full(n, 3) for n in (2, 3, 7, 50)]
     ids = np.concatenate([*(phrases[i] for i in rng.integers(0, 12, 400)), *runs]).astype(np.uint32)
     rules, lengths, symbols = R.compress(ids, n_base, min_pairs)
-    assert len(symbols) < len(ids) and R.expanded(symbols, rules, n_base).tolist() == ids.tolist()
+    assert len(symbols) < len(ids)
+    shard = shard_of(n_base, rules, lengths, symbols)
+    assert shard.all_ids().tolist() == ids.tolist()
+
+    def spelled(symbol):
+        return [symbol] if symbol < n_base else [x for s in rules[symbol - n_base].tolist() for x in spelled(s)]
+
     for i in range(len(rules)):
-        assert len(R.expanded(np.array([n_base + i], np.uint32), rules, n_base)) == lengths[i]
+        assert shard._expanded(np.array([n_base + i])).tolist() == spelled(n_base + i) and len(spelled(n_base + i)) == lengths[i]
     # No pair is left that is frequent enough; one that overlaps itself may count twice.
     pairs = Counter(zip(symbols.tolist(), symbols[1:].tolist(), strict=False))
     assert all(n < min_pairs for (a, b), n in pairs.items() if a != b)
-    shard = R.Shard(n_base, rules.astype("<u4").tobytes(), lengths.astype("<u4").tobytes(), symbols.astype("<u4").tobytes())
     for _ in range(200):
         a, b = sorted(rng.integers(0, len(ids) + 1, 2))
         assert shard.ids(a, b).tolist() == ids[a:b].tolist()
@@ -53,8 +62,7 @@ def test_grammar_round_trip_and_random_access(n_base, min_pairs):
 
 @pytest.mark.parametrize("ids", [[], [1], [1, 1], [2] * 9])
 def test_grammar_of_tiny_sequences(ids):
-    rules, _, symbols = R.compress(np.array(ids, np.uint32), 10, 2)
-    assert R.expanded(symbols, rules, 10).tolist() == ids
+    assert shard_of(10, *R.compress(np.array(ids, np.uint32), 10, 2)).all_ids().tolist() == ids
 
 
 def expected(rows):

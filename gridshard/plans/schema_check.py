@@ -14,57 +14,65 @@ from pyspark.sql import functions as F
 
 from gridshard.sources.schemas import RATINGS_SCHEMA, TableSpec
 
-REPORT = "table_name string, rule string, subject string"
+RULES = "code int, table_name string, rule string, subject string, link int"
 
 
 def check_schema(tables: dict[str, DataFrame], specs: dict[str, TableSpec] = RATINGS_SCHEMA) -> DataFrame:
     """One row per rule: ``table_name, rule, subject, violations`` (violating rows)."""
-    referred = {(parent, key) for spec in specs.values() for _, parent, key in spec.foreign_keys}
-    found = reduce(DataFrame.unionByName, [_findings(tables[t], t, spec, specs, referred) for t, spec in specs.items()])
-    by_rule = ("table_name", "rule", "subject")
-    counted = found.groupBy("link", "value", *by_rule).agg(F.count(F.lit(1)).alias("n"))
+    rules = _rules(specs)
+    found = reduce(DataFrame.unionAll, [_findings(tables[name], name, specs, rules) for name in specs])
+    counted = found.groupBy("code", "value").agg(F.count(F.lit(1)).alias("n"))
+    table = found.sparkSession.createDataFrame(rules, RULES)
+    # One row for each rule of the schema.
+    named = counted.join(F.broadcast(table.select("code", "rule", "link")), "code")
     # Of a value, one row for each rule that names it: few, whatever the tables hold.
-    met = counted.groupBy("link", "value").agg(
-        F.max(F.col("rule") == "known").alias("known"), F.collect_list(F.struct(*by_rule, "n")).alias("rules")
+    met = named.groupBy("link", "value").agg(
+        F.max(F.col("rule") == "known").alias("known"), F.collect_list(F.struct("code", "rule", "n")).alias("rules")
     )
     violations = (
         met.select("known", F.inline("rules"))
         .where("rule IN ('not null', 'check') OR rule = 'unique' AND n > 1 OR rule = 'foreign key' AND NOT known")
-        .groupBy(*by_rule)
+        .groupBy("code")
         .agg(F.sum("n").alias("violations"))
     )
-    rules = found.sparkSession.createDataFrame(_rules(specs), REPORT)
-    report = rules.join(violations, list(by_rule), "left")
+    report = table.where("rule <> 'known'").join(violations, "code", "left")
     return report.select("table_name", "rule", "subject", F.coalesce("violations", F.lit(0)).cast("long").alias("violations"))
 
 
-def _rules(specs: dict[str, TableSpec]) -> list[tuple[str, str, str]]:
-    out = []
+def _rules(specs: dict[str, TableSpec]) -> list[tuple]:
+    """A row (RULES) for each rule; keys that foreign keys refer to are rules of their own, ``known``. A foreign key
+    has the link of the key it refers to, any other rule one of its own."""
+    rules = []
     for name, spec in specs.items():
-        out += [(name, "not null", c) for c in spec.required]
-        out += [(name, "unique", ", ".join(key)) for key in spec.keys]
-        out += [(name, "foreign key", f"{c} -> {parent}.{key}") for c, parent, key in spec.foreign_keys]
-        out += [(name, "check", rule) for rule in spec.checks]
-    return out
+        rules += [(name, "not null", c) for c in spec.required]
+        rules += [(name, "unique", ", ".join(key)) for key in spec.keys]
+        rules += [(name, "foreign key", f"{c} -> {parent}.{key}") for c, parent, key in spec.foreign_keys]
+        rules += [(name, "check", rule) for rule in spec.checks]
+    rules += [(parent, "known", key) for parent, key in sorted({(p, k) for s in specs.values() for _, p, k in s.foreign_keys})]
+    links = {f"{t}.{subject}": i for i, (t, rule, subject) in enumerate(rules) if rule == "known"}
+    return [(i, t, rule, subject, links[subject.split(" -> ")[1]] if rule == "foreign key" else i) for i, (t, rule, subject) in enumerate(rules)]
 
 
-def _findings(df: DataFrame, name: str, spec: TableSpec, specs: dict, referred: set[tuple[str, str]]) -> DataFrame:
-    """(table_name, rule, subject, link, value) of one table; a foreign key has the link of the key it refers to."""
+def _findings(df: DataFrame, name: str, specs: dict[str, TableSpec], rules: list[tuple]) -> DataFrame:
+    """(code, value) of one table."""
+    spec = specs[name]
+    codes = {(rule, subject): code for code, table, rule, subject, _ in rules if table == name}
 
-    def finding(rule: str, subject: str, value: Column, when: Column, link: str | None = None) -> Column:
-        texts = {"rule": rule, "subject": subject, "link": link or f"{rule} {name} {subject}"}
-        return F.when(when, F.struct(*(F.lit(v).alias(k) for k, v in texts.items()), value.alias("value")))
+    def finding(rule: str, subject: str, value: Column, when: Column) -> Column:
+        return F.when(when, F.struct(F.lit(codes[rule, subject]).alias("code"), value.alias("value")))
 
     nothing = F.lit(None).cast("string")
     out = [finding("not null", c, nothing, F.col(c).isNull()) for c in spec.required]
     out += [finding("check", rule, nothing, ~F.expr(rule)) for rule in spec.checks]
     for key in spec.keys:
         complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
-        out.append(finding("unique", ", ".join(key), F.to_json(F.struct(*key)), complete))
-    referring = [("foreign key", f"{c} -> {parent}.{key}", c, parent, key) for c, parent, key in spec.foreign_keys]
-    referring += [("known", key, key, name, key) for parent, key in sorted(referred) if parent == name]
-    for rule, subject, column, parent, key in referring:
+        # Lengths keep values apart that would run together.
+        parts = [F.concat(F.length(t), F.lit(":"), t) for t in (F.col(c).cast("string") for c in key)]
+        out.append(finding("unique", ", ".join(key), F.concat(*parts), complete))
+    referring = [("foreign key", f"{c} -> {parent}.{key}", c, specs[parent].schema[key]) for c, parent, key in spec.foreign_keys]
+    referring += [("known", key, key, spec.schema[key]) for rule, key in codes if rule == "known"]
+    for rule, subject, column, field in referring:
         # Values are compared in the type that the schema gives the key.
-        value = F.col(column).cast(specs[parent].schema[key].dataType).cast("string")
-        out.append(finding(rule, subject, value, F.col(column).isNotNull(), f"{parent}.{key}"))
-    return df.select(F.lit(name).alias("table_name"), F.inline(F.array_compact(F.array(*out))))
+        value = F.col(column).cast(field.dataType).cast("string")
+        out.append(finding(rule, subject, value, F.col(column).isNotNull()))
+    return df.select(F.inline(F.array(*out))).where("code IS NOT NULL")

@@ -109,6 +109,32 @@ def test_long_runs_of_copies_are_expanded_in_chunks(spark, monkeypatch):
     assert [r.k for r in got] == [5] * 950 + list(range(950, 1000))
 
 
+def test_row_numbers_over_two_levels_of_buckets(spark, monkeypatch):
+    """More buckets than constants in a plan: bounds within a bucket come from a table."""
+    monkeypatch.setattr(numbering, "_ROWS_PER_BUCKET", 100)
+    monkeypatch.setattr(numbering, "_FIRST_LEVEL", 8)
+    i = F.col("i")
+    df = spark.range(20_000).selectExpr("if(id % 3 = 0, 7, id * 37 % 20011) AS i").select(
+        i, F.when(i % 5 > 0, (i / 100).cast("int")).alias("k"), F.concat(F.lit("s"), i).alias("s"), F.lit(1).alias("same")
+    )
+    for order_by in (["i"], ["k", "s"], ["s"], ["same"]):
+        got = numbering.global_row_number(df, order_by).orderBy("row_num").collect()
+        assert [r.row_num for r in got] == list(range(1, 20_001))
+        keys = [tuple((r[c] is not None, r[c]) for c in order_by) for r in got]
+        assert all(a <= b for a, b in zip(keys, keys[1:]))
+        assert Counter(tuple(r)[:-1] for r in got) == Counter(tuple(r) for r in df.collect())
+    tagged = numbering._tag(df, ["s"], numbering._bounds(df, ["s"]))
+    sizes = tagged.where(F.pmod("_bucket", F.lit(2)) == 0).groupBy("_bucket", "_sub").count()
+    assert sizes.count() > 60 and sizes.agg(F.max("count")).first()[0] < 600
+
+
+def test_row_numbers_by_nested_keys_are_refused(spark):
+    df = spark.range(5).selectExpr("struct(id AS a) AS s", "array(id) AS l")
+    for key in ("s", "l"):
+        with pytest.raises(ValueError, match="plain columns"):
+            numbering.global_row_number(df, [key])
+
+
 def test_row_numbers_with_a_map_column(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), F.create_map(F.lit("a"), F.col("id") % 7).alias("m"))
     got = numbering.global_row_number(df, ["k"]).orderBy("row_num").collect()

@@ -347,3 +347,24 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir))
+
+
+OP10_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + {SHINGLE - 1}), ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {SHINGLE - 2}, 2))) AS i FROM d WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+both_have AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM both_have JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE 100 * o >= 75 * (x.n + y.n - o)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT d.doc_id, coalesce(sizes.n, 0)::BIGINT AS n_shingles, component_id, coalesce(n_links, 0)::BIGINT AS n_links
+FROM d LEFT JOIN sizes USING (doc_id) JOIN least ON d.doc_id = least.a LEFT JOIN counts ON d.doc_id = counts.a
+"""

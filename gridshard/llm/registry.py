@@ -19,4 +19,5 @@ ORACLE = {
     "op2_repetition_rules": repetition.OP2_SQL,
     "op8_extendible_shards": sharding.OP8_SQL,
     "op9_decontaminate": decontamination.OP9_SQL,
+    "op10_jaccard_join": jaccard_join.OP10_SQL,
 }

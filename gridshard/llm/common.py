@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -82,23 +84,31 @@ def map_texts(
     included, to one sequence of values for each of ``fields``.
     """
     keep = df.columns if keep is None else keep
-    schema = T.StructType([*(df.schema[c] for c in keep), *(T.StructField(n, t) for n, t in fields)])
-    types = [t for _, t in fields]
+    made = T.StructType([T.StructField(n, t) for n, t in fields])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_type
+    # Only texts go to Python and only what is made of them comes back.
+    @F.arrow_udf(made)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        from pyspark.sql.pandas.types import to_arrow_schema
 
-        compute, arrow = make(), [to_arrow_type(t) for t in types]
-        names = [f.name for f in schema.fields]
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
+        compute, arrow = make(), to_arrow_schema(made)
+        for texts in batches:
+            parts = []
             for start, end in slices(texts):
-                made = compute(texts.slice(start, end - start).to_pylist())
-                kept = [batch.column(i).slice(start, end - start) for i in range(len(keep))]
-                new = [v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(made, arrow, strict=True)]
-                yield pa.RecordBatch.from_arrays([*kept, *new], names=names)
-        # A worker that is used again would keep what its pool no longer needs.
-        pa.default_memory_pool().release_unused()
-
-    hidden = fresh(df, "text_read")
-    return df.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text}`").alias(hidden)).mapInArrow(run, schema)
+                columns = compute(texts.slice(start, end - start).to_pylist())
+                arrays = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)]
+                parts.append(pa.StructArray.from_arrays(arrays, fields=list(arrow)))
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.struct(list(arrow)))
+        give_back()
+
+    # Not to be computed again for each of its fields, or for a filter.
+    result = fresh(df, "made_of_text")
+    whole = df.select(*(F.col(f"`{c}`") for c in keep), run.asNondeterministic()(F.col(f"`{text}`")).alias(result))
+    return whole.select(*(F.col(f"`{c}`") for c in keep), *(F.col(f"`{result}`.`{n}`").alias(n) for n, _ in fields))
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: a Python worker lives on after its task."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from gridshard.llm.common import discard, documents, fresh, slices, written
+from gridshard.llm.common import discard, documents, fresh, give_back, slices, written
 from gridshard.llm.graphs import components
 from gridshard.llm.set_relations import least_overlap, linked
 
@@ -160,6 +160,7 @@ def _hashed(docs: DataFrame, doc_id: str, text: str, buckets: int, shingle: int)
                     ids, keys, sets, size = [], [], [], 0
         if ids:
             yield from chunk_rows(ids, keys, sets, arrow)
+        give_back()
 
     return docs.select(doc_id, _row_key(doc_id, text), text).mapInArrow(run, schema)
 
@@ -245,7 +246,9 @@ def _sets(docs: DataFrame, candidates: DataFrame, repeated: bool, doc_id: str, t
 def _groups(sets: DataFrame) -> DataFrame:
     """(id, group): sets that share one of the rarest hashes of each, connected. A set that shares none has no row."""
     every = sets.select("id", "n", F.explode("hashes").alias("hash"))
-    frequency = every.groupBy("hash").agg(F.count("*").cast("int").alias("f")).where("f > 1")
+    # Here and below, aggregates are written before they are joined with what they were made of: adaptive
+    # execution splits a hot key only in a join of two plain shuffles.
+    frequency = written(every.groupBy("hash").agg(F.count("*").cast("int").alias("f")).where("f > 1"), "jaccard-frequencies")
     repeated = every.join(frequency, "hash")
     # Hashes of one set only come first in its order, and nothing else has them.
     own = F.col("n") - F.count("*").over(Window.partitionBy("id"))
@@ -253,10 +256,10 @@ def _groups(sets: DataFrame) -> DataFrame:
     length = F.col("n") - F.ceil(F.col("n") * 75 / 100) + 1
     prefix = repeated.select("id", "hash", place.alias("place"), length.alias("length")).where(F.col("place") <= F.col("length"))
     prefix = written(prefix.select("id", "hash"), "jaccard-prefixes")
-    least = prefix.groupBy("hash").agg(F.min("id").alias("b"))
+    least = written(prefix.groupBy("hash").agg(F.min("id").alias("b")), "jaccard-least")
     edges = prefix.join(least, "hash").select(F.col("id").alias("a"), "b")
     groups = components(edges)
-    discard(prefix)
+    discard(frequency, prefix, least)
     return groups.select(F.col("node").alias("id"), F.col("root").alias("group"))
 
 
@@ -264,6 +267,7 @@ def _links(sets: DataFrame, groups: DataFrame, weights: DataFrame) -> DataFrame:
     """(fp, root, links) for each set in each pair of blocks of its group."""
     members = groups.join(sets.select("id", "fp", "n"), "id").join(weights, "fp")
     sizes = members.groupBy("group").agg(F.count("*").alias("sets"), F.sum("n").alias("tokens")).where("sets > 1")
+    sizes = written(sizes, "jaccard-sizes")
     n_blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("tokens") / BLOCK_TOKENS)).cast("int")
     members = members.join(sizes.select("group", n_blocks.alias("blocks")), "group")
     members = members.withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
@@ -307,7 +311,7 @@ def _classes(docs: DataFrame, doc_id: str, text: str, shingle: int) -> tuple[Dat
     classes = classes.join(roots, F.col("fp") == F.col("node"), "left").join(others, "fp", "left")
     n_links = F.coalesce("others", F.lit(0)) + F.col("copies") - 1
     classes = written(classes.select("fp", "least", F.coalesce("root", "fp").alias("root"), n_links.alias("n_links")), "jaccard-classes")
-    smallest = classes.groupBy("root").agg(F.min("least").alias("component_id"))
+    smallest = written(classes.groupBy("root").agg(F.min("least").alias("component_id")), "jaccard-smallest")
     return rows, classes.join(smallest, "root").select("fp", "root", "component_id", "n_links")
 
 
@@ -329,7 +333,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     rows, classes = _classes(docs, doc_id, text, shingle)
     grouped = written(rows.where("n > 0").join(classes.select("fp", "root"), "fp").select("doc_id", "row_key", "root"), "jaccard-grouped")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")
-    first = grouped.groupBy("root").agg(F.min(order).alias("first"))
+    first = written(grouped.groupBy("root").agg(F.min(order).alias("first")), "jaccard-first")
     stays = F.col("row_key").eqNullSafe(F.col("first.row_key")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
     judged = grouped.join(first, "root").withColumn("stays", stays)
     names = {c: fresh(docs, c) for c in ("jaccard_key", "jaccard_lost_key", "jaccard_lost_id")}

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from gridshard.llm.common import documents, fresh, held_out, map_texts, slices, written
+from gridshard.llm.common import documents, fresh, give_back, held_out, map_texts, slices, written
 
 UNKNOWN = "und"
 TRAIN_DOCS = 2_000
@@ -82,6 +82,7 @@ def _counted(batches):
                     rows += [(lang, length, g, n) for g, n in grams.items()]
             columns = zip(*rows, strict=True) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.string(), pa.int64()), strict=True)], names=["lang", "kind", "term", "n"])
+    give_back()
 
 
 class LanguageModel:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridshard.llm.common import discard, documents, map_texts, slices, written
+from gridshard.llm.common import discard, documents, give_back, map_texts, slices, written
 
 GROUPS = 32
 VOCABULARY = GROUPS * GROUPS
@@ -196,6 +196,7 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                     counts.update(words_of(t))
                 words = pa.array(list(counts), pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays([words, pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+        give_back()
 
     counted = docs.select(text).mapInArrow(run, "word string, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))

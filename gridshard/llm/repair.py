@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from gridshard.llm.common import documents, slices
+from gridshard.llm.common import documents, give_back, slices
 from gridshard.sources.scratch import scratch_path
 
 END_ID = 0
@@ -362,6 +362,7 @@ def encode_shards(docs: DataFrame, tokenizer_path: str, shard_tokens: int = SHAR
                         ids, starts, held, n = [], [], [], 0
         if ids:
             yield close()
+        give_back()
 
     return placed.select("doc_id", "text").mapInArrow(run, schema)
 

@@ -162,7 +162,9 @@ def repetition(
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition(documents(spark, sf_dir), keep=["doc_id"])
+    measured = repetition(documents(spark, sf_dir), keep=["doc_id"])
+    first = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return measured.select(*first, *(c for c in measured.columns if c not in first))
 
 
 def _sql() -> str:

@@ -249,7 +249,8 @@ def _groups(sets: DataFrame) -> DataFrame:
     # Here and below, aggregates are written before they are joined with what they were made of: adaptive
     # execution splits a hot key only in a join of two plain shuffles.
     frequency = written(every.groupBy("hash").agg(F.count("*").cast("int").alias("f")).where("f > 1"), "jaccard-frequencies")
-    repeated = every.join(frequency, "hash")
+    # Merge joins at every size, as above.
+    repeated = every.join(frequency.hint("merge"), "hash")
     # Hashes of one set only come first in its order, and nothing else has them.
     own = F.col("n") - F.count("*").over(Window.partitionBy("id"))
     place = own + F.row_number().over(Window.partitionBy("id").orderBy("f", "hash"))
@@ -257,7 +258,7 @@ def _groups(sets: DataFrame) -> DataFrame:
     prefix = repeated.select("id", "hash", place.alias("place"), length.alias("length")).where(F.col("place") <= F.col("length"))
     prefix = written(prefix.select("id", "hash"), "jaccard-prefixes")
     least = written(prefix.groupBy("hash").agg(F.min("id").alias("b")), "jaccard-least")
-    edges = prefix.join(least, "hash").select(F.col("id").alias("a"), "b")
+    edges = prefix.join(least.hint("merge"), "hash").select(F.col("id").alias("a"), "b")
     groups = components(edges)
     discard(frequency, prefix, least)
     return groups.select(F.col("node").alias("id"), F.col("root").alias("group"))

@@ -43,8 +43,8 @@ END_ID = 0
 SHARD_TOKENS = 1_000_000
 MIN_PAIRS = 64
 # Stretches of text and their ids that a task remembers.
-CACHE_PIECES = 400_000
-CACHE_IDS = 4_000_000
+CACHE_PIECES = 300_000
+CACHE_IDS = 3_000_000
 # Pieces that are encoded in one call.
 JOINED_PIECES = 500
 _PIECE = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
@@ -393,6 +393,9 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
+        # A worker that encoded before needs that no more.
+        _encoders.clear()
+        give_back()
         arrow = to_arrow_schema(schema)
         for batch in batches:
             for i in range(batch.num_rows):
@@ -409,6 +412,7 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
                     [zlib.crc32(x.tobytes()) for x in each],
                 ] + [[x.tolist() for x in each]] * with_ids
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+        give_back()
 
     columns = ["part", "part_start", "n_tokens", "n_base", "doc_ids", "doc_starts", "rules", "rule_lengths", "symbols"]
     decoded = shards.select(*columns).mapInArrow(run, schema).join(bases, "part")

@@ -25,6 +25,7 @@ HEADLINE = (
     "geo_distance_join", "geo_distance_join_count", "hot_zone_pairs", "cell_counts",
     "cell_neighbor_sums", "getis_ord_scores", "hot_cells_top50", "range_partition",
     "range_partition_sizes", "rr_partition", "dq_not_null", "dq_unique", "dq_foreign_key", "dq_check",
+    "geo_range_join_shuffle", "geo_distance_join_shuffle", "geo_range_join_count_shuffle", "rr_append", "dq_schema_report",
 )
 
 
@@ -64,7 +65,17 @@ def scan_per_fragment(spark, sf_dir):
     return parts
 
 
+def nested_range_count(spark, sf_dir):
+    return nested_range_join(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
+
+
+def nested_distance_count(spark, sf_dir):
+    return nested_distance_join(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
+
+
 SHAPES = {
+    "geo_range_join_count": nested_range_count,
+    "geo_distance_join_count": nested_distance_count,
     "geo_range_join": nested_range_join,
     "geo_distance_join": nested_distance_join,
     "cell_neighbor_sums": nested_neighbor_sums,

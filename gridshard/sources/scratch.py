@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 
+@cache
+def _local_folder() -> str:
+    """One temporary folder for the process, which goes when it ends."""
+    path = tempfile.mkdtemp(prefix="gridshard-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder the session names in ``spark.checkpoint.dir``.
 
@@ -18,5 +29,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="gridshard-")
+        base = _local_folder()
     return f"{base.rstrip('/')}/gridshard-{uuid.uuid4().hex}/{name}"

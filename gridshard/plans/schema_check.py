@@ -14,23 +14,22 @@ from pyspark.sql import functions as F
 
 from gridshard.sources.schemas import RATINGS_SCHEMA, TableSpec
 
-RULES = "code int, table_name string, rule string, subject string, link int"
+RULES = "code int, table_name string, rule string, subject string, link int, rank int"
 
 
 def check_schema(tables: dict[str, DataFrame], specs: dict[str, TableSpec] = RATINGS_SCHEMA) -> DataFrame:
     """One row per rule: ``table_name, rule, subject, violations`` (violating rows)."""
     rules = _rules(specs)
+    ranks = 1 + max((rank for *_, rank in rules), default=0)
     found = reduce(DataFrame.unionAll, [_findings(tables[name], name, specs, rules) for name in specs])
-    counted = found.groupBy("code", "value").agg(F.count(F.lit(1)).alias("n"))
+    # Of a value, the findings of each rule that names it; the key itself, where there is one, ranks first.
+    counted = found.groupBy("link", "value").agg(*[F.count_if(F.col("rank") == r).alias(f"n{r}") for r in range(ranks)])
+    pairs = [F.struct(F.lit(r).alias("rank"), F.col(f"n{r}").alias("n")) for r in range(ranks)]
+    each = counted.select("link", (F.col("n0") > 0).alias("known"), F.inline(F.array(*pairs))).where("n > 0")
     table = found.sparkSession.createDataFrame(rules, RULES)
     # One row for each rule of the schema.
-    named = counted.join(F.broadcast(table.select("code", "rule", "link")), "code")
-    # Of a value, one row for each rule that names it: few, whatever the tables hold.
-    met = named.groupBy("link", "value").agg(
-        F.max(F.col("rule") == "known").alias("known"), F.collect_list(F.struct("code", "rule", "n")).alias("rules")
-    )
     violations = (
-        met.select("known", F.inline("rules"))
+        each.join(F.broadcast(table.select("link", "rank", "rule", "code")), ["link", "rank"])
         .where("rule IN ('not null', 'check') OR rule = 'unique' AND n > 1 OR rule = 'foreign key' AND NOT known")
         .groupBy("code")
         .agg(F.sum("n").alias("violations"))
@@ -40,26 +39,32 @@ def check_schema(tables: dict[str, DataFrame], specs: dict[str, TableSpec] = RAT
 
 
 def _rules(specs: dict[str, TableSpec]) -> list[tuple]:
-    """A row (RULES) for each rule; keys that foreign keys refer to are rules of their own, ``known``. A foreign key
-    has the link of the key it refers to, any other rule one of its own."""
-    rules = []
+    """A row (RULES) for each rule; keys that foreign keys refer to are rules of their own, ``known``. Foreign keys
+    have the link of the key they refer to and rank after it, any other rule has a link of its own."""
+    rules = [(parent, "known", key) for parent, key in sorted({(p, k) for s in specs.values() for _, p, k in s.foreign_keys})]
     for name, spec in specs.items():
         rules += [(name, "not null", c) for c in spec.required]
         rules += [(name, "unique", ", ".join(key)) for key in spec.keys]
         rules += [(name, "foreign key", f"{c} -> {parent}.{key}") for c, parent, key in spec.foreign_keys]
         rules += [(name, "check", rule) for rule in spec.checks]
-    rules += [(parent, "known", key) for parent, key in sorted({(p, k) for s in specs.values() for _, p, k in s.foreign_keys})]
     links = {f"{t}.{subject}": i for i, (t, rule, subject) in enumerate(rules) if rule == "known"}
-    return [(i, t, rule, subject, links[subject.split(" -> ")[1]] if rule == "foreign key" else i) for i, (t, rule, subject) in enumerate(rules)]
+    met: dict[int, int] = {}
+    out = []
+    for code, (table, rule, subject) in enumerate(rules):
+        link = links[subject.split(" -> ")[1]] if rule == "foreign key" else code
+        out.append((code, table, rule, subject, link, met.get(link, 0)))
+        met[link] = met.get(link, 0) + 1
+    return out
 
 
 def _findings(df: DataFrame, name: str, specs: dict[str, TableSpec], rules: list[tuple]) -> DataFrame:
-    """(code, value) of one table."""
+    """(link, rank, value) of one table."""
     spec = specs[name]
-    codes = {(rule, subject): code for code, table, rule, subject, _ in rules if table == name}
+    places = {(rule, subject): (link, rank) for _, table, rule, subject, link, rank in rules if table == name}
 
     def finding(rule: str, subject: str, value: Column, when: Column) -> Column:
-        return F.when(when, F.struct(F.lit(codes[rule, subject]).alias("code"), value.alias("value")))
+        link, rank = places[rule, subject]
+        return F.when(when, F.struct(F.lit(link).alias("link"), F.lit(rank).alias("rank"), value.alias("value")))
 
     nothing = F.lit(None).cast("string")
     out = [finding("not null", c, nothing, F.col(c).isNull()) for c in spec.required]
@@ -70,9 +75,9 @@ def _findings(df: DataFrame, name: str, specs: dict[str, TableSpec], rules: list
         parts = [F.concat(F.length(t), F.lit(":"), t) for t in (F.col(c).cast("string") for c in key)]
         out.append(finding("unique", ", ".join(key), F.concat(*parts), complete))
     referring = [("foreign key", f"{c} -> {parent}.{key}", c, specs[parent].schema[key]) for c, parent, key in spec.foreign_keys]
-    referring += [("known", key, key, spec.schema[key]) for rule, key in codes if rule == "known"]
+    referring += [("known", key, key, spec.schema[key]) for rule, key in places if rule == "known"]
     for rule, subject, column, field in referring:
         # Values are compared in the type that the schema gives the key.
         value = F.col(column).cast(field.dataType).cast("string")
         out.append(finding(rule, subject, value, F.col(column).isNotNull()))
-    return df.select(F.inline(F.array(*out))).where("code IS NOT NULL")
+    return df.select(F.inline(F.array(*out))).where("link IS NOT NULL")

@@ -5,7 +5,10 @@ word of the vocabulary; a document's score is the sum of the log-probabilities o
 neighbours. Words are runs without ASCII white space, A-Z lower-cased.
 
 - The vocabulary comes from counts over all documents: the most frequent words, and OTHER classes, by
-  a hash, for the rest.
+  a hash, for the rest. A word of a class is scored by the log-probability of the class in its place plus that of
+  the word within the class, which is its share of the class's count plus one; a word without a count has that one.
+  The shares of at most HOT_WORDS frequent words are broadcast, the others joined by word. As a neighbour, a word
+  outside the vocabulary is seen as its class.
 - Every input partition trains the network from the same start on every MASK-th word of each of its
   documents, from a place that depends on the text; weighted by their words, the networks are averaged, FAN_IN at a time.
 - The output is a softmax over groups of words of like frequency and one over the words of a group, so
@@ -24,11 +27,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from gridshard.llm.common import discard, documents, give_back, map_texts, slices, written
+from gridshard.llm.common import discard, documents, fresh, give_back, map_texts, slices, written
 
 GROUPS = 32
 VOCABULARY = GROUPS * GROUPS
@@ -42,6 +46,9 @@ FAN_IN = 64
 BLOCK_FLOATS = 8192
 CHUNK_WORDS = 1 << 15
 CACHE_WORDS = 500_000
+HOT_WORDS = 1 << 18
+# Parts of shares are added as whole numbers, so their sum doesn't depend on their order.
+SHARE_UNIT = 2.0**-32
 PAD = VOCABULARY
 
 
@@ -80,6 +87,42 @@ class Numbers(dict):
         return out, sizes
 
 
+class Codes(Numbers):
+    """The number of each word of the vocabulary, one after these for each hot word, and after them for each other word until ``forget``."""
+
+    def __init__(self, words: list[str], hot: list[str], shares: np.ndarray):
+        dict.__init__(self, ((w.encode(), i) for i, w in enumerate(words)))
+        hot = [w.encode() for w in hot]
+        self.update((w, PAD + 1 + i) for i, w in enumerate(hot))
+        self.classes = np.concatenate([np.arange(PAD + 1), np.array([other_class(w) for w in hot], np.int64)]).astype(np.int32)
+        self.shares = np.concatenate([np.zeros(PAD + 1), shares])
+        self.cold: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self.classes) + len(self.cold)
+        self.cold.append(word)
+        return n
+
+    def forget(self) -> None:
+        for w in self.cold:
+            del self[w]
+        self.cold = []
+
+    def split(self, codes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The codes with classes for all words outside the vocabulary, and the shares at ``places``, 0 for cold words."""
+        classes = np.concatenate([self.classes, np.array([other_class(w) for w in self.cold], np.int32)])
+        shares = np.concatenate([self.shares, np.zeros(len(self.cold))])
+        return classes[codes], shares[codes[places]]
+
+    def cold_counts(self, codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each text's cold words begin, their places in ``cold`` and how often the text has each."""
+        places = codes - len(self.classes)
+        at = np.flatnonzero(places >= 0)
+        width = max(1, len(self.cold))
+        pairs, n = np.unique(np.repeat(np.arange(len(sizes)), sizes)[at] * width + places[at], return_counts=True)
+        return np.searchsorted(pairs, np.arange(len(sizes) + 1) * width), pairs % width, n
+
+
 def word_places(sizes: np.ndarray) -> np.ndarray:
     """Where the words stand in ``padded``."""
     return np.arange(int(sizes.sum())) + np.repeat(2 * WINDOW * np.arange(len(sizes)) + WINDOW, sizes)
@@ -216,6 +259,34 @@ def vocabulary(counts: DataFrame) -> tuple[list[str], np.ndarray]:
     return [r.word for r in top], totals
 
 
+def word_shares(counts: DataFrame, words: list[str]) -> tuple[DataFrame, np.ndarray]:
+    """(word, n, share) of every counted word outside the vocabulary, and the share of a word without a count in each class, as logs."""
+    kind = (F.crc32(F.col("word").cast("binary")) % OTHER).cast("int")
+    rest = counts.where(~F.col("word").isin(words))
+    totals = np.ones(OTHER)
+    for r in rest.groupBy(kind.alias("kind")).agg(F.sum("n").alias("n")).collect():
+        totals[r.kind] += r.n
+    unseen = -np.log(totals)
+    return rest.select("word", "n", (F.log("n") + _unseen_share(unseen)).alias("share")), unseen
+
+
+def _unseen_share(unseen: np.ndarray) -> Column:
+    kind = (F.crc32(F.col("word").cast("binary")) % OTHER).cast("int")
+    return F.element_at(F.array(*(F.lit(float(x)) for x in unseen)), kind + 1)
+
+
+def hot_shares(shares: DataFrame) -> tuple[list[str], np.ndarray]:
+    """Words and shares of the most frequent, HOT_WORDS at most: those above the count where there would be more."""
+    by_n = shares.groupBy("n").agg(F.count("*").alias("words"))
+    upto = F.sum("words").over(Window.orderBy(F.desc("n")))
+    least = by_n.select("n", upto.alias("upto")).where(F.col("upto") <= HOT_WORDS).agg(F.min("n")).first()[0]
+    if least is None:
+        return [], np.zeros(0)
+    # HOT_WORDS rows.
+    hot = shares.where(F.col("n") >= least).select("word", "share").toArrow()
+    return hot["word"].to_pylist(), hot["share"].to_numpy()
+
+
 def _trained(docs: DataFrame, text: str, words: list[str], counts: np.ndarray) -> DataFrame:
     """(part, block, weight, values): the network of each input partition, cut into blocks, times its words."""
 
@@ -252,11 +323,12 @@ def _added(table: pa.Table) -> pa.Table:
     return pa.table({"part": [part], "block": pa.array([block], pa.int32()), "weight": [weight], "values": [values]})
 
 
-def train(docs: DataFrame, text: str = "text") -> tuple[list[str], Network] | None:
-    """The vocabulary and the averaged network; none without words."""
-    counts = written(word_counts(docs, text), "word-counts")
-    words, totals = vocabulary(counts)
-    discard(counts)
+def train(docs: DataFrame, text: str = "text", counts: DataFrame | None = None) -> tuple[list[str], Network] | None:
+    """The vocabulary and the averaged network; none without words. ``counts``, if given, are those of the texts' words."""
+    counted = written(word_counts(docs, text), "word-counts") if counts is None else counts
+    words, totals = vocabulary(counted)
+    if counts is None:
+        discard(counted)
     if not words:
         return None
     nets = written(_trained(docs, text, words, totals), "networks")
@@ -273,34 +345,80 @@ def train(docs: DataFrame, text: str = "text") -> tuple[list[str], Network] | No
     return words, Network(totals).load(values)
 
 
-def scored(docs: DataFrame, model: tuple[list[str], Network] | None, keep: list[str] | None = None, text: str = "text") -> DataFrame:
+def scored(docs: DataFrame, model: tuple[list[str], Network] | None, keep: list[str] | None = None, text: str = "text", counts: DataFrame | None = None) -> DataFrame:
     """Columns ``keep`` of ``docs`` (default: all) with n_words, log_likelihood and mean_log_probability.
 
-    Columns of ``docs`` with these names give way.
+    ``counts`` (word, n) say how likely each word of a class is; without them a word outside the vocabulary
+    is scored as its class. Columns of ``docs`` with these names give way.
     """
     names = ("n_words", "log_likelihood", "mean_log_probability")
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in names]
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    if model is not None and counts is not None:
+        out = _scored_by_word(docs, shared, word_shares(counts, model[0]), keep, text, names)
+    else:
+        out = map_texts(docs, lambda: _by_class(shared), [(names[0], T.LongType()), (names[1], T.DoubleType())], keep, text)
+    return out.withColumn(names[2], F.when(F.col(names[0]) > 0, F.col(names[1]) / F.col(names[0])))
+
+
+def _text_sums(each: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    sums = np.concatenate([[0.0], np.cumsum(each.astype(np.float64))])
+    ends = np.cumsum(sizes)
+    return sums[ends] - sums[ends - sizes]
+
+
+def _by_class(shared):
+    words, network = shared.value or ([], None)
+    numbers = Numbers(words)
+
+    def compute(texts):
+        padded, sizes = numbers.padded(texts)
+        if network is None:
+            return sizes, np.zeros(len(sizes))
+        return sizes, _text_sums(network.log_probabilities(padded, word_places(sizes)), sizes)
+
+    return compute
+
+
+def _scored_by_word(docs: DataFrame, shared, by_word: tuple[DataFrame, np.ndarray], keep: list[str], text: str, names: tuple[str, ...]) -> DataFrame:
+    """Texts are passed over once; what they have of words that aren't hot is joined with its shares and added."""
+    shares, unseen = by_word
+    hot = docs.sparkSession.sparkContext.broadcast(hot_shares(shares))
+    row, cold, more = (fresh(docs, c) for c in ("scored_row", "cold_words", "cold_share"))
+    words_type, counts_type = T.ArrayType(T.StringType()), T.ArrayType(T.IntegerType())
 
     def make():
-        words, network = shared.value or ([], None)
-        numbers = Numbers(words)
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        words, network = shared.value
+        codes = Codes(words, *hot.value)
 
         def compute(texts):
-            padded, sizes = numbers.padded(texts)
-            if network is None:
-                return sizes, np.zeros(len(sizes))
-            each = network.log_probabilities(padded, word_places(sizes)).astype(np.float64)
-            sums = np.concatenate([[0.0], np.cumsum(each)])
-            ends = np.cumsum(sizes)
-            return sizes, sums[ends] - sums[ends - sizes]
+            padded, sizes = codes.padded(texts)
+            places = word_places(sizes)
+            ids, each = codes.split(padded, places)
+            each = each + network.log_probabilities(ids, places)
+            starts, which, n = codes.cold_counts(padded[places], sizes)
+            left = pa.array(codes.cold, pa.binary()).cast(pa.string()).take(pa.array(which))
+            codes.forget()
+            starts = pa.array(starts, pa.int32())
+            lists = [pa.ListArray.from_arrays(starts, v).cast(to_arrow_type(t)) for v, t in ((left, words_type), (pa.array(n, pa.int32()), counts_type))]
+            return sizes, _text_sums(each, sizes), *lists
 
         return compute
 
-    out = map_texts(docs, make, [(names[0], T.LongType()), (names[1], T.DoubleType())], keep, text)
-    return out.withColumn(names[2], F.when(F.col(names[0]) > 0, F.col(names[1]) / F.col(names[0])))
+    made = map_texts(docs, make, [(names[0], T.LongType()), (names[1], T.DoubleType()), (cold, words_type), (more, counts_type)], keep, text)
+    made = written(made.withColumn(row, F.monotonically_increasing_id()), "scored")
+    found = made.select(row, F.explode(F.arrays_zip(F.col(cold).alias("word"), F.col(more).alias("times"))).alias("found")).select(row, "found.*")
+    found = found.join(shares.select("word", "share"), "word", "left")
+    share = F.coalesce("share", _unseen_share(unseen))
+    sums = found.groupBy(row).agg(F.sum(F.col("times") * F.round(share / SHARE_UNIT).cast("long")).alias(more))
+    whole = F.col(names[1]) + F.coalesce(F.col(more) * SHARE_UNIT, F.lit(0.0))
+    out = made.drop(cold, more).join(sums, row, "left")
+    return out.select(*(F.col(f"`{c}`") for c in keep), names[0], whole.alias(names[1]))
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return scored(docs, train(docs), ["doc_id"])
+    counts = written(word_counts(docs), "word-counts")
+    return scored(docs, train(docs, counts=counts), ["doc_id"], counts=counts)

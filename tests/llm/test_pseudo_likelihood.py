@@ -98,3 +98,29 @@ def test_edge_cases(edge_docs, no_docs, make_docs):
     assert L.train(no_docs) is None and L.train(make_docs([(1, None, "en", "s")])) is None
     assert L.scored(no_docs, None).count() == 0
     assert {r.log_likelihood for r in L.scored(edge_docs, None).collect()} == {0.0}
+
+
+@pytest.mark.parametrize("hot", [0, 7, 1 << 18])
+def test_each_word_counts_not_only_its_class(make_docs, monkeypatch, hot):
+    monkeypatch.setattr(L, "HOT_WORDS", hot)
+    monkeypatch.setattr(L, "OTHER", L.VOCABULARY - 3)
+    rng = random.Random(4)
+    rows = [(i, " ".join(["a", "b", "d"] * 9 + [f"w{int(rng.random() ** 3 * 60)}" for _ in range(40)]), "en", "s") for i in range(20)]
+    docs, probe = make_docs(rows), [(1, "a b w0 W0 w59 neverseen neverseen", "en", "s"), (2, None, "en", "s"), (3, "a d", "en", "s"), (3, "a d", "en", "s")]
+    counts = L.word_counts(docs)
+    model = L.train(docs, counts=counts)
+    assert model[0] == L.train(docs)[0]
+    n = {r.word.encode(): r.n for r in counts.collect()}
+    totals = {}
+    for w in n.keys() - {x.encode() for x in model[0]}:
+        totals[L.other_class(w)] = totals.get(L.other_class(w), 0) + n[w]
+    by_class = {r.doc_id: r for r in L.scored(make_docs(probe), model).collect()}
+    by_word = L.scored(make_docs(probe, clashing=True), model, counts=counts).orderBy("doc_id").collect()
+    assert [r.doc_id for r in by_word] == [1, 2, 3, 3]
+    for r in by_word:
+        rest = [w for w in L.words_of(r.text) if w.decode() not in model[0]]
+        shares = sum(np.log(n.get(w, 1) / (totals.get(L.other_class(w), 0) + 1)) for w in rest)
+        assert r.n_words == by_class[r.doc_id].n_words
+        assert r.log_likelihood == pytest.approx(by_class[r.doc_id].log_likelihood + shares, abs=1e-6)
+    # A word that is rarer than another of its class is less likely.
+    assert by_word[0].log_likelihood < by_class[1].log_likelihood

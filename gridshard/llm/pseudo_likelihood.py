@@ -9,8 +9,8 @@ neighbours. Words are runs without ASCII white space, A-Z lower-cased.
   the word within the class, which is its share of the class's count plus one; a word without a count has that one.
   The shares of at most HOT_WORDS frequent words are broadcast, the others joined by word. As a neighbour, a word
   outside the vocabulary is seen as its class.
-- Every input partition trains the network from the same start on every MASK-th word of each of its
-  documents, from a place that depends on the text; weighted by their words, the networks are averaged, FAN_IN at a time.
+- Every input partition trains the network from the same start on every word of its documents, once, masked BATCH
+  at a time; weighted by their words, the networks are averaged, FAN_IN at a time.
 - The output is a softmax over groups of words of like frequency and one over the words of a group, so
   a word costs two square roots of the vocabulary.
 
@@ -39,8 +39,7 @@ VOCABULARY = GROUPS * GROUPS
 OTHER = 64
 WINDOW = 2
 WIDTH = 24
-MASK = 8
-BATCH = 1024
+BATCH = 4096
 RATE = 0.1
 FAN_IN = 64
 BLOCK_FLOATS = 8192
@@ -206,7 +205,8 @@ class Network:
         out["hidden_bias"] = back.sum(axis=0)
         out["inputs"] = np.zeros_like(self.inputs)
         for k, ids in enumerate(around):
-            order = np.argsort(ids, kind="stable")
+            # Of two bytes they are sorted by radix.
+            order = np.argsort(ids.astype(np.uint16), kind="stable")
             ranked = ids[order]
             at = np.flatnonzero(np.diff(ranked, prepend=-1))
             out["inputs"][k][ranked[at]] = np.add.reduceat(back[order], at, axis=0)
@@ -298,12 +298,9 @@ def _trained(docs: DataFrame, text: str, words: list[str], counts: np.ndarray) -
                 texts = batch.column(0).slice(a, b - a).to_pylist()
                 padded, sizes = numbers.padded(texts)
                 place = word_places(sizes)
-                in_text = np.arange(len(place)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                first = np.array([zlib.crc32((t or "").encode()) % MASK for t in texts], np.int64)
-                masked = place[in_text % MASK == np.repeat(first, sizes)]
-                for i in range(0, len(masked), BATCH):
-                    trainer.step(padded, masked[i : i + BATCH])
-                seen += len(masked)
+                for i in range(0, len(place), BATCH):
+                    trainer.step(padded, place[i : i + BATCH])
+                seen += len(place)
         if seen:
             values = network.flat() * np.float64(seen)
             part = TaskContext.get().partitionId()

@@ -124,3 +124,10 @@ def test_each_word_counts_not_only_its_class(make_docs, monkeypatch, hot):
         assert r.log_likelihood == pytest.approx(by_class[r.doc_id].log_likelihood + shares, abs=1e-6)
     # A word that is rarer than another of its class is less likely.
     assert by_word[0].log_likelihood < by_class[1].log_likelihood
+
+
+def test_every_word_is_a_target_once(make_docs):
+    docs = make_docs([(i, f"a{i} b c"[: 2 + 2 * (i % 3)], "en", "s") for i in range(9)] + [(9, "x " * 10_001, "en", "s"), (10, None, "en", "s")])
+    counts = L.word_counts(docs)
+    trained = L._trained(docs, "text", *L.vocabulary(counts)).where("block = 0").groupBy().sum("weight").first()[0]
+    assert trained == counts.groupBy().sum("n").first()[0]

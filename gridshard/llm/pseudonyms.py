@@ -8,7 +8,10 @@ and whoever has the key can undo it.
 
 Kinds: card, iban, ssn, phone, ip (IPv4), date, email (the letters and digits before the @) and hex (digests and tokens of
 32, 40 or 64 hex digits). Where finds overlap, the kind named first in KINDS counts. A number that fails
-its check is left alone.
+its check is left alone. Numbers next to other digits or capitals are looked for between the separators: see ``spans``.
+Where such a neighbour makes a longer valid number by chance, that one is replaced, and undoing a text can
+take another end than was replaced; single values are always undone. How long a number of a country other than +1 is isn't known:
+digits after a blank count to it.
 
 Nulls: a null text stays null, with no finds.
 """
@@ -18,7 +21,7 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from math import isqrt
 
@@ -138,6 +141,8 @@ class Pseudonyms:
     def phone(self, found: str) -> str | None:
         digits = re.sub(r"\D", "", found)
         international = found.startswith("+")
+        if international and digits[0] == "1" and len(digits) != 11:
+            return None
         country, rest = (digits[:-10], digits[-10:]) if len(digits) >= 10 else ("", digits)
         if country in ("", "1") and len(rest) == 10:
             # Area and exchange of the North American plan begin with 2 to 9. Numbers that are written as
@@ -206,13 +211,65 @@ KINDS = {
     "iban": re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"),
     "hex": re.compile(r"(?<!\w)(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32}|[0-9A-F]{64}|[0-9A-F]{40}|[0-9A-F]{32})(?!\w)"),
     "ip": re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)"),
-    "date": re.compile(r"(?<![\w./-])(?:\d{4}([./-])\d{2}\1\d{2}|\d{2}([./-])\d{2}\2\d{4})(?!\w|[./-]\d)"),
+    "date": re.compile(r"(?<![\w./-])(?:\d{4}([./-])\d{2}\1\d{2}|\d{2}([./-])\d{2}\2\d{4})(?!(?!T\d\d)\w|[./-]\d)"),
     "ssn": re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
     "card": re.compile(r"(?<![\w+-])\d(?:[ -]?\d){12,18}(?!\w|-\d)"),
     "phone": re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{1,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,4}(?!\w|[.-]\d)"),
 }
 
 
+# Digits in groups; numbers in the usual groups of the North American plan.
+_DIGIT_GROUPS = re.compile(r"(?<![\w+-])\d+(?:[ -]\d+)*(?!\w)")
+_PHONE_PART = re.compile(r"(?<![\w+])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-]?)\d{3}[ .-]?\d{4}(?!\w|[.-]\d)")
+
+
+def _card_spans(text: str) -> Iterator[tuple[int, int]]:
+    """Within a run of digits first single groups, then groups of four digits or more, of which the last may be shorter, the longest first."""
+    for run in _DIGIT_GROUPS.finditer(text):
+        if run.end() - run.start() < 13:
+            continue
+        groups = [(run.start() + m.start(), run.start() + m.end()) for m in re.finditer(r"\d+", run[0])]
+        found = []
+        for i, (start, _) in enumerate(groups):
+            digits = 0
+            for j in range(i, len(groups)):
+                size = groups[j][1] - groups[j][0]
+                digits += size
+                if digits > 19:
+                    break
+                if digits >= 13:
+                    found.append((j > i, -digits, start, groups[j][1]))
+                if size < 4:
+                    break
+        yield from (f[2:] for f in sorted(found))
+
+
+def spans(kind: str, text: str) -> Iterator[tuple[int, int]]:
+    """Where a value of the kind can be, the likelier of two that overlap first.
+
+    Besides the pattern's own matches these are parts of them between separators: cards as groups of a run of
+    digits, IBANs and numbers with + without their last groups, IBANs with a later start, phone numbers in the usual groups.
+    """
+    if kind == "card":
+        yield from _card_spans(text)
+    for match in KINDS[kind].finditer(text):
+        start, end = match.span()
+        yield start, end
+        if kind == "iban":
+            for at in (start, *(start + m.end() for m in re.finditer(" ", match[0]))):
+                part = KINDS[kind].match(text, at)
+                if part:
+                    yield part.span()
+                    yield from ((at, at + m.start()) for m in reversed(list(re.finditer(" ", part[0]))))
+        elif kind == "phone":
+            if match[0][0] == "+":
+                yield from ((start, start + m.start()) for m in reversed(list(re.finditer("[ .-]", match[0]))) if KINDS[kind].fullmatch(text, start, start + m.start()))
+            part = _PHONE_PART.search(text, start, len(text)) if end - start > 10 else None
+            while part and part.start() < end:
+                yield part.span()
+                part = _PHONE_PART.search(text, part.end())
+
+
 def replaced(text: str, names: Pseudonyms, kinds: tuple[str, ...]) -> tuple[str, dict[str, int]]:
     """``text`` with pseudonyms, and how many of each kind."""
     if not _SOME.search(text):
@@ -220,11 +277,10 @@ def replaced(text: str, names: Pseudonyms, kinds: tuple[str, ...]) -> tuple[str,
     taken: list[tuple[int, int, str]] = []
     counts: dict[str, int] = {}
     for kind in kinds:
-        for match in KINDS[kind].finditer(text):
-            start, end = match.span()
+        for start, end in spans(kind, text):
             if any(s < end and start < e for s, e, _ in taken):
                 continue
-            new = getattr(names, kind)(match[0])
+            new = getattr(names, kind)(text[start:end])
             if new is not None:
                 taken.append((start, end, new))
                 counts[kind] = counts.get(kind, 0) + 1

@@ -67,3 +67,37 @@ def test_table(make_docs, edge_docs, no_docs, edge_rows):
     assert P.pseudonymised(no_docs, b"key").count() == 0
     with pytest.raises(ValueError, match="key"):
         P.Pseudonyms(b"")
+
+
+@pytest.mark.parametrize(
+    ("kind", "value", "text"),
+    [
+        ("card", "4539578763621486", "{} 12/27"),
+        ("card", "4539 5787 6362 1486", "{} 12/27"),
+        ("card", "4539 5787 6362 1486", "{} 124"),
+        ("card", "4539578763621486", "2 {}"),
+        ("card", "4539578763621486", "1 22 {} 12-27 345"),
+        ("card", "4539578763621486", "{}-77"),
+        ("phone", "212-555-0187", "{} 24 hours"),
+        ("phone", "212-555-0187", "24 {}"),
+        ("phone", "+1 (212) 555-0187", "{} 24"),
+        ("iban", "AT611904300234573201", "{} EUR"),
+        ("iban", "DE89 3704 0044 0532 0130 00", "{} EUR"),
+        ("iban", "AT611904300234573201", "DE12 {} PAID"),
+        ("date", "2024-01-05", "{}T10:30"),
+    ],
+)
+def test_found_next_to_other_digits(kind, value, text):
+    new, counts = P.replaced(text.format(value), NAMES, KINDS)
+    assert counts == {kind: 1}
+    assert new == text.format(getattr(NAMES, kind)(value))
+    assert P.replaced(new, BACK, KINDS)[0] == text.format(value)
+
+
+def test_found_next_to_finds():
+    card, phone, day = "4539 5787 6362 1486", "212-555-0187", "01/02/2024"
+    for value, made in ((card, NAMES.card(card)), (phone, NAMES.phone(phone))):
+        assert P.replaced(f"{value} {day}", NAMES, KINDS)[0] == f"{made} {NAMES.date(day)}"
+    two = "4539578763621486 378282246310005"
+    assert P.replaced(two, NAMES, KINDS) == (" ".join(map(NAMES.card, two.split())), {"card": 2})
+    assert P.replaced("4539 5787 6362 1486 123", NAMES, KINDS)[1] == {"card": 1}  # valid with all 19 digits, too

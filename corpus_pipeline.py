@@ -12,13 +12,12 @@ from pyspark.sql import functions as F
 from gridshard.llm import decontamination, jaccard_join, language, mixing, repair
 from gridshard.llm.common import documents, held_out, written
 
-MIN_LANGUAGE_SCORE = 0.3
 SOURCE_WEIGHTS = (1.0, 2.0, 3.0)
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter go, and those that nothing tells the language of."""
-    return language.only_known(docs, MIN_LANGUAGE_SCORE, ~held_out())
+    """Documents without a letter go, and those that nothing tells the language of: no word or n-gram of them is known."""
+    return language.only_known(docs, 0.0, ~held_out())
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

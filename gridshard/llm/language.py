@@ -125,8 +125,12 @@ class LanguageModel:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language and its probability among those learned, with words taken as independent."""
+        return self.judge(text)[:2]
+
+    def judge(self, text: str | None) -> tuple[str, float, bool]:
+        """What ``predict`` says, and whether any word or n-gram of the text is known."""
         if not self.languages or not has_letter(text):
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, False
         counts = Counter(words_of(text))
         total, words = np.zeros(len(self.languages)), list(counts)
         for start in range(0, len(words), CACHE_WORDS):
@@ -136,7 +140,8 @@ class LanguageModel:
             rows = [self.known[w] if w in self.known else self._row(w) for w in some]
             total += np.array([counts[w] for w in some]) @ self.table[rows]
         best = int(np.argmax(total))
-        return self.languages[best], 1.0 / float(np.exp(np.maximum(total - total[best], -700.0)).sum())
+        # What is known has a score below 0 in some language.
+        return self.languages[best], 1.0 / float(np.exp(np.maximum(total - total[best], -700.0)).sum()), bool(total.any())
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k not in ("known", "table")}
@@ -192,7 +197,18 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def only_known(docs: DataFrame, min_score: float, train: Column) -> DataFrame:
-    """The rows of ``docs`` whose language is known with at least ``min_score``."""
-    names = (fresh(docs, "lang_found"), fresh(docs, "lang_score"))
-    found = identify(docs, train, None, names)
-    return found.where((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= min_score)).select(*(F.col(f"`{c}`") for c in docs.columns))
+    """The rows of ``docs`` with a word or n-gram that the model knows and a language with at least ``min_score``."""
+    shared = docs.sparkSession.sparkContext.broadcast(learn(docs.where(train)))
+    score, known = fresh(docs, "lang_score"), fresh(docs, "lang_known")
+
+    def make() -> Callable:
+        model = shared.value
+
+        def compute(texts):
+            made = list(map(model.judge, texts))
+            return [m[1] for m in made], [m[2] for m in made]
+
+        return compute
+
+    found = map_texts(docs, make, [(score, T.DoubleType()), (known, T.BooleanType())])
+    return found.where(F.col(known) & (F.col(score) >= min_score)).select(*(F.col(f"`{c}`") for c in docs.columns))

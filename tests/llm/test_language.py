@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from corpus_pipeline import known_language
 from gridshard.llm import language as L
 from gridshard.llm.common import held_out
 
@@ -66,3 +67,12 @@ def test_the_most_frequent_terms_stay(make_docs):
     docs = make_docs([(1, "a a a b b c d", "x", "s"), (2, "q", "y", "s")])
     model = L.learn(docs, max_words=3)
     assert set(model.at[0]) == {"a", "b", "c", "q"}
+
+
+@pytest.mark.parametrize("n", [2, 5])
+def test_texts_stay_if_anything_of_them_is_known(make_docs, n):
+    # The languages share their words, so that a text's score is 1 / n.
+    rows = [(i, "abc bcd", f"l{i % n}", "s") for i in range(4 * n)]
+    probes = [(100, "abc", None, "s"), (101, "你好", None, "s"), (102, "abc 你好", None, "s"), (103, "...", None, "s")]
+    kept = known_language(None, make_docs(rows + probes), "").where("doc_id >= 100").select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept) == [100, 102]

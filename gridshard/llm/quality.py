@@ -157,27 +157,37 @@ class Neighbours:
 
 
 def _terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    terms = Terms()
+    """A row for each id: of its texts the one with the smallest hash."""
+    import xxhash
+
+    terms, best, kind = Terms(), {}, None
     for batch in batches:
-        texts = batch.column(2)
+        kind, texts = batch.column(0).type, batch.column(2)
         for a, b in slices(texts):
-            each = [terms(t) for t in texts.slice(a, b - a).to_pylist()]
-            columns = [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array([s for s, _ in each], pa.list_(pa.int32())), pa.array([n for _, n in each], pa.list_(pa.float32()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "label", "slots", "counts"])
+            for i, label, text in zip(*(c.slice(a, b - a).to_pylist() for c in batch.columns), strict=True):
+                place = xxhash.xxh64_intdigest((text or "").encode()) >> 1
+                if i not in best or place < best[i][0]:
+                    best[i] = place, label, *terms(text)
+    if best:
+        places, labels, slots, counts = zip(*best.values(), strict=True)
+        columns = [pa.array(list(best), kind), pa.array(labels, pa.float64()), pa.array(places, pa.int64()), pa.array(slots, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.float32()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "label", "place", "slots", "counts"])
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str = "quality") -> Neighbours:
     """Neighbours from about ``sample`` labelled rows of ``docs`` (doc_id, text), all if there are fewer, by a hash of the id.
 
-    What reaches the driver is the sample's term counts, TERMS for each row at most.
+    An id with several texts teaches by the one with the smallest hash. What reaches the driver is the term counts of
+    one text for each id of the sample, TERMS for each at most.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
     known = known.groupBy("doc_id").agg(F.avg(label).alias("label"))
     chance = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     picked = known.where(chance * F.lit(known.count()) < sample)
-    # About ``sample`` rows.
     rows = docs.join(F.broadcast(picked), "doc_id").select("doc_id", "label", "text")
-    made = rows.mapInArrow(_terms_of, T.StructType([docs.schema["doc_id"], *T._parse_datatype_string("label double, slots array<int>, counts array<float>")]))
+    made = rows.mapInArrow(_terms_of, T.StructType([docs.schema["doc_id"], *T._parse_datatype_string("label double, place long, slots array<int>, counts array<float>")]))
+    # About ``sample`` rows.
+    made = made.groupBy("doc_id", "label").agg(F.min_by(F.struct("slots", "counts"), "place").alias("terms")).select("doc_id", "label", "terms.*")
     found = sorted(made.collect(), key=lambda r: (r.doc_id, r.slots))
     slots = np.array([i for r in found for i in r.slots], np.int32)
     counts = np.array([n for r in found for n in r.counts], np.float32)

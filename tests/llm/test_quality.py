@@ -55,3 +55,12 @@ def test_edge_cases(spark, edge_docs, no_docs):
     assert Q.scored(no_docs, model).count() == 0
     nothing = Q.learn(no_docs, labels)
     assert {r.score for r in Q.scored(edge_docs, nothing).collect()} == {0.5}
+
+
+def test_a_repeated_id_teaches_once(spark, make_docs):
+    copies = [(1, "many copies", "en", "s")] * 300 + [(1, f"text {i}", "en", "s") for i in range(50)]
+    docs = make_docs([*copies, (2, "other words", "en", "s"), (3, None, "en", "s")])
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int")
+    model = Q.learn(docs, labels)
+    assert model.labels.tolist() == [1, 0, 0]
+    assert np.array_equal(model.vectors, Q.learn(docs.repartition(5, "text"), labels).vectors)

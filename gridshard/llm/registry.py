@@ -1,6 +1,6 @@
 """The queries of the operators on documents, and the SQL of those that SQL can express."""
 
-from gridshard.llm import decontamination, jaccard_join, language, mixing, pseudo_likelihood, pseudonyms, quality, repair, repetition, sharding
+from gridshard.llm import decontamination, jaccard_join, language, mixing, pseudo_likelihood, pseudonyms, quality, repair, repetition, sharding, speculative_bpe
 
 QUERIES = {
     "op1_mix_sources": mixing.op1,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_extendible_shards": sharding.op8,
     "op9_decontaminate": decontamination.op9,
     "op10_jaccard_join": jaccard_join.op10,
+    "op12_speculative_bpe": speculative_bpe.op12,
 }
 ORACLE = {
     "op1_mix_sources": mixing.OP1_SQL,

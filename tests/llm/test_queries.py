@@ -19,7 +19,9 @@ COLUMNS = {
     7: "doc_id held_out lang_pred score",
     9: "doc_id n_words n_hit n_items items_sha256 contaminated",
     10: "doc_id n_shingles component_id",
+    11: "word form root n n_near form_n",
     12: "doc_id n_tokens ids_sha256 decoded_sha256",
+    13: "lang source part item value rank",
 }
 
 
@@ -53,4 +55,5 @@ def test_contract_columns(spark, number):
     name = next(n for n in registry.QUERIES if n.startswith(f"op{number}_"))
     df = registry.QUERIES[name](spark, "/root/testdata/sf0.001")
     assert df.columns[: len(COLUMNS[number].split())] == COLUMNS[number].split()
-    assert df.count() == 200
+    # One row for each document, but for words and for groups of documents.
+    assert number in (11, 13) or df.count() == 200

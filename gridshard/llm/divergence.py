@@ -42,7 +42,7 @@ HELD_TERMS = 200_000
 SKYBAND_ROWS = 16_384
 _CHUNK = 512
 # Numbers in a matrix of shares, and sources that are compared with all others in a task.
-SLICE_SHARES = 1 << 20
+SLICE_SHARES = 1 << 16
 BLOCK_SOURCES = 64
 # Skybands of a source are merged by so many hashed parts before the terms are ranked.
 MERGED_PARTS = 8

@@ -8,7 +8,8 @@ every pass and in every attempt of a task.
 
 The number of buckets follows the rows. Bounds of the first ``_FIRST_LEVEL`` are constants of
 the plan; where more are needed, those buckets are cut again by bounds from a written
-table with one row for each, so neither plan nor driver grows with the rows.
+table with one row for each, so neither plan nor driver grows with the rows. That table is broadcast,
+in measured pieces where it is large, so that a row finds its bucket without being moved.
 
 A value that fills more than a bucket would make its bucket as large as it is
 frequent. Such a value shows up as a repeated bound and gets a bucket of its own,
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
+from functools import reduce
 from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,13 +29,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridshard.functions.parsing import parsed_once
-from gridshard.operators.skew import shuffle_partitions
+from gridshard.operators.skew import row_bytes, shuffle_partitions
 from gridshard.sources.scratch import scratch_path
 
 _FIRST_LEVEL = 1024
 _SAMPLES_PER_BUCKET = 64
 # A few megabytes.
 _BROADCAST_BUCKETS = 100_000
+_BROADCAST_BYTES = 256 << 20
+_LAST_BUCKET = (1 << 31) - 1
 # Rows of a bucket where there are enough for a bucket in every task; fewer than the least are not worth one.
 _ROWS_PER_BUCKET = 1_000_000
 _LEAST_ROWS = 10_000
@@ -76,11 +80,13 @@ def _comparable(df: DataFrame) -> list[str]:
 @dataclass(frozen=True)
 class Bounds:
     """``first``: upper bounds of the buckets, ascending, each with the number of times it came up.
-    ``second``: if they are cut again, (_bucket, _sub_bounds) with an array of keys for each."""
+    ``second``: if they are cut again, (_bucket, _sub_bounds) with an array of keys for each.
+    ``pieces``: ranges of buckets, all of them together, whose second bounds are small enough to broadcast."""
 
     first: list[tuple[tuple, int]]
     second: DataFrame | None = None
     second_size: int = 0
+    pieces: tuple[tuple[int, int], ...] = ()
 
 
 def _bounds(df: DataFrame, order_by: list[str]) -> Bounds:
@@ -116,7 +122,22 @@ def _second_level(keys: DataFrame, order_by: list[str], first: Bounds, total: in
     bounds = cut.groupBy("_bucket").agg(F.sort_array(F.collect_list(F.struct(*order_by))).alias("_sub_bounds"))
     path = scratch_path(keys.sparkSession, "bounds")
     bounds.write.parquet(path)
-    return Bounds(first.first, keys.sparkSession.read.schema(bounds.schema).parquet(path), parts)
+    stored = keys.sparkSession.read.schema(bounds.schema).parquet(path)
+    size = F.expr(f"aggregate(_sub_bounds, 0L, (size, b) -> size + {row_bytes([keys.schema[c] for c in order_by], 'b.')})")
+    # A row for each bucket of the first level.
+    sizes = stored.select("_bucket", size.alias("size")).orderBy("_bucket").collect()
+    return Bounds(first.first, stored, parts, _pieces([(r["_bucket"], r["size"]) for r in sizes]))
+
+
+def _pieces(sizes: list[tuple[int, int]]) -> tuple[tuple[int, int], ...]:
+    """Ranges of buckets, from the first number there can be to the last, with ``_BROADCAST_BYTES`` of bounds each, or one bucket's."""
+    starts, held = [-1], 0
+    for bucket, size in sizes:
+        if held and held + size > _BROADCAST_BYTES:
+            starts.append(bucket)
+            held = 0
+        held += size
+    return tuple(zip(starts, [*(s - 1 for s in starts[1:]), _LAST_BUCKET], strict=True))
 
 
 def _tag(df: DataFrame, order_by: list[str], bounds: Bounds) -> DataFrame:
@@ -124,7 +145,13 @@ def _tag(df: DataFrame, order_by: list[str], bounds: Bounds) -> DataFrame:
     tagged = _first_tag(df, order_by, bounds.first)
     if bounds.second is None:
         return tagged
-    cut = tagged.join(bounds.second, "_bucket", "left").withColumn("_first_sub", F.col("_sub")).drop("_sub")
+    # Looked up where the row is: rows of a bucket never meet for it. There is one piece unless bounds are very many.
+    parts = []
+    for low, high in bounds.pieces:
+        within = F.col("_bucket").between(low, high)
+        rows = tagged.where(within) if len(bounds.pieces) > 1 else tagged
+        parts.append(rows.join(F.broadcast(bounds.second.where(within)), "_bucket", "left"))
+    cut = reduce(DataFrame.unionByName, parts).withColumn("_first_sub", F.col("_sub")).drop("_sub")
     columns = [_BoundColumn(F.col(f"_sub_bounds.{c}"), F.col(c)) for c in order_by]
     found = _with_bounds_below(cut, columns, bounds.second_size, F.coalesce(F.size("_sub_bounds"), F.lit(0)))
     # Buckets of one value are split by a hash already.

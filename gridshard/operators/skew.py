@@ -1,23 +1,47 @@
-"""Equi joins whose keys may be hot.
+"""Equi joins whose keys may be hot, in as many partitions as there is work for.
 
 What makes a key hot is the pairs it has: the product of its rows on both sides, held
 against all pairs of the join. Rows of a hot key are spread over salts of both sides, a row of
 one side goes to one of its own salts and all of the other's, so the key's pairs
 are cut into parts of less than a partition's share. The result is the plain inner
 join whatever was found hot.
+
+The same pass that finds hot keys measures all pairs and bytes of the join. The number of partitions follows
+from them and not from the session's setting: adaptive execution can put partitions together, but it can't
+split one with many pairs, and where partitions hold few bytes it would put together those that make most.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+# What a task is to make and to read.
+PAIRS_PER_PARTITION = 1 << 24
+BYTES_PER_PARTITION = 128 << 20
+# What the driver and the tasks of a shuffle can keep track of.
+MAX_PARTITIONS = 100_000
 # A key is cut into parts of a partition's share divided by this: several to a partition even out.
 _PARTS_PER_SHARE = 8
 # Share of the left rows that keys are counted on. Salts only balance, so an estimate will do.
-_SAMPLED = 1 / 16
+SAMPLED = 1 / 16
+# The keys with most pairs that are looked at: a few megabytes. Any other key has less than that part of all pairs.
+_MOST_HOT = 1 << 16
+
+
+@dataclass(frozen=True)
+class Work:
+    """What a join was measured to make and move, and how."""
+
+    pairs: float = 0
+    bytes: float = 0
+    partitions: int = 1
+    # Hash and number of salts on either side of each key with more than a part of all pairs.
+    hot: tuple[tuple[int, int, int], ...] = ()
 
 
 def shuffle_partitions(df: DataFrame) -> int:
@@ -26,29 +50,57 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(wanted) if wanted.isdigit() else df.sparkSession.sparkContext.defaultParallelism
 
 
-def hot_keys(left: DataFrame, right: DataFrame, keys: list[str], sampled: float = _SAMPLED) -> list[tuple[int, int, int]]:
-    """Hash and number of salts on either side of each key with more than a part of all pairs.
+def partitions_for(pairs: float, size: float, cores: int) -> int:
+    """Every core has a partition, and no partition more than its pairs and bytes, as long as that is a number of partitions that can be."""
+    return min(MAX_PARTITIONS, max(cores, math.ceil(pairs / PAIRS_PER_PARTITION), math.ceil(size / BYTES_PER_PARTITION)))
 
-    There are at most as many such keys as parts. Left rows are counted on a sample.
-    """
-    parts = shuffle_partitions(left) * _PARTS_PER_SHARE
-    hashed = F.xxhash64(*keys).alias("_hash")
-    some = left.select(hashed).sample(sampled, 29).groupBy("_hash").agg((F.count(F.lit(1)) / sampled).alias("_l"))
-    many = right.select(hashed).groupBy("_hash").agg(F.count(F.lit(1)).alias("_r"))
-    work = some.join(many, "_hash").withColumn("_pairs", F.col("_l") * F.col("_r"))
+
+def row_bytes(fields: list[T.StructField], of: str = "") -> str:
+    """SQL for the size of a row in memory: 16 bytes a column plus its text, binary or nested content; ``of`` goes before its names."""
+    # The keys and the hash entry come to about 64 bytes.
+    sizes = [f"{64 + 16 * len(fields)}"]
+    for field in fields:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(f"coalesce(octet_length({of}`{field.name}`), 0)")
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            sizes.append(f"coalesce(octet_length(to_json(struct({of}`{field.name}`))), 0)")
+    return " + ".join(sizes)
+
+
+def measure_work(left: DataFrame, right: DataFrame, keys: list[str], sampled: float = 1.0) -> Work:
+    """One pass over the right side and ``left``, which is a sample of that share of the left side."""
+
+    def rows(df: DataFrame, side: str, share: float) -> DataFrame:
+        size = F.expr(row_bytes([f for f in df.schema.fields if f.name not in keys]))
+        sums = df.select(F.xxhash64(*keys).alias("_hash"), size.alias("_size")).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_size"))
+        n, none = F.col("_n") / share, F.lit(0.0)
+        return sums.select("_hash", (n if side == "l" else none).alias("_l"), (n if side == "r" else none).alias("_r"), (F.col("_size") / share).alias("_size"))
+
+    both = rows(left, "l", sampled).unionByName(rows(right, "r", 1.0))
+    work = both.groupBy("_hash").agg(*(F.sum(c).alias(c) for c in ("_l", "_r", "_size"))).withColumn("_pairs", F.col("_l") * F.col("_r"))
     total = Observation()
-    top = work.observe(total, F.sum("_pairs").alias("pairs")).orderBy(F.desc("_pairs")).limit(parts).collect()
-    if not top:
-        return []
-    part = total.get["pairs"] / parts
-    salts = []
+    top = work.observe(total, F.sum("_pairs").alias("pairs"), F.sum("_size").alias("size")).orderBy(F.desc("_pairs")).limit(_MOST_HOT).collect()
+    if len(top) < _MOST_HOT:
+        # All keys there are. Where Spark knows that beforehand it sorts without a limit and runs, and counts, twice.
+        pairs, size = (sum(r[c] for r in top) for c in ("_pairs", "_size"))
+    else:
+        pairs, size = total.get["pairs"], total.get["size"]
+    partitions = partitions_for(pairs, size, left.sparkSession.sparkContext.defaultParallelism)
+    if not pairs:
+        return Work(0, size, partitions)
+    part = pairs / (partitions * _PARTS_PER_SHARE)
+    hot = []
     for row in top:
         cuts = math.ceil(row["_pairs"] / part)
         if cuts > 1:
             # As many salts on each side as make the copied rows fewest.
             n_left = min(cuts, max(1, round(math.sqrt(cuts * row["_l"] / row["_r"]))))
-            salts.append((row["_hash"], n_left, -(-cuts // n_left)))
-    return salts
+            hot.append((row["_hash"], n_left, -(-cuts // n_left)))
+    return Work(pairs, size, partitions, tuple(hot))
+
+
+def sample_of(df: DataFrame) -> DataFrame:
+    return df.sample(SAMPLED, 29)
 
 
 def spread(salts: Column, columns: list[str]) -> Column:
@@ -66,19 +118,21 @@ def skew_join(
     spread_left: list[str],
     spread_right: list[str],
     condition: Column | None = None,
+    left_sample: DataFrame | None = None,
 ) -> DataFrame:
-    """Inner shuffle join on ``keys`` that splits hot keys.
+    """Inner shuffle join on ``keys`` that splits hot keys, in as many partitions as its pairs and bytes make up.
 
-    ``spread_left`` and ``spread_right`` are columns that differ between most rows of a key.
-    The partitions are numbered explicitly: adaptive execution would put small ones, which may have most pairs, together.
+    ``spread_left`` and ``spread_right`` are columns that differ between most rows of a key. ``left_sample`` is what
+    ``sample_of`` leaves of the left side, for callers that can take it earlier.
     """
-    on = list(keys)
-    if salts := hot_keys(left, right, keys):
-        hot = left.sparkSession.createDataFrame(salts, "_hash long, _salts_l int, _salts_r int")
+    left_sample = sample_of(left) if left_sample is None else left_sample
+    on, work = list(keys), measure_work(left_sample, right, keys, SAMPLED)
+    if work.hot:
+        hot = left.sparkSession.createDataFrame(work.hot, "_hash long, _salts_l int, _salts_r int")
         left = _salted(left, hot, keys, "_salts_l", "_salts_r", "_salt_l", "_salt_r", spread_left)
         right = _salted(right, hot, keys, "_salts_r", "_salts_l", "_salt_r", "_salt_l", spread_right)
         on += ["_salt_l", "_salt_r"]
-    n = shuffle_partitions(left)
+    n = work.partitions
     joined = left.repartition(n, *on).join(right.repartition(n, *on).hint("merge"), on, "inner")
     if condition is not None:
         joined = joined.where(condition)

@@ -95,25 +95,25 @@ def range_join(points: DataFrame, rects: DataFrame, mode: str = "exact", strateg
     return _range_pairs(points, mode, cover, stats, broadcast).select(*rects.columns, *points.columns)
 
 
-def _measured(points: DataFrame, rects: DataFrame, mode: str, strategy: str):
+def _measured(points: DataFrame, rects: DataFrame, mode: str, strategy: str, finer: int = 0):
     _contains(mode)
     bj.check_names(points, rects.drop("_rects"))
-    cover, stats = bj.cover_boxes(_rect_boxes(rects, mode, _farthest(points, rects, mode)))
-    return cover, stats, _broadcasts(stats, strategy)
+    cover, stats = bj.cover_boxes(_rect_boxes(rects, mode, _farthest(points, rects, mode)), finer)
+    return cover, stats, _broadcasts(stats, strategy, finer == 0)
 
 
-def _broadcasts(stats: bj.BoxStats, strategy: str) -> bool:
+def _broadcasts(stats: bj.BoxStats, strategy: str, required: bool = True) -> bool:
     if strategy not in ("auto", "broadcast", "shuffle"):
         raise ValueError(f"strategy must be 'auto', 'broadcast' or 'shuffle', not {strategy!r}")
     fits = stats.cell_bytes <= bj.BROADCAST_BYTES
-    if strategy == "broadcast" and not fits:
+    if strategy == "broadcast" and required and not fits:
         raise ValueError(f"{stats.cell_bytes} bytes of cells are too many to broadcast; the limit is {bj.BROADCAST_BYTES}")
     return fits and strategy != "shuffle"
 
 
-def _range_pairs(points, mode, cover, stats, broadcast) -> DataFrame:
+def _range_pairs(points, mode, cover, stats, broadcast, cells=None) -> DataFrame:
     predicate = _contains(mode)(F.col("x"), F.col("y"), *[F.col(c) for c in CORNERS])
-    return bj.box_join(points, cover, "x", "y", predicate, stats, broadcast, list(CORNERS))
+    return bj.box_join(points, cover, "x", "y", predicate, stats, broadcast, list(CORNERS), cells)
 
 
 def _collapsed(df: DataFrame, columns: list[str], weight: str) -> DataFrame:
@@ -129,12 +129,34 @@ def range_join_count(
 ) -> DataFrame:
     """Number of pairs of ``range_join``.
 
-    Copies of a rectangle are counted before they meet points. Points are shuffled once at most, on the cell.
+    Copies of a rectangle are counted before they meet points, and cells inside rectangles are one row
+    for all of those, so that only points in cells on a border are tested. Points are shuffled once at most, on the cell.
     """
     rects = _collapsed(rects, list(CORNERS), "_rects")
     points = points.select("x", "y")
-    cover, stats, broadcast = _measured(points, rects, mode, strategy)
-    return _weighted_count(_range_pairs(points, mode, cover, stats, broadcast), F.col("_rects"))
+    if mode == "compat":
+        # The area test may turn down points inside, by rounding, so each is tested.
+        return _weighted_count(_range_pairs(points, mode, *_measured(points, rects, mode, strategy)), F.col("_rects"))
+    cover, stats, broadcast = _counting_cover(points, rects, strategy)
+    cells = bj.counting_cells(cover, "_rects", list(CORNERS))
+    return _weighted_count(_range_pairs(points, mode, cover, stats, broadcast, cells), F.col("_rects"))
+
+
+# Counting cells have a quarter of the side on each axis, as long as there are not more of them than that to shuffle.
+_FINER = 2
+_FINE_CELLS = 1 << 26
+
+
+def _counting_cover(points: DataFrame, rects: DataFrame, strategy: str):
+    """Of smaller cells fewer are on a border, so they are taken where they are few enough."""
+    fine = _measured(points, rects, "exact", strategy, _FINER)
+    if fine[2]:
+        return fine
+    few = fine[1].cells <= _FINE_CELLS
+    if strategy == "shuffle" and few:
+        return fine
+    coarse = _measured(points, rects, "exact", strategy)
+    return fine if few and not coarse[2] else coarse
 
 
 def distance_join(left: DataFrame, right: DataFrame, d: float, strategy: str = "auto") -> DataFrame:

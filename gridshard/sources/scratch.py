@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 @cache
@@ -31,3 +31,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = _local_folder()
     return f"{base.rstrip('/')}/gridshard-{uuid.uuid4().hex}/{name}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the scratch folder and read back: for what several jobs read. Executors that are lost take nothing along."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 
 def write_csv_results(results: list[DataFrame], prefix: str) -> list[str]:
@@ -13,7 +13,7 @@ def write_csv_results(results: list[DataFrame], prefix: str) -> list[str]:
     return paths
 
 
-def write_fragments(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_fragments(df: DataFrame, path: str) -> None:
     """Write rows to one folder per ``part_id``; rows without one keep a folder of their own.
 
     Rows are first gathered by fragment into files of even size, and a fragment that
@@ -21,9 +21,4 @@ def write_fragments(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
         raise ValueError("writing fragments needs spark.sql.adaptive.enabled")
-    df.hint("rebalance", "part_id").write.mode(mode).partitionBy("part_id").parquet(path)
-
-
-def read_fragments(spark: SparkSession, path: str) -> DataFrame:
-    """All fragments; a filter on ``part_id`` reads only the fragments it names."""
-    return spark.read.parquet(path)
+    df.hint("rebalance", "part_id").write.partitionBy("part_id").parquet(path)

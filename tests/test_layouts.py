@@ -1,10 +1,14 @@
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from gridshard.operators import layouts, numbering
 from gridshard.plans import ratings_layouts
+from gridshard.sources import batches
 
 RATINGS = "userid int, movieid int, rating double"
 
@@ -128,6 +132,27 @@ def test_row_numbers_over_two_levels_of_buckets(spark, monkeypatch):
     assert sizes.count() > 60 and sizes.agg(F.max("count")).first()[0] < 600
 
 
+@pytest.mark.parametrize("most", [256 << 20, 1000])
+def test_rows_find_their_second_bucket_where_they_are(spark, monkeypatch, most):
+    """No rows are shuffled for the bounds of the second level, in one piece or in several."""
+    monkeypatch.setattr(numbering, "_ROWS_PER_BUCKET", 50)
+    monkeypatch.setattr(numbering, "_FIRST_LEVEL", 8)
+    monkeypatch.setattr(numbering, "_BROADCAST_BYTES", most)
+    df = spark.range(20_000).select(F.sha1(F.col("id").cast("string")).alias("s"), "id")
+    bounds = numbering._bounds(df, ["s"])
+    assert (len(bounds.pieces) > 1) == (most == 1000)
+    assert bounds.pieces[0][0] < 0 and all(a[1] + 1 == b[0] for a, b in zip(bounds.pieces, bounds.pieces[1:]))
+    tagged = numbering._tag(df, ["s"], bounds)
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    got = numbering.global_row_number(df, ["s"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.split("\n") if "Exchange hashpartitioning(_bucket" in line]
+    assert moved and all("_sub" in line for line in moved)
+    rows = got.orderBy("row_num").collect()
+    assert [r.row_num for r in rows] == list(range(1, 20_001)) and all(a.s < b.s for a, b in zip(rows, rows[1:]))
+
+
 def test_row_numbers_by_nested_keys_are_refused(spark):
     df = spark.range(5).selectExpr("struct(id AS a) AS s", "array(id) AS l")
     for key in ("s", "l"):
@@ -180,7 +205,7 @@ def test_round_robin_layout_on_storage(spark, tmp_path):
 def test_fragments_are_gathered_before_writing(spark, tmp_path, n):
     layout = str(tmp_path / "many")
     ratings_layouts.partition_by_range(ratings_of(spark, [i / 100 for i in range(501)]).repartition(40), layout, n)
-    files = [p for p in (tmp_path / "many" / "fragments").rglob("*.parquet")]
+    files = [p for p in (tmp_path / "many" / "data").rglob("*.parquet")]
     assert n <= len(files) <= 2 * n
     assert ratings_layouts.fragments(spark, layout).count() == 501
 
@@ -192,3 +217,118 @@ def test_writing_fragments_needs_adaptive_execution(spark, tmp_path):
             ratings_layouts.partition_by_range(ratings_of(spark, [1.0]), str(tmp_path / "layout"), 2)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+class Killed(Exception):
+    pass
+
+
+def robin(spark, tmp_path):
+    layout = str(tmp_path / "robin")
+    ratings_layouts.partition_round_robin(ratings_of(spark, [1.0] * 7), layout, 3, ["movieid"])
+    return layout, spark.createDataFrame([(2, 100 + i, 1.0) for i in range(5)], RATINGS)
+
+
+@pytest.mark.parametrize("moment", ["before data", "before the commit", "after the commit"])
+@pytest.mark.parametrize("kind", ["range", "round_robin"])
+def test_an_append_that_died_can_be_repeated(spark, tmp_path, monkeypatch, kind, moment):
+    if kind == "range":
+        layout = str(tmp_path / "range")
+        ratings_layouts.partition_by_range(ratings_of(spark, [0.0, 1.1, 5.0, 9.9]), layout, 5)
+        batch = ratings_of(spark, [0.1, 2.5, 7.0])
+
+        def append():
+            ratings_layouts.append_by_range(batch, layout, "day 1")
+    else:
+        layout, batch = robin(spark, tmp_path)
+
+        def append():
+            ratings_layouts.append_round_robin(batch, layout, ["movieid"], "day 1")
+
+    def state():
+        return Counter(map(tuple, ratings_layouts.fragments(spark, layout).collect())), ratings_layouts.metadata(spark, layout).collect()
+
+    commit, write = batches._commit, batches.write_fragments
+
+    def dies(*args):
+        if moment == "after the commit":
+            commit(*args)
+        raise Killed
+
+    before = state()
+    with monkeypatch.context() as m, pytest.raises(Killed):
+        m.setattr(*((batches, "write_fragments", dies) if moment == "before data" else (batches, "_commit", dies)))
+        append()
+    if moment != "after the commit":
+        assert state() == before
+    assert batches.write_fragments is write
+    append()
+    after = state()
+    append()
+    assert state() == after
+    assert after[0].total() == before[0].total() + batch.count()
+    batches.remove_unread(spark, layout)
+    assert state() == after
+
+
+def test_a_process_killed_between_data_and_commit(spark, tmp_path):
+    layout, batch = robin(spark, tmp_path)
+    batch.write.parquet(str(tmp_path / "batch"))
+    script = f"""
+import os
+from pyspark.sql import SparkSession
+from gridshard.plans import ratings_layouts
+from gridshard.sources import batches
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+batches._commit = lambda *args: os._exit(9)
+ratings_layouts.append_round_robin(spark.read.parquet({str(tmp_path / "batch")!r}), {layout!r}, ["movieid"], "b")
+"""
+    done = subprocess.run([sys.executable, "-c", script], cwd=Path(__file__).resolve().parent.parent, capture_output=True, timeout=300)
+    assert done.returncode == 9
+    assert len(list((tmp_path / "robin" / "data").iterdir())) == 2
+    assert ratings_layouts.fragments(spark, layout).count() == 7
+    ratings_layouts.append_round_robin(batch, layout, ["movieid"], "b")
+    assert parts(ratings_layouts.fragments(spark, layout)) == [i % 3 for i in range(12)]
+    batches.remove_unread(spark, layout)
+    assert len(list((tmp_path / "robin" / "data").iterdir())) == 2
+    assert ratings_layouts.fragments(spark, layout).count() == 12
+
+
+def test_of_two_batches_dealt_at_once_one_fails(spark, tmp_path):
+    layout, batch = robin(spark, tmp_path)
+    known = batches.committed(spark, layout)
+    dealt = layouts.round_robin(batch, 3, ["movieid"], 1)
+    batches.add_batch(dealt, layout, "one", known)
+    with pytest.raises(batches.CommitConflict):
+        batches.add_batch(dealt, layout, "two", known)
+    assert [b.batch_id for b in batches.committed(spark, layout)][1:] == ["one"]
+    ratings_layouts.append_round_robin(batch.selectExpr("userid", "movieid + 50 AS movieid", "rating"), layout, ["movieid"], "two")
+    assert parts(ratings_layouts.fragments(spark, layout)) == [i % 3 for i in range(17)]
+
+
+def test_partitioning_again_replaces_all_batches(spark, tmp_path):
+    layout, batch = robin(spark, tmp_path)
+    ratings_layouts.append_round_robin(batch, layout, ["movieid"], "b")
+    with pytest.raises(ValueError, match="round_robin"):
+        ratings_layouts.append_by_range(batch, layout)
+    ratings_layouts.partition_by_range(ratings_of(spark, [0.5, 4.5]), layout, 2)
+    assert parts(ratings_layouts.fragments(spark, layout)) == [0, 1]
+    assert ratings_layouts.metadata(spark, layout).count() == 2
+    batches.remove_unread(spark, layout)
+    assert len(list((tmp_path / "robin" / "data").iterdir())) == 1
+    assert parts(ratings_layouts.fragments(spark, layout)) == [0, 1]
+
+
+def test_empty_batches_and_batches_of_other_types(spark, tmp_path):
+    layout = str(tmp_path / "range")
+    with pytest.raises(ValueError, match="not a layout"):
+        ratings_layouts.append_by_range(ratings_of(spark, [1.0]), layout)
+    ratings_layouts.partition_by_range(ratings_of(spark, []), layout, 2)
+    assert ratings_layouts.fragments(spark, layout).columns == ["userid", "movieid", "rating", "part_id"]
+    assert ratings_layouts.fragments(spark, layout).count() == 0
+    ratings_layouts.append_by_range(ratings_of(spark, []), layout, "nothing")
+    ratings_layouts.append_by_range(ratings_of(spark, [1.0]).selectExpr("bigint(movieid) AS movieid", "bigint(1) AS userid", "float(rating) AS rating"), layout)
+    assert [tuple(r) for r in ratings_layouts.fragments(spark, layout).collect()] == [(1, 0, 1.0, 0)]
+    with pytest.raises(ValueError, match="columns"):
+        ratings_layouts.append_by_range(ratings_of(spark, [1.0]).withColumn("more", F.lit(1)), layout)
+    assert [b.rows for b in batches.committed(spark, layout)] == [0, 0, 1]

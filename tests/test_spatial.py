@@ -237,8 +237,9 @@ def test_auto_picks_the_side_that_fits(spark, monkeypatch):
     left, right = pair_inputs(spark, many, many)
     assert spatial._distance_side(left, right, 2.0, "auto")[0] == "none"
     plan = plan_of(spatial.distance_join(left, right, 2))
-    # What is broadcast are hot keys at most.
-    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == plan.count("BroadcastHashJoin [_hash")
+    # What is broadcast are hot keys and the filter of cells at most.
+    small = plan.count("BroadcastHashJoin [_hash") + plan.count("BroadcastHashJoin [_block")
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == small
 
 
 def plan_of(df):
@@ -290,10 +291,12 @@ def test_hot_cell_is_spread_over_salts(spark):
 def test_skew_join_with_hot_keys_on_both_sides(spark):
     left = spark.range(3000).selectExpr("if(id % 3 = 0, 1, id) AS k", "id AS a")
     right = spark.range(900).selectExpr("if(id % 3 = 0, 1, id) AS k", "id AS b")
-    (_, n_left, n_right), *others = skew.hot_keys(left, right, ["k"], sampled=1.0)
-    assert not others and n_left > n_right > 1 and n_left * n_right >= 60
-    assert skew.hot_keys(spark.range(0), spark.range(0), ["id"]) == []
-    assert skew.hot_keys(spark.range(100_000), spark.range(100_000), ["id"]) == []
+    work = skew.measure_work(left, right, ["k"])
+    ((_, n_left, n_right),) = work.hot
+    assert n_left > n_right > 1 and n_left * n_right >= 60
+    assert work.pairs == left.join(right, "k").count()
+    assert skew.measure_work(spark.range(0), spark.range(0), ["id"]).hot == ()
+    assert skew.measure_work(spark.range(100_000), spark.range(100_000), ["id"]).hot == ()
     joined = skew.skew_join(left, right, ["k"], ["a"], ["b"])
     plain = left.join(right, "k").select("k", "a", "b")
     assert joined.columns == ["k", "a", "b"]
@@ -316,6 +319,102 @@ def test_no_task_gets_much_more_than_its_share_of_the_pairs(spark, shares):
     assert max(tasks) <= 2 * total / len(tasks)
 
 
+@pytest.mark.parametrize("hot", [0.0, 0.02])
+def test_partitions_follow_the_pairs_and_not_the_session(spark, monkeypatch, hot):
+    """With two partitions in the session, a task still gets a bounded number of pairs."""
+    monkeypatch.setattr(skew, "PAIRS_PER_PARTITION", 50_000)
+    n, setting = 60_000, spark.conf.get("spark.sql.shuffle.partitions")
+    left, right = (spark.range(n).selectExpr(f"if(id < {int(n * hot)}, -1, id div 20) AS k", f"id AS {c}") for c in "ab")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        joined = skew.skew_join(left, right, ["k"], ["a"], ["b"])
+        tasks = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        total = left.join(right, "k").count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", setting)
+    assert sum(tasks) == total
+    assert len(tasks) >= 0.9 * total / 50_000 and max(tasks) < 3 * 50_000
+
+
+def test_partitions_follow_the_bytes(spark, monkeypatch):
+    monkeypatch.setattr(skew, "BYTES_PER_PARTITION", 100_000)
+    wide = spark.range(2000).selectExpr("id", "repeat('x', 1000) AS text")
+    work = skew.measure_work(wide, spark.range(10), ["id"])
+    assert 2_000_000 < work.bytes < 2_500_000 and work.partitions == math.ceil(work.bytes / 100_000)
+    assert skew.partitions_for(0, 0, 8) == 8 and skew.partitions_for(1e30, 0, 8) == skew.MAX_PARTITIONS
+
+
+def clustered(spark, n_points=20_000):
+    """Points over a wide area of which boxes, in a few clusters of several shapes, take up little."""
+    rng = random.Random(11)
+    rects = []
+    for _ in range(12):
+        cx, cy, w, h = rng.uniform(0, 1000), rng.uniform(0, 1000), rng.choice([0.5, 3.0]), rng.choice([0.7, 5.0])
+        rects += [(x := cx + rng.uniform(0, 8), y := cy + rng.uniform(0, 8), x + w, y + h) for _ in range(40)]
+    points = [(rng.uniform(0, 1000), rng.uniform(0, 1000)) for _ in range(n_points)]
+    points += [(r[0] + rng.uniform(-1, 2), r[1] + rng.uniform(-1, 2)) for r in rects for _ in range(5)]
+    return points_of(spark, points), rects_of(spark, rects)
+
+
+@pytest.mark.parametrize("limit", [2_000_000, 200, 0])
+def test_points_that_meet_no_cell_are_not_shuffled(spark, monkeypatch, limit):
+    points, rects = clustered(spark)
+    cover, stats = box_join.cover_boxes(spatial._rect_boxes(rects, "exact"))
+    cells, probes = box_join.explode_cells(cover), box_join.probe(points, "x", "y", stats)
+    keys = ["_kx", "_ky", "_i", "_j"]
+    meet = probes.join(cells, keys, "left_semi").count()
+    monkeypatch.setattr(box_join, "FILTER_CELLS", limit)
+    kept = box_join.occupied(probes, box_join.occupied_blocks(cells, stats.cells))
+    assert kept.columns == probes.columns and kept.join(cells, keys, "left_semi").count() == meet
+    if limit > stats.cells:
+        assert kept.count() == meet < probes.count() / 20
+    elif limit:
+        # Blocks of cells, each with more room than the cells in it.
+        assert meet < kept.count() < probes.count() / 4
+    else:
+        assert kept.count() == probes.count()
+    expected = points.join(rects, F.expr("x BETWEEN x1 AND x2 AND y BETWEEN y1 AND y2")).select("rid", "pid")
+    joined = spatial.range_join(points, rects, strategy="shuffle").select("rid", "pid")
+    assert joined.exceptAll(expected).isEmpty() and expected.exceptAll(joined).isEmpty()
+
+
+@pytest.mark.parametrize("finer", [0, 2])
+def test_counts_enumerate_no_pairs_of_cells_inside_rectangles(spark, finer):
+    points, rects = clustered(spark)
+    weighted = spatial._collapsed(rects, list(spatial.CORNERS), "_rects")
+    cover, stats = box_join.cover_boxes(spatial._rect_boxes(weighted, "exact"), finer)
+    keys = ["_kx", "_ky", "_i", "_j"]
+    probes = box_join.probe(points.select("x", "y"), "x", "y", stats)
+    cells = box_join.counting_cells(cover, "_rects", list(spatial.CORNERS))
+    whole = cells.where("x1 = double('-Infinity')")
+    # One row, whatever the boxes around a cell.
+    assert whole.groupBy(*keys).count().where("count > 1").isEmpty() and not whole.isEmpty()
+    every = box_join.explode_cells(cover)
+    border = cells.where("x1 > double('-Infinity')")
+    assert border.count() + whole.agg(F.sum("_rects")).first()[0] == every.agg(F.sum("_rects")).first()[0]
+    # Rows met by points: those of the border, and one for each point inside any box.
+    met, pairs = (probes.join(c, keys).count() for c in (cells, every))
+    assert met < pairs * (1 if finer == 0 else 0.6)
+    inside = probes.join(whole, keys).selectExpr("sum(_rects)").first()[0]
+    tested = probes.join(border, keys).where("x BETWEEN x1 AND x2 AND y BETWEEN y1 AND y2").selectExpr("sum(_rects)").first()[0]
+    assert inside + tested == spatial.range_join(points, rects).count()
+
+
+@pytest.mark.parametrize("fine_cells", [1 << 26, 0])
+def test_counts_of_crowded_rectangles(spark, monkeypatch, fine_cells):
+    """Copies and overlaps of rectangles, corners in any order, points on cell edges, in each form."""
+    monkeypatch.setattr(spatial, "_FINE_CELLS", fine_cells)
+    rng = random.Random(12)
+    rects = []
+    for _ in range(300):
+        x, y = rng.randrange(-8, 8), rng.randrange(-8, 8)
+        rects.append((x + rng.choice([0.0, 0.5]), float(y), x + rng.choice([0.0, 4.0, 8.0, 16.0]), y + rng.choice([-16.0, 0.0, 8.0, 0.1])))
+    points = [(i / 2, j / 2) for i in range(-24, 50) for j in range(-50, 40)]
+    expected = sum(by_coordinates(*p, *r) for p in points for r in rects)
+    for strategy in ("auto", "broadcast", "shuffle"):
+        assert spatial.range_join_count(points_of(spark, points), rects_of(spark, rects), strategy=strategy).first().n == expected
+
+
 def test_shuffle_partitions_of_a_setting_that_is_no_number(spark):
     class Conf:
         def get(self, _):
@@ -385,11 +484,11 @@ def test_broadcast_is_checked_and_names_are_reserved(spark, monkeypatch):
 def test_counts_shuffle_each_side_once(spark):
     points, rects = points_of(spark, [(0.5, 0.5)] * 50), rects_of(spark, [(0.0, 0.0, 1.0, 1.0)] * 3)
     plan = plan_of(spatial.range_join_count(points, rects, strategy="shuffle"))
-    # Copies of rectangles, both sides on the cell, and the sum.
-    assert plan.count("Exchange hashpartitioning") == 3
+    # Both sides on the cell. What else is shuffled are rectangles, to put their copies and cells together.
+    assert plan.count("REPARTITION_BY_NUM") == 2 and plan.count("SortMergeJoin") == 1
     left, right = pair_inputs(spark, [(0.0, 0.0)] * 9, [(0.0, 1.0)] * 9)
     plan = plan_of(spatial.distance_join_count(left, right, 2, "shuffle"))
-    assert plan.count("Exchange hashpartitioning") == 2
+    assert plan.count("REPARTITION_BY_NUM") == 2 and plan.count("SortMergeJoin") == 1
     assert spatial.distance_join_count(left, right, 2, "shuffle").first().n == 81
 
 

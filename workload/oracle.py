@@ -263,6 +263,8 @@ SELECT CAST(x AS VARCHAR) AS a, CAST(y AS VARCHAR) AS b, CAST(z AS VARCHAR) AS c
 FROM ({RANKED} LIMIT 50)
 UNION ALL SELECT rectangle, point, NULL, 1 FROM ({ZONE_PAIRS})""",
     "geo_range_select": RANGE_SELECT,
+    "geo_range_select_clustered": RANGE_SELECT,
+    "geo_distance_select_clustered": DISTANCE_SELECT,
     "geo_range_select_compat": f"SELECT * FROM ({POINTS}) WHERE {_area_test('1e1', '2e1', '1e1', '6e1')}",
     "geo_distance_select": DISTANCE_SELECT,
     "geo_range_join": RANGE_JOIN,
@@ -293,10 +295,14 @@ UNION ALL SELECT rectangle, point, NULL, 1 FROM ({ZONE_PAIRS})""",
 SELECT part AS partition_num, low AS min_rating, high AS max_rating, n
 FROM ({RANGE_SIZES}) JOIN ({RANGES}) USING (part)""",
     "range_append": f"{_range_parts(RATINGS)} UNION ALL {_range_parts(RATING_BATCH)}",
+    "range_append_repeated": f"{_range_parts(RATINGS)} UNION ALL {_range_parts(RATING_BATCH)} UNION ALL {_range_parts(RATING_BATCH)}",
     "rr_partition": ROBIN,
     "rr_partition_sizes": f"SELECT part_id, count(*) AS n FROM ({ROBIN}) GROUP BY part_id",
     "rr_state": "SELECT 7 AS partition_num, CAST(count(*) % 7 AS INT) AS table_next_insert FROM orders",
     "rr_append": f"{ROBIN} UNION ALL {ROBIN_BATCH}",
+    "rr_append_repeated": f"""
+SELECT part_id, n, 7 AS partition_num, CAST((SELECT count(*) FROM ({ROBIN} UNION ALL {ROBIN_BATCH})) % 7 AS INT) AS table_next_insert
+FROM (SELECT part_id, count(*) AS n FROM ({ROBIN} UNION ALL {ROBIN_BATCH}) GROUP BY part_id)""",
     "dq_not_null": " UNION ALL ".join(
         _null_count(c) for c in ("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic")
     ),

@@ -9,7 +9,7 @@ from gridshard.functions.parsing import TIMESTAMP_PATTERN
 from gridshard.functions.space_time import GridSpec
 from gridshard.operators import cells, integrity, layouts, spatial
 from gridshard.plans import hot_spots, ratings_layouts, schema_check
-from gridshard.sources import text
+from gridshard.sources import clustered, text
 from gridshard.sources.scratch import scratch_path
 from workload import inputs
 
@@ -91,6 +91,21 @@ def geo_range_select_compat(spark, sf_dir):
     return spatial.range_select(inputs.points(spark, sf_dir), FLAT_RECT, "compat")
 
 
+def _clustered_points(spark, sf_dir):
+    path = scratch_path(spark, "clustered")
+    clustered.write_clustered(inputs.points(spark, sf_dir), path)
+    return clustered.read_clustered(spark, path)
+
+
+def geo_range_select_clustered(spark, sf_dir):
+    """From points on storage in curve order, of which row groups outside the rectangle are not read."""
+    return spatial.range_select(_clustered_points(spark, sf_dir), RECT)
+
+
+def geo_distance_select_clustered(spark, sf_dir):
+    return spatial.distance_select(_clustered_points(spark, sf_dir), CENTER, RADIUS)
+
+
 def geo_distance_select(spark, sf_dir):
     return spatial.distance_select(inputs.points(spark, sf_dir), CENTER, RADIUS)
 
@@ -233,6 +248,15 @@ def range_append(spark, sf_dir):
     return ratings_layouts.fragments(spark, layout)
 
 
+def range_append_repeated(spark, sf_dir):
+    """An append that is run again is there once; a batch of another id is another one."""
+    layout = scratch_path(spark, "range_layout")
+    ratings_layouts.partition_by_range(inputs.ratings(spark, sf_dir), layout, RANGE_PARTS)
+    for batch_id in ("1", "2", "1", "2"):
+        ratings_layouts.append_by_range(inputs.rating_batch(spark, sf_dir), layout, batch_id)
+    return ratings_layouts.fragments(spark, layout)
+
+
 def rr_partition(spark, sf_dir):
     return layouts.round_robin(inputs.ordered_ratings(spark, sf_dir), ROBIN_PARTS, ["movieid"])
 
@@ -253,6 +277,17 @@ def rr_append(spark, sf_dir):
     return ratings_layouts.fragments(spark, layout)
 
 
+def rr_append_repeated(spark, sf_dir):
+    """The fragment sizes and the next fragment after appends of which one is run again."""
+    layout, order = scratch_path(spark, "robin_layout"), ["movieid"]
+    ratings_layouts.partition_round_robin(inputs.ordered_ratings(spark, sf_dir), layout, ROBIN_PARTS, order)
+    for batch_id in ("1", "1"):
+        ratings_layouts.append_round_robin(inputs.ordered_batch(spark, sf_dir), layout, order, batch_id)
+    state = ratings_layouts.metadata(spark, layout)
+    sizes = ratings_layouts.fragment_sizes(spark, layout, ROBIN_PARTS)
+    return sizes.withColumns({c: state.select(c).scalar() for c in state.columns})
+
+
 # Integrity rules.
 
 
@@ -286,6 +321,7 @@ QUERIES = {
     for f in (
         src_points, src_rects, src_trips, src_pickups, src_rejects, load_ratings, sink_csv,
         geo_range_select, geo_range_select_compat, geo_distance_select,
+        geo_range_select_clustered, geo_distance_select_clustered,
         geo_range_join, geo_range_join_shuffle, geo_range_join_compat,
         geo_distance_join, geo_distance_join_shuffle,
         geo_range_select_count, geo_distance_select_count,
@@ -294,8 +330,8 @@ QUERIES = {
         cell_assign, cell_assign_doy, cell_bounded, cell_counts, cell_stats,
         cell_neighbor_sums, getis_ord_scores, getis_ord_scores_compat,
         hot_cells_ranked, hot_cells_top50,
-        range_partition, range_partition_sizes, range_partition_bounds, range_append,
-        rr_partition, rr_partition_sizes, rr_state, rr_append,
+        range_partition, range_partition_sizes, range_partition_bounds, range_append, range_append_repeated,
+        rr_partition, rr_partition_sizes, rr_state, rr_append, rr_append_repeated,
         dq_not_null, dq_unique, dq_foreign_key, dq_check, dq_schema_report,
     )
 }

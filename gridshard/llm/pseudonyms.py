@@ -3,14 +3,16 @@
 What is found is checked first (Luhn and IBAN check digits, number plans, calendar) and then
 permuted within its format by a keyed Feistel network: digits stay digits, separators stay where they are, check
 digits are right again, a date stays a date. The permutation works on the value without
-its separators, so a number gets the same pseudonym in every document and spelling, two numbers never share one,
-and whoever has the key can undo it.
+its separators and capitals, so a value gets the same pseudonym in every document and spelling, two values never share one,
+and whoever has the key can undo it, spelling included. Dates whose day is above 12 are permuted among themselves, so that
+the order of day and month that made them a date stays the only one that does.
 
 Kinds: card, iban, ssn, phone, ip (IPv4), date, email (the letters and digits before the @) and hex (digests and tokens of
 32, 40 or 64 hex digits). Where finds overlap, the kind named first in KINDS counts. A number that fails
 its check is left alone. Numbers next to other digits or capitals are looked for between the separators: see ``spans``.
 Where such a neighbour makes a longer valid number by chance, that one is replaced, and undoing a text can
-take another end than was replaced; single values are always undone. How long a number of a country other than +1 is isn't known:
+take another end than was replaced; single values are always undone. Dates with names of months, two digits of the year or single
+digits of day or month are not found. How long a number of a country other than +1 is isn't known:
 digits after a blank count to it.
 
 Nulls: a null text stays null, with no finds.
@@ -18,6 +20,8 @@ Nulls: a null text stays null, with no finds.
 
 from __future__ import annotations
 
+import bisect
+import calendar
 import datetime
 import hashlib
 import re
@@ -32,7 +36,6 @@ from pyspark.sql import types as T
 from gridshard.llm.common import documents, map_texts
 
 ROUNDS = 10
-FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 _SOME = re.compile(r"\d\D{0,4}\d|@|[0-9a-fA-F]{32}")
 
 
@@ -69,6 +72,30 @@ class Feistel:
         return x
 
 
+# Days before each month of 1900 to 2099, but for the first 12 of every month.
+_LATE_DAYS = [0]
+for _year in range(1900, 2100):
+    for _month in range(1, 13):
+        _LATE_DAYS.append(_LATE_DAYS[-1] + calendar.monthrange(_year, _month)[1] - 12)
+
+
+def _date_number(day: datetime.date) -> tuple[str, int, int]:
+    """The kind of a date, by its day, its number among those of the kind, and how many there are."""
+    month = (day.year - 1900) * 12 + day.month - 1
+    if day.day <= 12:
+        return "date", month * 12 + day.day - 1, 12 * 2400
+    return "late date", _LATE_DAYS[month] + day.day - 13, _LATE_DAYS[-1]
+
+
+def _date_of(kind: str, number: int) -> datetime.date:
+    if kind == "date":
+        month, day = divmod(number, 12)
+    else:
+        month = bisect.bisect_right(_LATE_DAYS, number) - 1
+        day = number - _LATE_DAYS[month] + 12
+    return datetime.date(1900 + month // 12, month % 12 + 1, day + 1)
+
+
 def luhn_digit(digits: str) -> str:
     """The digit that makes ``digits`` and it a valid number."""
     total = sum(sum(divmod(int(d) * 2, 10)) if i % 2 == 0 else int(d) for i, d in enumerate(reversed(digits)))
@@ -116,8 +143,12 @@ class Pseudonyms:
         if not 13 <= len(digits) <= 19 or luhn_digit(digits[:-1]) != digits[-1] or len(set(digits)) == 1:
             return None
         size = 10 ** (len(digits) - 1)
-        body = f"{self._permute('card')(int(digits[:-1]), size):0{len(digits) - 1}d}"
-        return _spell(found, body + luhn_digit(body))
+        body, made = digits[:-1], ""
+        # Again if it is none of those that count as cards.
+        while len(set(made)) < 2:
+            body = f"{self._permute('card')(int(body), size):0{len(body)}d}"
+            made = body + luhn_digit(body)
+        return _spell(found, made)
 
     def iban(self, found: str) -> str | None:
         plain = found.replace(" ", "")
@@ -144,7 +175,7 @@ class Pseudonyms:
         if international and digits[0] == "1" and len(digits) != 11:
             return None
         country, rest = (digits[:-10], digits[-10:]) if len(digits) >= 10 else ("", digits)
-        if country in ("", "1") and len(rest) == 10:
+        if (country == "1" or not country and not international) and len(rest) == 10:
             # Area and exchange of the North American plan begin with 2 to 9. Numbers that are written as
             # such but can't be stay so: they are permuted among themselves.
             if rest[0] not in "01" and rest[3] not in "01":
@@ -171,25 +202,19 @@ class Pseudonyms:
 
     def date(self, found: str) -> str | None:
         """Year first, or day and month in the only order that is a date; if both are, day first with dots and else month first."""
-        a, b, c = map(int, re.split(r"\D", found))
         mark = re.search(r"\D", found)[0]
-        year_first = len(found) > 4 and found[4] == mark
-        orders = [(a, b, c)] if year_first else [(c, b, a), (c, a, b)] if mark == "." else [(c, a, b), (c, b, a)]
+        day_first, month_first = ("day", "month", "year"), ("month", "day", "year")
+        orders = [("year", "month", "day")] if found[4] == mark else [day_first, month_first] if mark == "." else [month_first, day_first]
+        numbers = list(map(int, found.split(mark)))
         for order in orders:
-            try:
-                day = datetime.date(*order).toordinal()
-            except ValueError:
-                continue
-            if FIRST_DAY <= day <= LAST_DAY:
+            fields = dict(zip(order, numbers, strict=True))
+            if 1900 <= fields["year"] <= 2099 and 1 <= fields["month"] <= 12 and 1 <= fields["day"] <= calendar.monthrange(fields["year"], fields["month"])[1]:
                 break
         else:
             return None
-        made = datetime.date.fromordinal(FIRST_DAY + self._permute("date")(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1))
-        if year_first:
-            return f"{made.year:04d}{mark}{made.month:02d}{mark}{made.day:02d}"
-        day_first = mark == "."
-        x, y = (made.day, made.month) if day_first else (made.month, made.day)
-        return f"{x:02d}{mark}{y:02d}{mark}{made.year:04d}"
+        kind, number, size = _date_number(datetime.date(**fields))
+        made = _date_of(kind, self._permute(kind)(number, size))
+        return mark.join(f"{getattr(made, n):0{4 if n == 'year' else 2}d}" for n in order)
 
     def email(self, found: str) -> str | None:
         name, _, domain = found.rpartition("@")
@@ -197,12 +222,15 @@ class Pseudonyms:
         values = [int(c) if c.isdigit() else ord(c) - 97 for c in name.lower() if c.isalnum()]
         shape = "".join("d" if s == 10 else "a" for s in sizes)
         made = _mixed_radix(values, sizes, self._permute(f"email:{domain.lower()}:{shape}"))
-        return _spell(name, "".join(str(v) if s == 10 else chr(97 + v) for v, s in zip(made, sizes, strict=True))) + "@" + domain
+        spelt = _spell(name, "".join(str(v) if s == 10 else chr(97 + v) for v, s in zip(made, sizes, strict=True)))
+        return "".join(new.upper() if old.isupper() else new for old, new in zip(name, spelt, strict=True)) + "@" + domain
 
     def hex(self, found: str) -> str | None:
         if found.isdigit() or found.isalpha():
             return None
-        made = f"{self._permute('hex')(int(found, 16), 16 ** len(found)):0{len(found)}x}"
+        made = found
+        while made is found or made.isdigit() or made.isalpha():
+            made = f"{self._permute('hex')(int(made, 16), 16 ** len(found)):0{len(found)}x}"
         return made.upper() if found.isupper() else made
 
 
@@ -221,6 +249,7 @@ KINDS = {
 # Digits in groups; numbers in the usual groups of the North American plan.
 _DIGIT_GROUPS = re.compile(r"(?<![\w+-])\d+(?:[ -]\d+)*(?!\w)")
 _PHONE_PART = re.compile(r"(?<![\w+])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-]?)\d{3}[ .-]?\d{4}(?!\w|[.-]\d)")
+_PHONE_PART_CHARS = len("+1 (555) 555-5555")
 
 
 def _card_spans(text: str) -> Iterator[tuple[int, int]]:
@@ -264,28 +293,32 @@ def spans(kind: str, text: str) -> Iterator[tuple[int, int]]:
         elif kind == "phone":
             if match[0][0] == "+":
                 yield from ((start, start + m.start()) for m in reversed(list(re.finditer("[ .-]", match[0]))) if KINDS[kind].fullmatch(text, start, start + m.start()))
-            part = _PHONE_PART.search(text, start, len(text)) if end - start > 10 else None
+            # A part that begins before the end has no more characters after it than that, and the two that it must not be followed by.
+            limit = end + _PHONE_PART_CHARS + 2
+            part = _PHONE_PART.search(text, start, limit) if end - start > 10 else None
             while part and part.start() < end:
                 yield part.span()
-                part = _PHONE_PART.search(text, part.end())
+                part = _PHONE_PART.search(text, part.end(), limit)
 
 
 def replaced(text: str, names: Pseudonyms, kinds: tuple[str, ...]) -> tuple[str, dict[str, int]]:
     """``text`` with pseudonyms, and how many of each kind."""
     if not _SOME.search(text):
         return text, {}
+    # In order, and none overlaps another.
     taken: list[tuple[int, int, str]] = []
     counts: dict[str, int] = {}
     for kind in kinds:
         for start, end in spans(kind, text):
-            if any(s < end and start < e for s, e, _ in taken):
+            place = bisect.bisect_left(taken, (end,))
+            if place and start < taken[place - 1][1]:
                 continue
             new = getattr(names, kind)(text[start:end])
             if new is not None:
-                taken.append((start, end, new))
+                taken.insert(place, (start, end, new))
                 counts[kind] = counts.get(kind, 0) + 1
     out, at = [], 0
-    for start, end, new in sorted(taken):
+    for start, end, new in taken:
         out += [text[at:start], new]
         at = end
     return "".join([*out, text[at:]]), counts

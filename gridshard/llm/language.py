@@ -3,14 +3,14 @@
 A word that the training texts know scores by its log frequency in each language. A word
 they don't know scores by its longest known character n-gram suffixes and prefixes: all n-grams of
 one length that are known are averaged, and only if none is known the next shorter length is tried.
-A text's language has the highest sum over its words.
+A text's language has the highest sum over its words. Words are letters with the marks that go with them.
 
-The model is learned in Spark from at most about TRAIN_DOCS labelled texts of each
-language, picked by a hash of the id, and holds at most MAX_WORDS words and MAX_NGRAMS
-n-grams of each length for each language, so its size has a bound and it is broadcast.
+The model is learned in Spark from at most about TRAIN_DOCS labelled texts of each language and MAX_TRAIN_DOCS in
+all, picked by a hash of id and text; rows equal in both are one. What the texts have at least MIN_SEEN times
+is known. The model, a row for each known term with the languages that have it, is as bounded as the sample, and it is broadcast.
 
 Nulls: a null text, or one without a letter, is UNKNOWN with score 0; so is any text if no
-language could be learned. Rows without language teach nothing. Ties go to the first language in code point order.
+language could be learned. Rows without language or text teach nothing; a null id counts as empty text. Ties go to the first language in code point order.
 """
 
 from __future__ import annotations
@@ -21,21 +21,22 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-from gridshard.llm.common import documents, fresh, give_back, held_out, map_texts, slices, written
+from gridshard.llm.common import discard, documents, fresh, give_back, held_out, map_texts, slices, written
 
 UNKNOWN = "und"
 TRAIN_DOCS = 2_000
-MAX_WORDS = 20_000
-MAX_NGRAMS = 10_000
+MAX_TRAIN_DOCS = 40_000
+MIN_SEEN = 2
 LENGTHS = (5, 4, 3, 2, 1)
-# Words that a worker remembers the scores of.
+# Words that a worker remembers the scores of, and scores it remembers.
 CACHE_WORDS = 100_000
-_RUN = re.compile(r"[^\W\d_]+")
+CACHE_SCORES = 2_000_000
+_RUN = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 FIELDS = [("lang_pred", T.StringType()), ("score", T.DoubleType())]
 
 
@@ -53,14 +54,18 @@ def ngrams(word: str, n: int) -> list[str]:
     return [marked[i : i + n] for i in range(len(marked) - n + 1)]
 
 
-def training_sample(docs: DataFrame, per_language: int, lang: str = "lang", doc_id: str = "doc_id") -> DataFrame:
-    """(lang, text): about ``per_language`` texts of each language, all if there are fewer, by a hash of the id."""
-    known = docs.where(F.col(lang).isNotNull())
-    known = known.select(F.col(lang).cast("string").alias("lang"), "text", F.col(doc_id).alias("doc_id"))
-    # Written, so that Spark knows how small it is and leaves the texts where they are.
-    sizes = written(known.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n")), "language-sizes")
-    chance = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return known.join(sizes, F.col("lang") == F.col("of")).where(chance * F.col("n") < per_language).where(F.col("text").isNotNull()).select("lang", "text")
+def training_sample(docs: DataFrame, per_language: int, in_all: int = MAX_TRAIN_DOCS, lang: str = "lang", doc_id: str = "doc_id") -> DataFrame:
+    """(lang, text): about ``per_language`` different texts of each language, ``in_all`` at most, all if there are fewer."""
+    labelled = docs.where(F.col(lang).isNotNull() & F.col("text").isNotNull())
+    pair = F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), "text").alias("pair")
+    labelled = labelled.select(F.col(lang).cast("string").alias("lang"), "text", pair)
+    # Written, so that Spark knows how small it is and leaves the texts where they are. One row for each language.
+    sizes = written(labelled.groupBy(F.col("lang").alias("of")).agg(F.approx_count_distinct("pair", 0.02).alias("n")), "language-sizes")
+    of_each = min(per_language, in_all // max(1, sizes.count()))
+    chance = F.pmod("pair", F.lit(1 << 30)) / F.lit(float(1 << 30))
+    # The estimate of n is a few hundredths off, and where there are about as many as wanted, all are taken.
+    some = labelled.join(sizes, F.col("lang") == F.col("of")).where(chance * F.col("n") < 1.1 * of_each)
+    return some.groupBy("lang", "pair").agg(F.first("text").alias("text")).select("lang", "text")
 
 
 def _counted(batches):
@@ -86,36 +91,53 @@ def _counted(batches):
 
 
 class LanguageModel:
-    """Log frequencies of words and n-grams by language."""
+    """Log frequencies of words and n-grams by language: for each term those of the languages that have it."""
 
     def __init__(self, rows: list[tuple[str, int, str, int]], totals: dict[tuple[str, int], tuple[int, int]]):
-        """``totals`` has for each language and kind the number of tokens and of types, before any cut."""
+        """``totals`` has for each language and kind the number of tokens and of types, known ones and others."""
         self.languages = sorted({lang for lang, _ in totals})
         place = {lang: i for i, lang in enumerate(self.languages)}
         self.at: dict[int, dict[str, int]] = {k: {} for k in (0, *LENGTHS)}
-        for _, kind, term, _ in rows:
-            self.at[kind].setdefault(term, len(self.at[kind]))
-        self.scores = {k: np.full((len(terms), len(place)), 0.5, np.float32) for k, terms in self.at.items()}
+        self.has: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.lacks: dict[int, np.ndarray] = {}
+        found: dict[int, list[tuple[int, int, int]]] = {k: [] for k in self.at}
         for lang, kind, term, n in rows:
-            self.scores[kind][self.at[kind][term], place[lang]] += n
-        for kind, seen in self.scores.items():
+            terms = self.at[kind]
+            found[kind].append((terms.setdefault(term, len(terms)), place[lang], n))
+        for kind, of_kind in found.items():
             tokens, types = (np.array([totals.get((lang, kind), (0, 0))[i] for lang in self.languages], float) for i in (0, 1))
-            self.scores[kind] = np.log(seen) - np.log(tokens + 0.5 * (types + 1)).astype(np.float32)
+            weight = np.log(tokens + 0.5 * (types + 1))
+            table = np.array(sorted(of_kind), np.int64).reshape(-1, 3)
+            starts = np.searchsorted(table[:, 0], np.arange(len(self.at[kind]) + 1))
+            langs = table[:, 1].astype(np.int32)
+            self.has[kind] = starts, langs, (np.log(table[:, 2] + 0.5) - weight[langs]).astype(np.float32)
+            # Of a term that a language doesn't have.
+            self.lacks[kind] = np.log(0.5) - weight
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.table = np.zeros((CACHE_WORDS, len(self.languages)))
+        self.room = min(CACHE_WORDS, max(1, CACHE_SCORES // max(1, len(self.languages))))
+        self.table = np.zeros((self.room, len(self.languages)))
+
+    def _mean(self, kind: int, terms: list[int]) -> np.ndarray:
+        """The mean scores of terms in each language."""
+        starts, langs, scores = self.has[kind]
+        mean = self.lacks[kind].copy()
+        for t in terms:
+            at = slice(starts[t], starts[t + 1])
+            mean[langs[at]] += (scores[at] - self.lacks[kind][langs[at]]) / len(terms)
+        return mean
 
     def word(self, word: str) -> np.ndarray:
         """The scores of a word in each language, as seen or by its n-grams."""
         at = self.at[0].get(word)
         if at is not None:
-            return self.scores[0][at]
+            return self._mean(0, [at])
         for n in LENGTHS:
             known = [i for i in map(self.at[n].get, ngrams(word, n)) if i is not None]
             if known:
-                return self.scores[n][known].mean(axis=0)
+                return self._mean(n, known)
         return np.zeros(len(self.languages))
 
     def _row(self, word: str) -> int:
@@ -133,9 +155,9 @@ class LanguageModel:
             return UNKNOWN, 0.0, False
         counts = Counter(words_of(text))
         total, words = np.zeros(len(self.languages)), list(counts)
-        for start in range(0, len(words), CACHE_WORDS):
-            some = words[start : start + CACHE_WORDS]
-            if len(self.known) + len(some) > CACHE_WORDS:
+        for start in range(0, len(words), self.room):
+            some = words[start : start + self.room]
+            if len(self.known) + len(some) > self.room:
                 self.forget()
             rows = [self.known[w] if w in self.known else self._row(w) for w in some]
             total += np.array([counts[w] for w in some]) @ self.table[rows]
@@ -151,27 +173,15 @@ class LanguageModel:
         self.forget()
 
 
-def learn(docs: DataFrame, per_language: int = TRAIN_DOCS, max_words: int = MAX_WORDS, max_ngrams: int = MAX_NGRAMS) -> LanguageModel:
-    """A model of the texts and languages of ``docs`` (doc_id, text, lang).
-
-    Of each language's terms the most frequent are kept, those as frequent as the last one in
-    code point order.
-    """
-    counts = training_sample(docs, per_language).mapInArrow(_counted, "lang string, kind int, term string, n long")
+def learn(docs: DataFrame, per_language: int = TRAIN_DOCS, in_all: int = MAX_TRAIN_DOCS, min_seen: int = MIN_SEEN) -> LanguageModel:
+    """A model of the texts and languages of ``docs`` (doc_id, text, lang): of their terms those seen at least ``min_seen`` times in a language."""
+    counts = training_sample(docs, per_language, in_all).mapInArrow(_counted, "lang string, kind int, term string, n long")
     counts = written(counts.groupBy("lang", "kind", "term").agg(F.sum("n").alias("n")), "language-counts")
     totals = {(r.lang, r.kind): (r.tokens, r.types) for r in counts.groupBy("lang", "kind").agg(F.sum("n").alias("tokens"), F.count("*").alias("types")).collect()}
-    limit = F.when(F.col("kind") == 0, max_words).otherwise(max_ngrams)
-    # How frequent the last term within the limit is, from the number of terms at each frequency.
-    at = counts.groupBy("lang", "kind", "n").agg(F.count("*").alias("types"))
-    w = Window.partitionBy("lang", "kind").orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
-    above = at.withColumn("above", F.coalesce(F.sum("types").over(w), F.lit(0))).where(F.col("above") < limit)
-    fits = counts.join(above, ["lang", "kind", "n"])
-    whole = fits.where(F.col("above") + F.col("types") <= limit)
-    nth = Window.partitionBy("lang", "kind").orderBy("term")
-    part = fits.where(F.col("above") + F.col("types") > limit).withColumn("nth", F.row_number().over(nth)).where(F.col("above") + F.col("nth") <= limit)
-    # max_words + len(LENGTHS) * max_ngrams rows for each language at most.
-    rows = whole.select("lang", "kind", "term", "n").unionByName(part.select("lang", "kind", "term", "n")).collect()
-    return LanguageModel([tuple(r) for r in rows], totals)
+    # As many as the bounded sample has.
+    rows = counts.where(F.col("n") >= min_seen).toArrow()
+    discard(counts)
+    return LanguageModel(list(zip(*(rows[c].to_pylist() for c in ("lang", "kind", "term", "n")), strict=True)), totals)
 
 
 def predicted(docs: DataFrame, model: LanguageModel, keep: list[str] | None = None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
@@ -196,19 +206,27 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-def only_known(docs: DataFrame, min_score: float, train: Column) -> DataFrame:
-    """The rows of ``docs`` with a word or n-gram that the model knows and a language with at least ``min_score``."""
-    shared = docs.sparkSession.sparkContext.broadcast(learn(docs.where(train)))
-    score, known = fresh(docs, "lang_score"), fresh(docs, "lang_known")
+def only_known(docs: DataFrame, margin: float, train: Column) -> DataFrame:
+    """The rows of ``docs`` whose language can be told: some word or n-gram is known, and the most probable
+    language has at least ``margin`` times the probability it would have by chance, 1 / the number of languages (or 1, if that is less).
+
+    If no language could be learned there is nothing to tell it by, and all texts with a letter stay.
+    """
+    model = learn(docs.where(train))
+    least = min(1.0, margin / max(1, len(model.languages)))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    kept = fresh(docs, "lang_told")
 
     def make() -> Callable:
         model = shared.value
 
-        def compute(texts):
-            made = list(map(model.judge, texts))
-            return [m[1] for m in made], [m[2] for m in made]
+        def told(text: str | None) -> bool:
+            if not model.languages:
+                return has_letter(text)
+            _, score, known = model.judge(text)
+            return known and score >= least
 
-        return compute
+        return lambda texts: [list(map(told, texts))]
 
-    found = map_texts(docs, make, [(score, T.DoubleType()), (known, T.BooleanType())])
-    return found.where(F.col(known) & (F.col(score) >= min_score)).select(*(F.col(f"`{c}`") for c in docs.columns))
+    found = map_texts(docs, make, [(kept, T.BooleanType())])
+    return found.where(F.col(kept)).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -12,12 +12,17 @@ from pyspark.sql import functions as F
 from gridshard.llm import decontamination, jaccard_join, language, mixing, repair
 from gridshard.llm.common import documents, held_out, written
 
+# How many times as probable as by chance the most probable language of a document has to be.
+LANGUAGE_MARGIN = 1.1
 SOURCE_WEIGHTS = (1.0, 2.0, 3.0)
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter go, and those that nothing tells the language of: no word or n-gram of them is known."""
-    return language.only_known(docs, 0.0, ~held_out())
+    """Documents go whose language can't be told: nothing of them is known, or no language is likelier than by chance.
+
+    Without any labels nothing can be told by its language, and all documents with a letter stay.
+    """
+    return language.only_known(docs, LANGUAGE_MARGIN, ~held_out())
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ weight; a source may give at most ``max_epochs`` times its size, and what it can
 take is reshared among the others by weight, round by round, until no source is
 above its cap. A source's target then means so many whole copies of each of its
 documents and one more of some: documents follow each other in a seeded order and
-are taken until the words left are used up; the one at the end gives its first words.
+are taken until the words left are used up; the one at the end gives its text up to a word.
 
 Only the point where each source's order is cut has to be known, one row for each
 source. It is found in two steps, in sums over ranges of the order and then within
@@ -13,8 +13,8 @@ the one range that holds it. A source of n documents has sqrt(n) ranges, so eith
 orders some sqrt(n) rows and no task all documents of a source. Texts are not shuffled.
 
 Nulls: a null source is a source of its own, the last; a null text has no words; a
-null id counts as empty text in the seeded order. Documents that tie in the order
-(equal ids) share the words left at the cut in proportion to their sizes, rounded
+null id counts as empty text in the seeded order. That order is by a hash of id and text, so only rows
+equal in both tie in it; those share the words left at the cut in proportion to their sizes, rounded
 down. Without documents, or with sizes that are all 0, every target is 0.
 """
 
@@ -33,9 +33,10 @@ MAX_EPOCHS = 3
 _HASH_BITS = 52
 
 
-def seeded_order(doc_id: str, seed: str) -> Column:
-    """52 bits of an md5 of seed and id: the place of a document in its source's order."""
-    name = F.concat(F.lit(seed + ":"), F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("")))
+def seeded_order(doc_id: str, text: str, seed: str) -> Column:
+    """52 bits of an md5 of seed, id and text: the place of a document in its source's order."""
+    content = F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"))
+    name = F.concat(F.lit(seed + ":"), F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("")), F.lit(":"), content)
     return F.conv(F.substring(F.md5(name.cast("binary")), 1, _HASH_BITS // 4), 16, 10).cast("long")
 
 
@@ -119,7 +120,7 @@ def _last_copy(size: Column, place: Column, cut: dict[str, Column]) -> Column:
 
 def plan_mix(docs: DataFrame, weights: tuple[float, ...], share: float, max_epochs: float, seed: str) -> tuple[DataFrame, DataFrame]:
     """(doc_id, source, size, place) of every document, and the cuts of every source."""
-    sizes = docs.select("doc_id", "source", word_count().alias("size"), seeded_order("doc_id", seed).alias("place"))
+    sizes = docs.select("doc_id", "source", word_count().alias("size"), seeded_order("doc_id", "text", seed).alias("place"))
     sizes = written(sizes, "mix-sizes")
     return sizes, cuts(sizes, repeating_weights(sizes, weights), share, max_epochs)
 
@@ -135,7 +136,7 @@ def mix_report(docs: DataFrame, weights: tuple[float, ...], share: float = 1.0,
 
 def mix(docs: DataFrame, weights: tuple[float, ...], share: float = 1.0, max_epochs: float = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """The mixed corpus, with the columns of ``docs``: a row for each whole copy of a document, and
-    one with its first words, joined by blanks, for a part of a copy. What isn't taken is left out.
+    one with its text up to a word for a part of a copy, of one document of a source and its copies. What isn't taken is left out.
 
     A document without words is kept once: it adds nothing to any source.
     """
@@ -149,10 +150,11 @@ def mix(docs: DataFrame, weights: tuple[float, ...], share: float = 1.0, max_epo
         F.filter(F.array(_last_copy(size, place, cut)), lambda n: n > 0),
     )
     lengths = F.when(size == 0, F.array(F.lit(0).cast("long"))).otherwise(lengths)
-    first_words = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, words.cast("int")), " ")
+    # Each word with what is before it, so that the text stays as it is up to the last word taken.
+    first_words = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"[\\x20\\x09-\\x0D]*{WORD}"), F.lit(0)), 1, words.cast("int")), "")
     text = F.when(words < size, first_words).otherwise(F.col("text"))
     return (
-        docs.withColumns({names["size"]: word_count(), names["place"]: seeded_order("doc_id", seed)})
+        docs.withColumns({names["size"]: word_count(), names["place"]: seeded_order("doc_id", "text", seed)})
         .join(table, F.col("source").eqNullSafe(cut["source"]), "left")
         .select("*", F.explode(lengths).alias(names["words"]))
         .select(*(text.alias(c) if c.lower() == "text" else F.col(f"`{c}`") for c in docs.columns))
@@ -167,7 +169,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP1_SQL = f"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size,
-         ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT AS place
+         ('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 13))::BIGINT AS place
   FROM documents
 ), totals AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source

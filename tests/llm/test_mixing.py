@@ -68,6 +68,19 @@ def test_edge_cases(edge_docs, edge_rows, no_docs):
     assert mixing.mix_report(no_docs, WEIGHTS).count() == mixing.mix(no_docs, WEIGHTS).count() == 0
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_rows_without_ids_of_their_own_are_not_all_cut(make_docs, doc_id):
+    """Texts that share an id have places of their own: one of a source is cut, within its text as it is."""
+    rng = random.Random(11)
+    rows = [(doc_id, "  ".join(f"w{i}\n" for _ in range(rng.randrange(2, 30))), "en", "abc"[i % 3]) for i in range(90)]
+    whole = {r[1]: r[3] for r in rows}
+    cut = [r for r in mixing.mix(make_docs(rows), WEIGHTS).collect() if r.text not in whole]
+    assert 1 <= len(cut) <= 3 and len({r.source for r in cut}) == len(cut)
+    for r in cut:
+        (text,) = [t for t in whole if t.startswith(r.text + "\n")]
+        assert whole[text] == r.source
+
+
 def test_equal_ids_share_what_is_left(make_docs):
     rows = [(1, "a b c d", "en", "x")] * 50 + [(2, "a b", "en", "y")]
     got = mixing.mix_report(make_docs(rows), WEIGHTS).collect()

@@ -1,8 +1,11 @@
 """All rules of a schema over its tables, as one report.
 
 One pass over each table turns rows into findings: a value for each unique key, foreign
-key and key that others refer to, and a row for each null or failed check. Findings are
+key and key that others refer to, and one for all of the row's nulls and failed checks together. Findings are
 counted by value, with map-side combine, so a frequent value is one row in what follows.
+
+Values are numbers, not texts: a column of up to 64 bits is one word, itself or by a hash of 64 bits that tells all
+values of such a type apart; the words of a key are columns of the aggregation. Only columns of other types (texts, wide decimals) go as text.
 """
 
 from __future__ import annotations
@@ -11,29 +14,36 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridshard.sources.schemas import RATINGS_SCHEMA, TableSpec
 
 RULES = "code int, table_name string, rule string, subject string, link int, rank int"
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_FIXED = (T.BooleanType, T.FloatType, T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType)
+# Nulls and failed checks of a row are bits of a number.
+_FLAGS = 62
 
 
 def check_schema(tables: dict[str, DataFrame], specs: dict[str, TableSpec] = RATINGS_SCHEMA) -> DataFrame:
     """One row per rule: ``table_name, rule, subject, violations`` (violating rows)."""
     rules = _rules(specs)
     ranks = 1 + max((rank for *_, rank in rules), default=0)
-    found = reduce(DataFrame.unionAll, [_findings(tables[name], name, specs, rules) for name in specs])
+    made = {name: _findings(tables[name], name, specs, rules) for name in specs}
+    n_words = max((len(words) for found, _ in made.values() for *_, words, _ in found), default=1)
+    with_text = any(text is not None for found, _ in made.values() for *_, text in found)
+    keys = ["link", *(f"word{i}" for i in range(n_words)), *["text"] * with_text]
+    found = reduce(DataFrame.unionAll, [_found(tables[name], made[name][0], n_words, with_text) for name in specs])
     # Of a value, the findings of each rule that names it; the key itself, where there is one, ranks first.
-    counted = found.groupBy("link", "value").agg(*[F.count_if(F.col("rank") == r).alias(f"n{r}") for r in range(ranks)])
-    pairs = [F.struct(F.lit(r).alias("rank"), F.col(f"n{r}").alias("n")) for r in range(ranks)]
-    each = counted.select("link", (F.col("n0") > 0).alias("known"), F.inline(F.array(*pairs))).where("n > 0")
+    counted = found.groupBy(*keys).agg(*[F.count_if(F.col("rank") == r).alias(f"n{r}") for r in range(ranks)])
     table = found.sparkSession.createDataFrame(rules, RULES)
-    # One row for each rule of the schema.
-    violations = (
-        each.join(F.broadcast(table.select("link", "rank", "rule", "code")), ["link", "rank"])
-        .where("rule IN ('not null', 'check') OR rule = 'unique' AND n > 1 OR rule = 'foreign key' AND NOT known")
-        .groupBy("code")
-        .agg(F.sum("n").alias("violations"))
-    )
+    bits = found.sparkSession.createDataFrame([b for _, flags in made.values() for b in flags], "link int, rank int, bit long, code int")
+    pairs = [F.struct(F.lit(r).alias("rank"), F.col(f"n{r}").alias("n")) for r in range(ranks)]
+    each = counted.select("link", "word0", (F.col("n0") > 0).alias("known"), F.inline(F.array(*pairs))).where("n > 0")
+    # One row for each rule of the schema; what a flagged row violates are the rules of its bits.
+    kinds = table.where("rule IN ('unique', 'foreign key')").selectExpr("link", "rank", "rule", "0L AS bit", "code").unionByName(bits.withColumn("rule", F.lit("flag")))
+    violated = "rule = 'flag' AND word0 & bit <> 0 OR rule = 'unique' AND n > 1 OR rule = 'foreign key' AND NOT known"
+    violations = each.join(F.broadcast(kinds), ["link", "rank"]).where(violated).groupBy("code").agg(F.sum("n").alias("violations"))
     report = table.where("rule <> 'known'").join(violations, "code", "left")
     return report.select("table_name", "rule", "subject", F.coalesce("violations", F.lit(0)).cast("long").alias("violations"))
 
@@ -57,27 +67,55 @@ def _rules(specs: dict[str, TableSpec]) -> list[tuple]:
     return out
 
 
-def _findings(df: DataFrame, name: str, specs: dict[str, TableSpec], rules: list[tuple]) -> DataFrame:
-    """(link, rank, value) of one table."""
-    spec = specs[name]
-    places = {(rule, subject): (link, rank) for _, table, rule, subject, link, rank in rules if table == name}
+def _words(columns: list[tuple[Column, T.DataType]]) -> tuple[list[Column], Column | None]:
+    """The values of a key as 64-bit words and, where there are columns that don't fit one, a text of those."""
+    words, texts = [], []
+    for column, kind in columns:
+        if isinstance(kind, _INTEGERS):
+            words.append(column.cast("long"))
+        elif isinstance(kind, _FIXED) or isinstance(kind, T.DecimalType) and kind.precision <= 18:
+            # Of a single number of 64 bits or less, each step of this hash can be undone: no two have the same.
+            words.append(F.xxhash64(column))
+        else:
+            text = column.cast("string")
+            # Lengths keep values apart that would run together.
+            texts.append(F.concat(F.length(text), F.lit(":"), text))
+    return words, F.concat(*texts) if texts else None
 
-    def finding(rule: str, subject: str, value: Column, when: Column) -> Column:
-        link, rank = places[rule, subject]
-        return F.when(when, F.struct(F.lit(link).alias("link"), F.lit(rank).alias("rank"), value.alias("value")))
 
-    nothing = F.lit(None).cast("string")
-    out = [finding("not null", c, nothing, F.col(c).isNull()) for c in spec.required]
-    out += [finding("check", rule, nothing, ~F.expr(rule)) for rule in spec.checks]
+def _findings(df: DataFrame, name: str, specs: dict[str, TableSpec], rules: list[tuple]) -> tuple[list[tuple], list[tuple]]:
+    """Of one table, (link, rank, condition, words, text) of each finding, and (link, rank, bit, code) of each flag."""
+    spec, types = specs[name], {f.name.lower(): f.dataType for f in df.schema.fields}
+    places = {(rule, subject): (link, rank) for _, table, rule, subject, link, rank in rules if table == name}
+    flagged = [(places["not null", c], F.col(c).isNull()) for c in spec.required]
+    flagged += [(places["check", rule], F.coalesce(~F.expr(rule), F.lit(False))) for rule in spec.checks]
+    found, flags = [], []
+    for start in range(0, len(flagged), _FLAGS):
+        some = flagged[start : start + _FLAGS]
+        # The rows of the first rule's link stand for all of them.
+        link, rank = some[0][0]
+        word = reduce(Column.bitwiseOR, [F.when(when, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")) for i, (_, when) in enumerate(some)])
+        found.append((link, rank, word != 0, [word], None))
+        flags += [(link, rank, 1 << i, code) for i, ((code, _), _) in enumerate(some)]
     for key in spec.keys:
         complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
-        # Lengths keep values apart that would run together.
-        parts = [F.concat(F.length(t), F.lit(":"), t) for t in (F.col(c).cast("string") for c in key)]
-        out.append(finding("unique", ", ".join(key), F.concat(*parts), complete))
+        found.append((*places["unique", ", ".join(key)], complete, *_words([(F.col(c), types[c.lower()]) for c in key])))
     referring = [("foreign key", f"{c} -> {parent}.{key}", c, specs[parent].schema[key]) for c, parent, key in spec.foreign_keys]
     referring += [("known", key, key, spec.schema[key]) for rule, key in places if rule == "known"]
     for rule, subject, column, field in referring:
         # Values are compared in the type that the schema gives the key.
-        value = F.col(column).cast(field.dataType).cast("string")
-        out.append(finding(rule, subject, value, F.col(column).isNotNull()))
-    return df.select(F.inline(F.array(*out))).where("link IS NOT NULL")
+        value = F.col(column).cast(field.dataType)
+        found.append((*places[rule, subject], F.col(column).isNotNull(), *_words([(value, field.dataType)])))
+    return found, flags
+
+
+def _found(df: DataFrame, findings: list[tuple], n_words: int, with_text: bool) -> DataFrame:
+    """(link, rank, word0, ..., text) of one table."""
+
+    def row(link: int, rank: int, when: Column, words: list[Column], text: Column | None) -> Column:
+        padded = [*words, *[F.lit(0).cast("long")] * (n_words - len(words))]
+        columns = [F.lit(link).alias("link"), F.lit(rank).alias("rank"), *(w.alias(f"word{i}") for i, w in enumerate(padded))]
+        columns += [(F.lit("") if text is None else text).alias("text")] * with_text
+        return F.when(when, F.struct(*columns))
+
+    return df.select(F.inline(F.array(*(row(*f) for f in findings)))).where("link IS NOT NULL")

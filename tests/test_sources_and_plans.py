@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gridshard.operators import integrity
 from gridshard.plans import hot_spots, ratings_layouts, schema_check, spatial_queries
 from gridshard.sources import scratch, text
-from gridshard.sources.schemas import RATINGS_SCHEMA
+from gridshard.sources.schemas import RATINGS_SCHEMA, TableSpec
 
 
 def write(path, lines):
@@ -169,3 +169,69 @@ def test_schema_report_reads_each_table_once_for_its_rules(spark, tmp_path):
         tables[name] = spark.read.parquet(path)
     plan = schema_check.check_schema(tables)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 7
+
+
+@pytest.mark.parametrize("limit", [2_000_000, 0])
+def test_foreign_keys_of_integers(spark, monkeypatch, limit):
+    """By bits of the known keys and by a join; limits of the type, both signs, other widths on either side."""
+    monkeypatch.setattr(integrity, "KNOWN_ROWS", limit)
+    edges = [0, -1, 1, 63, 64, -64, -65, 127, 2**31 - 1, -(2**31), 2**63 - 1, -(2**63), 10**15]
+    parent = spark.createDataFrame([(k,) for k in edges] + [(None,), (0,)], "pk long").unionByName(spark.range(1000, 9000, 2).toDF("pk"))
+    child = spark.createDataFrame([(k + d,) for k in edges for d in (-1, 0, 1) if -(2**63) <= k + d < 2**63] + [(None,)], "fk long")
+    child = child.unionByName(spark.range(900, 9100).toDF("fk")).unionByName(spark.range(3).selectExpr("77L AS fk"))
+    known = {r.pk for r in parent.collect()}
+    expected = {}
+    for (k,) in child.collect():
+        if k is not None and k not in known:
+            expected[k] = expected.get(k, 0) + 1
+    got = integrity.foreign_key(child, "fk", parent, "pk")
+    assert {r.fk: r.n for r in got.collect()} == expected
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("LeftAnti" in plan) == (limit == 0) and ("BroadcastHashJoin [_place" in plan) == (limit > 0)
+    narrow = child.where("fk BETWEEN -1000 AND 9999").selectExpr("int(fk) AS fk")
+    got = integrity.foreign_key(narrow, "fk", parent, "pk").collect()
+    assert {r.fk: r.n for r in got} == {k: n for k, n in expected.items() if -1000 <= k <= 9999}
+
+
+def test_only_violations_of_a_foreign_key_are_shuffled(spark):
+    parent, child = spark.range(100_000).toDF("pk"), spark.range(0, 400_000).selectExpr("if(id % 100 = 0, id + 200000, id % 100000) AS fk")
+    got = integrity.foreign_key(child, "fk", parent, "pk")
+    place, _ = integrity._bit_of(F.col("_pk"))
+    keyed = parent.select(F.col("pk").alias("_pk"))
+    assert keyed.select(place).distinct().count() < 100_000 / 60
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # Of the child's rows, what goes through the one shuffle has met the broadcast keys before.
+    child_side = plan[: plan.index("BroadcastExchange")]
+    assert child_side.count("Exchange hashpartitioning") == 1 and child_side.index("Exchange hashpartitioning") < child_side.index("BroadcastHashJoin")
+    assert got.count() == 4000 and got.agg(F.sum("n")).first()[0] == 4000
+
+
+def test_schema_report_of_keys_of_all_types(spark):
+    """Keys that share parts, signs of zero, NaN, wide decimals, texts that would run together, more flags than a number has bits."""
+    many = [f"c{i}" for i in range(70)]
+    specs = {
+        "mixed": TableSpec("a string, b string, x double, d decimal(30,2), i int", (), (("a", "b"), ("x",), ("d", "a"), ("i", "x", "a", "b"))),
+        "wide": TableSpec(", ".join(f"{c} int" for c in many), tuple(many), (), (), ("c0 > 0", "c1 > 0")),
+        "names": TableSpec("name string, at timestamp", (), (("name", "at"),), (("name", "keys", "name"),)),
+        "keys": TableSpec("name string", ("name",), (("name",),)),
+    }
+    nan, big = float("nan"), Decimal("1234567890123456789012345.67")
+    rows = [("ab", "c", 0.0, big, 1), ("a", "bc", -0.0, big, 1), ("ab", "c", nan, big + 1, 2), ("1:a", None, nan, None, 2), (None, "1:a", None, big, 2)]
+    tables = {
+        "mixed": spark.createDataFrame(rows, specs["mixed"].schema),
+        "wide": spark.createDataFrame([(None,) * 70, tuple(range(70)), (-1, *[None] * 69)], specs["wide"].schema),
+        "names": spark.createDataFrame([("x", None), ("x", datetime(2020, 1, 1)), ("x", datetime(2020, 1, 1)), ("y", None), (None, None)], specs["names"].schema),
+        "keys": spark.createDataFrame([("x",), ("z",), (None,)], specs["keys"].schema),
+    }
+    report = {(r.table_name, r.rule, r.subject): r.violations for r in schema_check.check_schema(tables, specs).collect()}
+    assert len(report) == 4 + 72 + 2 + 2
+    expected = {
+        ("mixed", "unique", "a, b"): 2,
+        ("mixed", "unique", "x"): 4,
+        ("names", "unique", "name, at"): 2,
+        ("names", "foreign key", "name -> keys.name"): 1,
+        ("keys", "not null", "name"): 1,
+        ("wide", "check", "c0 > 0"): 2,
+        ("wide", "not null", "c0"): 1,
+    } | {("wide", "not null", c): 2 for c in many[1:]}
+    assert {k: v for k, v in report.items() if v} == expected

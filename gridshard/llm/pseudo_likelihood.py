@@ -4,13 +4,17 @@ A small network sees the WINDOW words before a word and the WINDOW after it and
 word of the vocabulary; a document's score is the sum of the log-probabilities of all its words, each given its
 neighbours. Words are runs without ASCII white space, A-Z lower-cased.
 
-- The vocabulary comes from counts over all documents: the most frequent words, and OTHER classes, by
-  a hash, for the rest. A word of a class is scored by the log-probability of the class in its place plus that of
+- The vocabulary comes from counts over all documents: the words that make up WORD_SHARE of all, 1 / WORD_SHARE at
+  most, and come LEAST_COUNT times; and OTHER classes, by a hash, for the rest. A word of a class is scored by the
+  log-probability of the class in its place plus that of
   the word within the class, which is its share of the class's count plus one; a word without a count has that one.
   The shares of at most HOT_WORDS frequent words are broadcast, the others joined by word. As a neighbour, a word
   outside the vocabulary is seen as its class.
-- Every input partition trains the network from the same start on every word of its documents, once, masked BATCH
-  at a time; weighted by their words, the networks are averaged, FAN_IN at a time.
+- Every word is masked once, BATCH at a time. Texts are dealt, by a hash of their words, to ROUNDS rounds and to shards of some
+  SHARD_WORDS words, MAX_SHARDS at most. In a round each shard trains from the same start, on its texts in the order of
+  their hashes, and the networks, weighted by their words, are averaged, FAN_IN at a time: the start of the next round.
+  So the network, but for the rounding of sums, depends on the texts alone and not on files, partitions or executors. Equal texts are trained on
+  once, with their number as weight.
 - The output is a softmax over groups of words of like frequency and one over the words of a group, so
   a word costs two square roots of the vocabulary.
 
@@ -20,13 +24,13 @@ document is so.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,11 +38,14 @@ from pyspark.sql.window import Window
 
 from gridshard.llm.common import discard, documents, fresh, give_back, map_texts, slices, written
 
-GROUPS = 32
-VOCABULARY = GROUPS * GROUPS
+WORD_SHARE = 2.0**-15
+LEAST_COUNT = 8
 OTHER = 64
 WINDOW = 2
 WIDTH = 24
+ROUNDS = 4
+SHARD_WORDS = 1 << 20
+MAX_SHARDS = 4096
 BATCH = 4096
 RATE = 0.1
 FAN_IN = 64
@@ -48,53 +55,69 @@ CACHE_WORDS = 500_000
 HOT_WORDS = 1 << 18
 # Parts of shares are added as whole numbers, so their sum doesn't depend on their order.
 SHARE_UNIT = 2.0**-32
-PAD = VOCABULARY
+# Words of a shard that are made into one array.
+HELD_WORDS = 1 << 18
 
 
 def words_of(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
-def other_class(word: bytes) -> int:
-    """The class of a word that isn't in the vocabulary."""
-    return VOCABULARY - OTHER + zlib.crc32(word) % OTHER
+class Vocabulary:
+    """Words by their frequency, with the classes of all others at the end of a square of groups; ``pad`` is no word."""
+
+    def __init__(self, words: list[str]):
+        self.words, self.others = words, OTHER
+        self.groups = math.isqrt(len(words) + self.others - 1) + 1
+        self.size = self.pad = self.groups**2
+
+    def other_class(self, word: bytes) -> int:
+        """The class of a word that isn't in the vocabulary."""
+        return self.size - self.others + zlib.crc32(word) % self.others
+
+    def padded(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The ids with WINDOW pads around each of the texts of ``sizes`` words."""
+        out = np.full(len(ids) + 2 * WINDOW * len(sizes), self.pad, np.int32)
+        out[word_places(sizes)] = ids
+        return out
 
 
 class Numbers(dict):
     """The number of each word."""
 
-    def __init__(self, words: list[str]):
-        super().__init__((w.encode(), i) for i, w in enumerate(words))
-        self.words = words
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__((w.encode(), i) for i, w in enumerate(vocabulary.words))
+        self.vocabulary = vocabulary
 
     def __missing__(self, word: bytes) -> int:
         if len(self) > CACHE_WORDS:
             self.clear()
-            self.__init__(self.words)
+            self.__init__(self.vocabulary)
             if word in self:
                 return self[word]
-        n = self[word] = other_class(word)
+        n = self[word] = self.vocabulary.other_class(word)
         return n
 
-    def padded(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All texts' words with WINDOW pads around each text, and the number of words of each."""
+    def ids(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' words, and the number of words of each."""
         each = [words_of(t) for t in texts]
         sizes = np.array([len(w) for w in each], np.int64)
-        ids = np.fromiter(map(self.__getitem__, (w for words in each for w in words)), np.int32, int(sizes.sum()))
-        out = np.full(len(ids) + 2 * WINDOW * len(texts), PAD, np.int32)
-        out[word_places(sizes)] = ids
-        return out, sizes
+        return np.fromiter(map(self.__getitem__, (w for words in each for w in words)), np.int32, int(sizes.sum())), sizes
+
+    def padded(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        ids, sizes = self.ids(texts)
+        return self.vocabulary.padded(ids, sizes), sizes
 
 
 class Codes(Numbers):
     """The number of each word of the vocabulary, one after these for each hot word, and after them for each other word until ``forget``."""
 
-    def __init__(self, words: list[str], hot: list[str], shares: np.ndarray):
-        dict.__init__(self, ((w.encode(), i) for i, w in enumerate(words)))
-        hot = [w.encode() for w in hot]
-        self.update((w, PAD + 1 + i) for i, w in enumerate(hot))
-        self.classes = np.concatenate([np.arange(PAD + 1), np.array([other_class(w) for w in hot], np.int64)]).astype(np.int32)
-        self.shares = np.concatenate([np.zeros(PAD + 1), shares])
+    def __init__(self, vocabulary: Vocabulary, hot: list[str], shares: np.ndarray):
+        super().__init__(vocabulary)
+        hot, after = [w.encode() for w in hot], vocabulary.pad + 1
+        self.update((w, after + i) for i, w in enumerate(hot))
+        self.classes = np.concatenate([np.arange(after), np.array([vocabulary.other_class(w) for w in hot], np.int64)]).astype(np.int32)
+        self.shares = np.concatenate([np.zeros(after), shares])
         self.cold: list[bytes] = []
 
     def __missing__(self, word: bytes) -> int:
@@ -109,7 +132,7 @@ class Codes(Numbers):
 
     def split(self, codes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The codes with classes for all words outside the vocabulary, and the shares at ``places``, 0 for cold words."""
-        classes = np.concatenate([self.classes, np.array([other_class(w) for w in self.cold], np.int32)])
+        classes = np.concatenate([self.classes, np.array([self.vocabulary.other_class(w) for w in self.cold], np.int32)])
         shares = np.concatenate([self.shares, np.zeros(len(self.cold))])
         return classes[codes], shares[codes[places]]
 
@@ -132,15 +155,16 @@ class Network:
 
     NAMES = ("inputs", "hidden_bias", "group_out", "group_bias", "word_out", "word_bias")
 
-    def __init__(self, counts: np.ndarray):
+    def __init__(self, vocabulary: Vocabulary, counts: np.ndarray):
         """``counts`` of the words set the start: each word as likely as it is frequent."""
+        self.groups = groups = vocabulary.groups
         rng = np.random.default_rng(11)
         scale = np.float32(0.1)
-        self.inputs = scale * rng.standard_normal((2 * WINDOW, VOCABULARY + 1, WIDTH)).astype(np.float32)
+        self.inputs = scale * rng.standard_normal((2 * WINDOW, vocabulary.size + 1, WIDTH)).astype(np.float32)
         self.hidden_bias = np.full(WIDTH, 0.1, np.float32)
-        self.group_out = scale * rng.standard_normal((GROUPS, WIDTH)).astype(np.float32)
-        self.word_out = scale * rng.standard_normal((GROUPS, GROUPS, WIDTH)).astype(np.float32)
-        counts = counts.astype(np.float64).reshape(GROUPS, GROUPS) + 0.1
+        self.group_out = scale * rng.standard_normal((groups, WIDTH)).astype(np.float32)
+        self.word_out = scale * rng.standard_normal((groups, groups, WIDTH)).astype(np.float32)
+        counts = counts.astype(np.float64).reshape(groups, groups) + 0.1
         self.group_bias = np.log(counts.sum(axis=1) / counts.sum()).astype(np.float32)
         self.word_bias = np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
 
@@ -156,15 +180,15 @@ class Network:
 
     def _forward(self, padded: np.ndarray, places: np.ndarray) -> tuple:
         """Places by the group of their word, with hidden layer and both normalised log-probabilities."""
-        order = np.argsort((padded[places] // GROUPS).astype(np.uint8), kind="stable")
+        order = np.argsort((padded[places] // self.groups).astype(np.uint8), kind="stable")
         places = places[order]
         around = [padded[places + k] for k in (*range(-WINDOW, 0), *range(1, WINDOW + 1))]
         hidden = self.inputs[0][around[0]] + self.hidden_bias
         for table, ids in zip(self.inputs[1:], around[1:], strict=True):
             hidden += table[ids]
         np.maximum(hidden, 0, out=hidden)
-        group, word = np.divmod(padded[places], GROUPS)
-        edges = np.searchsorted(group, np.arange(GROUPS + 1))
+        group, word = np.divmod(padded[places], self.groups)
+        edges = np.searchsorted(group, np.arange(self.groups + 1))
         by_group = hidden @ self.group_out.T + self.group_bias
         by_word = np.empty_like(by_group)
         for g in np.flatnonzero(np.diff(edges)):
@@ -183,16 +207,17 @@ class Network:
             out[i + order] = by_group[rows, group] + by_word[rows, word]
         return out
 
-    def gradients(self, padded: np.ndarray, places: np.ndarray) -> tuple[dict[str, np.ndarray], float]:
-        """Of the mean log loss at ``places``, and that loss."""
-        _, around, hidden, group, word, edges, by_group, by_word = self._forward(padded, places)
-        n, rows = len(places), np.arange(len(places))
-        loss = -float((by_group[rows, group] + by_word[rows, word]).mean())
+    def gradients(self, padded: np.ndarray, places: np.ndarray, weights: np.ndarray | None = None) -> tuple[dict[str, np.ndarray], float]:
+        """Of the mean log loss at ``places``, weighted if ``weights`` are given, and that loss."""
+        order, around, hidden, group, word, edges, by_group, by_word = self._forward(padded, places)
+        rows = np.arange(len(places))
+        share = np.full(len(places), 1 / len(places), np.float32) if weights is None else (weights[order] / weights.sum()).astype(np.float32)
+        loss = -float((by_group[rows, group] + by_word[rows, word]) @ share)
         out = {}
         for z, target in ((by_group, group), (by_word, word)):
             np.exp(z, out=z)
             z[rows, target] -= 1
-            z /= n
+            z *= share[:, None]
         out["group_out"], out["group_bias"] = by_group.T @ hidden, by_group.sum(axis=0)
         back = by_group @ self.group_out
         out["word_out"], out["word_bias"] = np.zeros_like(self.word_out), np.zeros_like(self.word_bias)
@@ -220,8 +245,21 @@ class Trainer:
         self.network = network
         self.past = {n: np.full_like(getattr(network, n), 1e-6) for n in Network.NAMES}
 
-    def step(self, padded: np.ndarray, places: np.ndarray) -> float:
-        grads, loss = self.network.gradients(padded, places)
+    def flat(self) -> np.ndarray:
+        """The network's weights and what is kept of past gradients."""
+        return np.concatenate([self.network.flat(), *(self.past[n].ravel() for n in Network.NAMES)])
+
+    def load(self, values: np.ndarray) -> Trainer:
+        weights = sum(p.size for p in self.past.values())
+        self.network.load(values[:weights])
+        values = values[weights:]
+        for n, old in self.past.items():
+            self.past[n] = values[: old.size].reshape(old.shape).astype(np.float32)
+            values = values[old.size :]
+        return self
+
+    def step(self, padded: np.ndarray, places: np.ndarray, weights: np.ndarray | None = None) -> float:
+        grads, loss = self.network.gradients(padded, places, weights)
         for name, g in grads.items():
             self.past[name] += g * g
             getattr(self.network, name)[...] -= RATE * g / np.sqrt(self.past[name])
@@ -245,34 +283,34 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(counts: DataFrame) -> tuple[list[str], np.ndarray]:
-    """The most frequent words, and the counts of these and of the classes of the others."""
-    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - OTHER).collect()
-    totals = np.zeros(VOCABULARY)
+def vocabulary(counts: DataFrame) -> tuple[Vocabulary, np.ndarray]:
+    """The vocabulary, and the counts of its words and of the classes of the others."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    least = max(LEAST_COUNT, math.ceil(total * WORD_SHARE))
+    # 1 / WORD_SHARE rows at most.
+    top = counts.where(F.col("n") >= least).orderBy(F.desc("n"), "word").collect()
+    words = Vocabulary([r.word for r in top])
+    totals = np.zeros(words.size)
     totals[: len(top)] = [r.n for r in top]
-    if len(top) == VOCABULARY - OTHER:
-        last = top[-1]
-        rest = counts.where((F.col("n") < last.n) | ((F.col("n") == last.n) & (F.col("word") > last.word)))
-        kind = (F.crc32(F.col("word").cast("binary")) % OTHER).cast("int")
-        for r in rest.groupBy(kind.alias("kind")).agg(F.sum("n").alias("n")).collect():
-            totals[VOCABULARY - OTHER + r.kind] = r.n
-    return [r.word for r in top], totals
-
-
-def word_shares(counts: DataFrame, words: list[str]) -> tuple[DataFrame, np.ndarray]:
-    """(word, n, share) of every counted word outside the vocabulary, and the share of a word without a count in each class, as logs."""
-    kind = (F.crc32(F.col("word").cast("binary")) % OTHER).cast("int")
-    rest = counts.where(~F.col("word").isin(words))
-    totals = np.ones(OTHER)
-    for r in rest.groupBy(kind.alias("kind")).agg(F.sum("n").alias("n")).collect():
-        totals[r.kind] += r.n
-    unseen = -np.log(totals)
-    return rest.select("word", "n", (F.log("n") + _unseen_share(unseen)).alias("share")), unseen
+    for r in counts.where(F.col("n") < least).groupBy(_kind(words)).agg(F.sum("n").alias("n")).collect():
+        totals[words.size - words.others + r.kind] = r.n
+    return words, totals
 
 
-def _unseen_share(unseen: np.ndarray) -> Column:
-    kind = (F.crc32(F.col("word").cast("binary")) % OTHER).cast("int")
-    return F.element_at(F.array(*(F.lit(float(x)) for x in unseen)), kind + 1)
+def _kind(words: Vocabulary) -> Column:
+    return (F.crc32(F.col("word").cast("binary")) % words.others).cast("int").alias("kind")
+
+
+def word_shares(counts: DataFrame, words: Vocabulary) -> tuple[DataFrame, Column]:
+    """(word, n, share) of every counted word outside the vocabulary, and the share of a word without a count, as logs."""
+    # 1 / WORD_SHARE rows at most.
+    known = counts.sparkSession.createDataFrame([(w,) for w in words.words], "word string")
+    rest = counts.join(F.broadcast(known), "word", "left_anti")
+    totals = np.ones(words.others)
+    for r in rest.groupBy(_kind(words)).agg(F.sum("n").alias("n")).collect():
+        totals[r.kind] += r.n
+    unseen = F.element_at(F.array(*(F.lit(float(x)) for x in -np.log(totals))), _kind(words) + 1)
+    return rest.select("word", "n", (F.log("n") + unseen).alias("share")), unseen
 
 
 def hot_shares(shares: DataFrame) -> tuple[list[str], np.ndarray]:
@@ -287,28 +325,68 @@ def hot_shares(shares: DataFrame) -> tuple[list[str], np.ndarray]:
     return hot["word"].to_pylist(), hot["share"].to_numpy()
 
 
-def _trained(docs: DataFrame, text: str, words: list[str], counts: np.ndarray) -> DataFrame:
-    """(part, block, weight, values): the network of each input partition, cut into blocks, times its words."""
+def training_texts(docs: DataFrame, text: str, words: Vocabulary) -> DataFrame:
+    """(ids, copies, place): different texts as the numbers of their words, 2 bytes each, how many there are of each, and a hash."""
+
+    def make():
+        numbers = Numbers(words)
+
+        def compute(texts):
+            ids, sizes = numbers.ids(texts)
+            raw, ends = ids.astype("<u2").tobytes(), (2 * np.append(0, np.cumsum(sizes))).tolist()
+            return [[raw[a:b] for a, b in zip(ends, ends[1:])]]
+
+        return compute
+
+    made = map_texts(docs.select(F.col(f"`{text}`").alias("text")), make, [("ids", T.BinaryType())], [])
+    return made.where(F.length("ids") > 0).groupBy("ids").agg(F.count("*").alias("copies")).withColumn("place", F.xxhash64("ids"))
+
+
+def _trained(texts: DataFrame, words: Vocabulary, counts: np.ndarray, shards: int, start) -> DataFrame:
+    """(part, block, weight, values): what each shard of ``texts`` makes of the broadcast ``start``, cut into blocks, times its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, network = Numbers(words), Network(counts)
-        trainer, seen = Trainer(network), 0
-        for batch in batches:
-            for a, b in slices(batch.column(0)):
-                texts = batch.column(0).slice(a, b - a).to_pylist()
-                padded, sizes = numbers.padded(texts)
-                place = word_places(sizes)
-                for i in range(0, len(place), BATCH):
-                    trainer.step(padded, place[i : i + BATCH])
-                seen += len(place)
-        if seen:
-            values = network.flat() * np.float64(seen)
-            part = TaskContext.get().partitionId()
+        trainer, shard, seen, held, copies, size = None, None, 0, [], [], 0
+
+        def learn() -> None:
+            nonlocal held, copies, size
+            sizes = np.fromiter(map(len, held), np.int64, len(held))
+            padded, place = words.padded(np.concatenate(held), sizes), word_places(sizes)
+            weights = np.repeat(np.array(copies, np.float64), sizes)
+            for i in range(0, len(place), BATCH):
+                trainer.step(padded, place[i : i + BATCH], weights[i : i + BATCH])
+            held, copies, size = [], [], 0
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if held:
+                learn()
+            values = trainer.flat() * np.float64(seen)
             for k, i in enumerate(range(0, len(values), BLOCK_FLOATS)):
-                row = (part, k, float(seen), values[i : i + BLOCK_FLOATS])
+                row = (shard, k, float(seen), values[i : i + BLOCK_FLOATS])
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, (pa.int64(), pa.int32(), pa.float64(), pa.list_(pa.float64())), strict=True)], names=["part", "block", "weight", "values"])
 
-    return docs.select(text).mapInArrow(run, "part long, block int, weight double, values array<double>")
+        for batch in batches:
+            for of, n, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if of != shard:
+                    if shard is not None:
+                        yield from done()
+                    trainer, shard, seen = Trainer(Network(words, counts)), of, 0
+                    if start is not None:
+                        trainer.load(start.value)
+                held.append(np.frombuffer(ids, "<u2").astype(np.int32))
+                copies.append(n)
+                size += len(held[-1])
+                seen += len(held[-1])
+                if size >= HELD_WORDS:
+                    learn()
+        if shard is not None:
+            yield from done()
+        give_back()
+
+    dealt = texts.withColumn("shard", F.pmod("place", F.lit(shards)))
+    # Twice as many, as shards fall into partitions by chance.
+    dealt = dealt.repartition(2 * shards, "shard").sortWithinPartitions("shard", "place", "ids")
+    return dealt.select("shard", "copies", "ids").mapInArrow(run, "part long, block int, weight double, values array<double>")
 
 
 def _added(table: pa.Table) -> pa.Table:
@@ -320,29 +398,41 @@ def _added(table: pa.Table) -> pa.Table:
     return pa.table({"part": [part], "block": pa.array([block], pa.int32()), "weight": [weight], "values": [values]})
 
 
-def train(docs: DataFrame, text: str = "text", counts: DataFrame | None = None) -> tuple[list[str], Network] | None:
-    """The vocabulary and the averaged network; none without words. ``counts``, if given, are those of the texts' words."""
+def train(docs: DataFrame, text: str = "text", counts: DataFrame | None = None) -> tuple[Vocabulary, Network] | None:
+    """The vocabulary and the network; none without words. ``counts``, if given, are those of the texts' words."""
     counted = written(word_counts(docs, text), "word-counts") if counts is None else counts
     words, totals = vocabulary(counted)
     if counts is None:
         discard(counted)
-    if not words:
+    n_words = int(totals.sum())
+    if not n_words:
         return None
-    nets = written(_trained(docs, text, words, totals), "networks")
-    last = nets.agg(F.max("part")).first()[0]
-    schema = nets.schema
-    while last > 0:
+    texts = written(training_texts(docs, text, words), "training")
+    shards = min(MAX_SHARDS, -(-n_words // SHARD_WORDS))
+    start = None
+    for r in range(ROUNDS):
+        some = texts.where(F.pmod(F.shiftright("place", 40), F.lit(ROUNDS)) == r)
+        values = _averaged(_trained(some, words, totals, shards, start), shards)
+        if values is not None:
+            start = docs.sparkSession.sparkContext.broadcast(values)
+    discard(texts)
+    return words, Trainer(Network(words, totals)).load(start.value).network
+
+
+def _averaged(nets: DataFrame, shards: int) -> np.ndarray | None:
+    nets = written(nets, "networks")
+    while shards > 1:
         key = F.floor(F.col("part") / FAN_IN).alias("key")
-        before, nets = nets, written(nets.groupBy("block", key).applyInArrow(_added, schema), "networks")
+        before, nets = nets, written(nets.groupBy("block", key).applyInArrow(_added, nets.schema), "networks")
         discard(before)
-        last //= FAN_IN
-    # One network.
+        shards = -(-shards // FAN_IN)
+    # One network, or none if the round had no texts.
     rows = nets.orderBy("block").collect()
-    values = np.concatenate([np.array(r["values"]) / r["weight"] for r in rows])
-    return words, Network(totals).load(values)
+    discard(nets)
+    return np.concatenate([np.array(r["values"]) / r["weight"] for r in rows]) if rows else None
 
 
-def scored(docs: DataFrame, model: tuple[list[str], Network] | None, keep: list[str] | None = None, text: str = "text", counts: DataFrame | None = None) -> DataFrame:
+def scored(docs: DataFrame, model: tuple[Vocabulary, Network] | None, keep: list[str] | None = None, text: str = "text", counts: DataFrame | None = None) -> DataFrame:
     """Columns ``keep`` of ``docs`` (default: all) with n_words, log_likelihood and mean_log_probability.
 
     ``counts`` (word, n) say how likely each word of a class is; without them a word outside the vocabulary
@@ -365,7 +455,7 @@ def _text_sums(each: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _by_class(shared):
-    words, network = shared.value or ([], None)
+    words, network = shared.value or (Vocabulary([]), None)
     numbers = Numbers(words)
 
     def compute(texts):
@@ -377,7 +467,7 @@ def _by_class(shared):
     return compute
 
 
-def _scored_by_word(docs: DataFrame, shared, by_word: tuple[DataFrame, np.ndarray], keep: list[str], text: str, names: tuple[str, ...]) -> DataFrame:
+def _scored_by_word(docs: DataFrame, shared, by_word: tuple[DataFrame, Column], keep: list[str], text: str, names: tuple[str, ...]) -> DataFrame:
     """Texts are passed over once; what they have of words that aren't hot is joined with its shares and added."""
     shares, unseen = by_word
     hot = docs.sparkSession.sparkContext.broadcast(hot_shares(shares))
@@ -408,7 +498,7 @@ def _scored_by_word(docs: DataFrame, shared, by_word: tuple[DataFrame, np.ndarra
     made = written(made.withColumn(row, F.monotonically_increasing_id()), "scored")
     found = made.select(row, F.explode(F.arrays_zip(F.col(cold).alias("word"), F.col(more).alias("times"))).alias("found")).select(row, "found.*")
     found = found.join(shares.select("word", "share"), "word", "left")
-    share = F.coalesce("share", _unseen_share(unseen))
+    share = F.coalesce("share", unseen)
     sums = found.groupBy(row).agg(F.sum(F.col("times") * F.round(share / SHARE_UNIT).cast("long")).alias(more))
     whole = F.col(names[1]) + F.coalesce(F.col(more) * SHARE_UNIT, F.lit(0.0))
     out = made.drop(cold, more).join(sums, row, "left")

@@ -12,6 +12,9 @@ left with one hash gets overflow pages instead, filled one after the other by th
 the row within the bucket, counted in two steps so that no task holds the bucket. A
 document larger than the limit is a shard of its own, marked oversized.
 
+The directory grows with the shards, so nothing of it is broadcast: it meets the documents' hashes in merge joins,
+of which adaptive execution splits a prefix that many documents share.
+
 Nulls: a null id or text counts as empty text; an empty text has 0 bytes. An empty table has no shards.
 """
 
@@ -60,10 +63,10 @@ def directory(rows: DataFrame, limit: int, first: int, last: int) -> DataFrame:
     one_hash = F.col("low") == F.col("high")
     nodes = written(nodes.withColumn("one_hash", one_hash).withColumn("split", (F.col("bytes") > limit) & ~one_hash), "shard-nodes")
     parents = nodes.where("split").select((F.col("depth") + 1).alias("depth"), F.col("prefix").alias("parent"))
-    under_split = nodes.withColumn("parent", F.shiftright("prefix", 1)).join(parents, ["depth", "parent"], "left_semi")
+    under_split = nodes.withColumn("parent", F.shiftright("prefix", 1)).join(parents.hint("merge"), ["depth", "parent"], "left_semi")
     leaves = nodes.where(F.col("depth") == first).unionByName(under_split.where(F.col("depth") > first).select(nodes.columns)).where(~F.col("split"))
     leaves = leaves.select("depth", "prefix", F.col("bytes").alias("shard_bytes"), "one_hash")
-    return written(above.select("fine", "depth", "prefix").join(leaves, ["depth", "prefix"]), "shard-directory")
+    return written(above.select("fine", "depth", "prefix").join(leaves.hint("merge"), ["depth", "prefix"]), "shard-directory")
 
 
 def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES, keep: list[str] | None = None) -> DataFrame:
@@ -84,7 +87,7 @@ def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES, keep: list[str] | N
     while True:
         leaves = directory(rows.select(F.col(hash_).alias("hash"), F.col(size).alias("bytes")), limit, first, last)
         leaves = leaves.select(*(F.col(c).alias(names[c.removeprefix("shard_")]) for c in leaves.columns))
-        joined = rows.join(leaves, leading_bits(f"`{hash_}`", last) == F.col(names["fine"]), "left")
+        joined = rows.join(leaves.hint("merge"), leading_bits(f"`{hash_}`", last) == F.col(names["fine"]), "left")
         found.append(joined.where(F.col(names["fine"]).isNotNull()))
         if last == HASH_BITS:
             break
@@ -123,12 +126,12 @@ def _paged(rows: DataFrame, limit: int, hash_: str, size: str, result) -> DataFr
     )
     # As large as a chunk of the input at most.
     within = Window.partitionBy(hash_, chunk).orderBy(size)
-    numbered = rows.withColumn(place, F.row_number().over(within)).join(counts, [hash_, chunk])
+    numbered = rows.withColumn(place, F.row_number().over(within)).join(counts.hint("merge"), [hash_, chunk])
     fit = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.col(largest)))
     page = F.floor((F.col(before) + F.col(place) - 1) / fit)
     numbered = numbered.withColumn(place, page.cast("long"))
     totals = numbered.groupBy(F.col(hash_).alias(chunk + "_of"), F.col(place).alias(chunk + "_page")).agg(F.sum(size).alias(chunk + "_bytes"))
-    numbered = numbered.join(totals, (F.col(hash_) == F.col(chunk + "_of")) & (F.col(place) == F.col(chunk + "_page")))
+    numbered = numbered.join(totals.hint("merge"), (F.col(hash_) == F.col(chunk + "_of")) & (F.col(place) == F.col(chunk + "_page")))
     return result(numbered, F.col(place), F.col(chunk + "_bytes"))
 
 

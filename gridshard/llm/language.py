@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridshard.llm.common import discard, documents, fresh, give_back, held_out, map_texts, slices, written
+from gridshard.llm.repair import expand_ranges
 
 UNKNOWN = "und"
 TRAIN_DOCS = 2_000
@@ -110,9 +112,9 @@ class LanguageModel:
             table = np.array(sorted(of_kind), np.int64).reshape(-1, 3)
             starts = np.searchsorted(table[:, 0], np.arange(len(self.at[kind]) + 1))
             langs = table[:, 1].astype(np.int32)
-            self.has[kind] = starts, langs, (np.log(table[:, 2] + 0.5) - weight[langs]).astype(np.float32)
-            # Of a term that a language doesn't have.
+            # Scores of terms that a language doesn't have, and how much more those score that it has.
             self.lacks[kind] = np.log(0.5) - weight
+            self.has[kind] = starts, langs, (np.log(table[:, 2] + 0.5) - np.log(0.5)).astype(np.float32)
         self.forget()
 
     def forget(self) -> None:
@@ -120,30 +122,38 @@ class LanguageModel:
         self.room = min(CACHE_WORDS, max(1, CACHE_SCORES // max(1, len(self.languages))))
         self.table = np.zeros((self.room, len(self.languages)))
 
-    def _mean(self, kind: int, terms: list[int]) -> np.ndarray:
-        """The mean scores of terms in each language."""
-        starts, langs, scores = self.has[kind]
-        mean = self.lacks[kind].copy()
-        for t in terms:
-            at = slice(starts[t], starts[t + 1])
-            mean[langs[at]] += (scores[at] - self.lacks[kind][langs[at]]) / len(terms)
-        return mean
-
-    def word(self, word: str) -> np.ndarray:
-        """The scores of a word in each language, as seen or by its n-grams."""
+    def _terms(self, word: str) -> tuple[int, list[int]]:
+        """What a word is scored by: itself if it is known, or its known n-grams of the longest length that has any."""
         at = self.at[0].get(word)
         if at is not None:
-            return self._mean(0, [at])
+            return 0, [at]
         for n in LENGTHS:
             known = [i for i in map(self.at[n].get, ngrams(word, n)) if i is not None]
             if known:
-                return self._mean(n, known)
-        return np.zeros(len(self.languages))
-
-    def _row(self, word: str) -> int:
-        at = self.known[word] = len(self.known)
-        self.table[at] = self.word(word)
-        return at
+                return n, known
+        return 0, []
+
+    def _remember(self, words: list[str]) -> None:
+        """The mean scores of the terms of each of some new words, in each language."""
+        rows: dict[int, list[int]] = defaultdict(list)
+        terms: dict[int, list[list[int]]] = defaultdict(list)
+        for word in words:
+            row = self.known[word] = len(self.known)
+            kind, found = self._terms(word)
+            if found:
+                rows[kind].append(row)
+                terms[kind].append(found)
+        n = len(self.languages)
+        for kind, found in terms.items():
+            starts, langs, more = self.has[kind]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            term = np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum()))
+            counts = starts[term + 1] - starts[term]
+            at = expand_ranges(np.arange(len(langs)), starts[term], counts)
+            place = np.repeat(np.repeat(np.arange(len(found)), sizes), counts)
+            weight = np.repeat(np.repeat(1 / sizes, sizes), counts)
+            sums = np.bincount(place * n + langs[at], more[at] * weight, minlength=len(found) * n)
+            self.table[rows[kind]] = self.lacks[kind] + sums.reshape(-1, n)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language and its probability among those learned, with words taken as independent."""
@@ -159,8 +169,8 @@ class LanguageModel:
             some = words[start : start + self.room]
             if len(self.known) + len(some) > self.room:
                 self.forget()
-            rows = [self.known[w] if w in self.known else self._row(w) for w in some]
-            total += np.array([counts[w] for w in some]) @ self.table[rows]
+            self._remember([w for w in some if w not in self.known])
+            total += np.array([counts[w] for w in some]) @ self.table[[self.known[w] for w in some]]
         best = int(np.argmax(total))
         # What is known has a score below 0 in some language.
         return self.languages[best], 1.0 / float(np.exp(np.maximum(total - total[best], -700.0)).sum()), bool(total.any())

@@ -315,7 +315,7 @@ def test_no_task_gets_much_more_than_its_share_of_the_pairs(spark, shares):
     joined = skew.skew_join(left, right, ["k"], ["a"], ["b"])
     tasks = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     total = int(n * shares[0]) * int(n * shares[1])
-    assert sum(tasks) == total and len(tasks) == skew.shuffle_partitions(joined)
+    assert sum(tasks) == total and len(tasks) == skew.partitions_for(total, 0, spark.sparkContext.defaultParallelism)
     assert max(tasks) <= 2 * total / len(tasks)
 
 

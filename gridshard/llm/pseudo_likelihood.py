@@ -44,7 +44,7 @@ OTHER = 64
 WINDOW = 2
 WIDTH = 24
 ROUNDS = 4
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 22
 MAX_SHARDS = 4096
 BATCH = 4096
 RATE = 0.1

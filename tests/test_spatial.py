@@ -501,3 +501,28 @@ def test_compat_queries_differ_from_exact(spark):
     assert exact.where(edge).count() < compat.where(edge).count()
     flat = queries.FLAT_RECT
     assert spatial.range_select(points, flat).count() < spatial.range_select(points, flat, "compat").count()
+
+
+def _pairs_by_partition(pairs):
+    return [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
+
+
+@pytest.mark.parametrize("equal", [False, True])
+def test_broadcast_join_deals_out_points_by_their_pairs(spark, monkeypatch, equal):
+    """All points in one partition, as from one row group of a file, and in one cell, or all equal."""
+    monkeypatch.setattr(box_join, "PAIRS_PER_PARTITION", 1 << 12)
+    place = "0.5D" if equal else "id / 2000D"
+    left = spark.range(2000).coalesce(1).selectExpr("id AS id1", f"{place} AS x1", "0.25D AS y1")
+    right = spark.range(40).selectExpr("id AS id2", "0.5D AS x2", "id / 40D AS y2")
+    pairs = spatial.distance_join(left, right, 2.0)
+    parts = _pairs_by_partition(pairs)
+    assert sum(parts) == 2000 * 40
+    assert max(parts) <= 2000 * 40 / 4
+    assert pairs.distinct().count() == 2000 * 40
+    assert spatial.distance_join_count(left, right, 2.0).first().n == 2000 * 40
+
+
+def test_few_pairs_leave_points_where_they_are(spark):
+    left = spark.range(2000).coalesce(1).selectExpr("id AS id1", "id / 2000D AS x1", "0.25D AS y1")
+    right = spark.range(40).selectExpr("id AS id2", "0.5D AS x2", "id / 40D AS y2")
+    assert len(_pairs_by_partition(spatial.distance_join(left, right, 2.0))) == 1

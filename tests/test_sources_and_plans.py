@@ -1,6 +1,7 @@
 import csv
 from datetime import datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from gridshard.operators import integrity
 from gridshard.plans import hot_spots, ratings_layouts, schema_check, spatial_queries
 from gridshard.sources import scratch, text
 from gridshard.sources.schemas import RATINGS_SCHEMA, TableSpec
+from gridshard.sources.sinks import write_csv_results
 
 
 def write(path, lines):
@@ -235,3 +237,26 @@ def test_schema_report_of_keys_of_all_types(spark):
         ("wide", "not null", "c0"): 1,
     } | {("wide", "not null", c): 2 for c in many[1:]}
     assert {k: v for k, v in report.items() if v} == expected
+
+
+def test_results_of_pairs_take_little_space(spark, tmp_path):
+    pairs = spark.range(20_000, numPartitions=1).selectExpr("concat_ws(',', id DIV 1000, 1, 2, 3) AS rectangle", "concat_ws(',', id % 10, 4) AS point")
+    plain, packed = (write_csv_results([pairs], f"{tmp_path}/{c}", c)[0] for c in ("none", "gzip"))
+    size = [sum(f.stat().st_size for f in Path(p).glob("part-*")) for p in (plain, packed)]
+    assert size[1] * 20 < size[0]
+    back = spark.read.schema("rectangle string, point string").csv(packed)
+    assert back.exceptAll(pairs).isEmpty() and back.count() == 20_000
+
+
+def test_csv_query_compresses_its_pairs(spark, monkeypatch):
+    from workload import queries
+
+    made = []
+    run = queries.hot_spots.run_analyses
+    monkeypatch.setattr(queries.hot_spots, "run_analyses", lambda *a: made.extend(run(*a)) or made)
+    table = spark.range(40).selectExpr(
+        "id AS l_orderkey", "id AS l_suppkey", "cast(id + 1 AS double) AS l_quantity", "timestamp '2009-01-01 00:00:00' AS l_shipdate", "id AS s_suppkey"
+    )
+    monkeypatch.setattr(queries.inputs, "table", lambda *_: table)
+    assert queries.sink_csv(spark, "").where("result = 1").count() > 0
+    assert list(Path(made[1]).glob("part-*.gz")) and not list(Path(made[1]).glob("part-*.csv"))

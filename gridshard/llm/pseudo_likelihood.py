@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -100,9 +101,13 @@ class Numbers(dict):
 
     def ids(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All texts' words, and the number of words of each."""
-        each = [words_of(t) for t in texts]
-        sizes = np.array([len(w) for w in each], np.int64)
-        return np.fromiter(map(self.__getitem__, (w for words in each for w in words)), np.int32, int(sizes.sum())), sizes
+        # Words are many times as large as their numbers, so those of one text are held at a time.
+        ids, sizes = array("i"), np.zeros(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            words = words_of(text)
+            sizes[i] = len(words)
+            ids.extend(map(self.__getitem__, words))
+        return np.array(ids, np.int32), sizes
 
     def padded(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         ids, sizes = self.ids(texts)
@@ -112,11 +117,12 @@ class Numbers(dict):
 class Codes(Numbers):
     """The number of each word of the vocabulary, one after these for each hot word, and after them for each other word until ``forget``."""
 
-    def __init__(self, vocabulary: Vocabulary, hot: list[str], shares: np.ndarray):
+    def __init__(self, vocabulary: Vocabulary, hot: pa.Array, shares: np.ndarray):
         super().__init__(vocabulary)
-        hot, after = [w.encode() for w in hot], vocabulary.pad + 1
-        self.update((w, after + i) for i, w in enumerate(hot))
-        self.classes = np.concatenate([np.arange(after), np.array([vocabulary.other_class(w) for w in hot], np.int64)]).astype(np.int32)
+        after = vocabulary.pad + 1
+        self.update((w.as_py(), after + i) for i, w in enumerate(hot))
+        classes = np.fromiter((vocabulary.other_class(w.as_py()) for w in hot), np.int32, len(hot))
+        self.classes = np.concatenate([np.arange(after, dtype=np.int32), classes])
         self.shares = np.concatenate([np.zeros(after), shares])
         self.cold: list[bytes] = []
 
@@ -313,16 +319,19 @@ def word_shares(counts: DataFrame, words: Vocabulary) -> tuple[DataFrame, Column
     return rest.select("word", "n", (F.log("n") + unseen).alias("share")), unseen
 
 
-def hot_shares(shares: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Words and shares of the most frequent, HOT_WORDS at most: those above the count where there would be more."""
+def hot_shares(shares: DataFrame) -> tuple[pa.Array, np.ndarray]:
+    """Words (binary) and shares of the most frequent, HOT_WORDS at most: those above the count where there would be more.
+
+    In two buffers, as each Python worker keeps what is broadcast.
+    """
     by_n = shares.groupBy("n").agg(F.count("*").alias("words"))
     upto = F.sum("words").over(Window.orderBy(F.desc("n")))
     least = by_n.select("n", upto.alias("upto")).where(F.col("upto") <= HOT_WORDS).agg(F.min("n")).first()[0]
     if least is None:
-        return [], np.zeros(0)
+        return pa.array([], pa.binary()), np.zeros(0)
     # HOT_WORDS rows.
     hot = shares.where(F.col("n") >= least).select("word", "share").toArrow()
-    return hot["word"].to_pylist(), hot["share"].to_numpy()
+    return hot["word"].cast(pa.binary()).combine_chunks(), hot["share"].to_numpy()
 
 
 def training_texts(docs: DataFrame, text: str, words: Vocabulary) -> DataFrame:

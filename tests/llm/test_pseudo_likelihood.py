@@ -187,3 +187,18 @@ def test_every_word_is_a_target_once(make_docs, shards):
     trained = [L._trained(texts.where(F.pmod(F.shiftright("place", 40), F.lit(L.ROUNDS)) == r), words, totals, shards, None) for r in range(L.ROUNDS)]
     seen = sum(t.where("block = 0").groupBy().sum("weight").first()[0] or 0 for t in trained)
     assert seen == texts.selectExpr("sum(length(ids) div 2)").first()[0]
+
+
+def test_numbering_holds_the_words_of_one_text():
+    """Of a slice of four megabytes the words would take ten times as much."""
+    import tracemalloc
+
+    texts = [" ".join(f"w{i}x{j}" for j in range(100)) for i in range(2000)]
+    numbers = L.Numbers(L.Vocabulary([]))
+    first = numbers.ids(texts)
+    tracemalloc.start()
+    ids, sizes = numbers.ids(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sizes.tolist() == [100] * 2000 and ids.tolist() == first[0].tolist()
+    assert peak < 4_000_000

@@ -4,17 +4,17 @@ Documents are dealt out in order of their ids; a task encodes whole texts and cl
 shard at the end of the document with which it holds SHARD_TOKENS or more. Within a
 shard the most frequent pairs of neighbouring ids are replaced by nonterminals, over
 and over: a round counts all pairs in numpy and replaces those at least
-half as frequent as the most frequent one, until none is as frequent as MIN_PAIRS. A pair that could overlap a more frequent pair of its round waits for the next one.
+an eighth as frequent as the most frequent one, until none is as frequent as MIN_PAIRS. A pair that could overlap a more frequent pair of its round waits for the next one.
 
 A shard is one row of a Parquet table, written by Spark, so a task that is lost is run again and leaves no
 half-written file. The row holds the rules (two symbols each), the number of ids each
 rule expands to, the remaining sequence of symbols, and where each document starts. To read a range of ids,
 the lengths of the symbols give the first and last symbol that have to be expanded.
 
-Texts are encoded by the tokenizers library. Its byte-level BPE never joins what stands on either side of
-white space that follows something else, so the stretches between are
-encoded once and remembered; texts with a special token or with white space of other kinds are encoded
-whole.
+Texts are encoded by the tokenizers library. Byte-level BPE cuts texts into words by one pattern and merges within
+words only. That pattern is applied here in numpy to all texts of a slice, and the library's model gets each different word once;
+their ids are remembered. Texts with a special token, or with characters that are a letter or number in some versions of Unicode
+only, go to the library whole, as do all texts if a tokenizer is of another kind.
 
 Nulls: a null text is an empty one, its only id is the end id. A null doc_id comes first. Documents with
 equal ids follow each other by a hash of the text, then by the text.
@@ -24,9 +24,12 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 import zlib
-from collections.abc import Iterator
-from itertools import chain
+from array import array
+from collections.abc import Iterable, Iterator
+from functools import cached_property
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -36,21 +39,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from gridshard.llm.common import documents, give_back, slices
+from gridshard.llm.common import byte_symbols, documents, give_back, slices
 from gridshard.sources.scratch import scratch_path
 
 END_ID = 0
 SHARD_TOKENS = 1_000_000
 MIN_PAIRS = 64
-# Stretches of text and their ids that a task remembers.
-CACHE_PIECES = 300_000
-CACHE_IDS = 3_000_000
-# Pieces that are encoded in one call.
-JOINED_PIECES = 500
-_PIECE = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
-_PLAIN = re.compile(r" [^ \t\n\r]")
-# White space beyond that, and what Python and the tokenizer may not agree on.
-_OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
+# Words and their ids that a task remembers.
+CACHE_PIECES = 350_000
+CACHE_IDS = 4_000_000
+# Words of so many bytes are encoded like texts.
+LONG_WORD = 4096
 
 _TABLE_BITS = 16
 
@@ -82,33 +81,42 @@ class TextEncoder:
     def __init__(self, path: str):
         # Spark runs as many tasks as there are cores.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(special)) if special else None
-        # The id of a line feed, if it is one and the tokenizer splits texts at white space as said above.
-        two = self.whole("a\n b").tolist()
-        self.line_feed = two[1] if two[:1] + two[2:] == self.whole("a").tolist() + self.whole(" b").tolist() else None
+        self.model, cut = self.tokenizer.model, self.tokenizer.pre_tokenizer
+        # Whether the tokenizer cuts texts into words as below; else it is given whole texts.
+        self.cuts = (
+            isinstance(self.model, models.BPE)
+            and isinstance(cut, pre_tokenizers.ByteLevel)
+            and cut.use_regex
+            and not cut.add_prefix_space
+            and self.tokenizer.normalizer is self.tokenizer.truncation is self.tokenizer.padding is None
+        )
+        # Filled in as characters come up.
+        self.kind_of = np.zeros(0x110000, np.uint8)
         self._forget()
 
     def _forget(self) -> None:
         self.known = _Numbered()
         self.ids = np.empty(CACHE_IDS, np.uint32)
-        self.starts = np.zeros(CACHE_PIECES + 1, np.int64)
-        self.seen = np.zeros(CACHE_PIECES, np.int64)
+        # There is room for half as many more: those of the slice with which it is exceeded.
+        self.starts = np.zeros(CACHE_PIECES + CACHE_PIECES // 2 + 1, np.int64)
+        self.seen = np.zeros(CACHE_PIECES + CACHE_PIECES // 2, np.int32)
 
     def _forget_rare(self) -> None:
-        """Leaves the pieces that came up again, if those are less than half of what has room."""
+        """Leaves the words that came up again, if those are less than half of what has room."""
         old, ids, starts, n = self.known, self.ids, self.starts, len(self.known)
         again = np.flatnonzero(self.seen[:n] > 1)
         sizes = starts[again + 1] - starts[again]
         kept = expand_ranges(ids, starts[again], sizes)
         self._forget()
         if len(again) <= CACHE_PIECES // 2 and len(kept) <= CACHE_IDS // 2:
-            pieces = list(old)
-            self.known.update(zip([pieces[i] for i in again.tolist()], range(len(again)), strict=True))
+            words = list(old)
+            self.known.update(zip([words[i] for i in again.tolist()], range(len(again)), strict=True))
             self.ids[: len(kept)] = kept
             self.starts[1 : len(again) + 1] = np.cumsum(sizes)
 
@@ -117,83 +125,148 @@ class TextEncoder:
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         made: list = [_NOTHING] * len(texts)
-        split: list[int] = []
-        pieces: list[str] = []
-        sizes: list[int] = []
-        for i, text in enumerate(texts):
-            if text and (_OTHER_SPACE.search(text) or (self.special and self.special.search(text))):
-                made[i] = self.whole(text)
-            elif text:
-                found = _PIECE.findall(text)
-                split.append(i)
-                pieces += found
-                sizes.append(len(found))
-        ids, ends = self._encode_pieces(pieces)
-        at = 0
-        for i, size in zip(split, sizes, strict=True):
-            made[i] = ids[ends[at] : ends[at + size]]
-            at += size
+        whole = [i for i, text in enumerate(texts) if text and (not self.cuts or (self.special and self.special.search(text)))]
+        raw = {i: text.encode() for i, text in enumerate(texts) if text}
+        for i in whole:
+            del raw[i]
+        joined = _joined(raw.values())
+        kinds = self._kinds(joined)
+        if len(odd := np.flatnonzero(kinds == _ODD)):
+            places = list(raw)
+            for k in np.unique(np.searchsorted(np.flatnonzero(kinds == _END), odd)).tolist():
+                whole.append(places[k])
+                del raw[places[k]]
+            joined = _joined(raw.values())
+            kinds = self._kinds(joined)
+        for i in whole:
+            made[i] = self.whole(texts[i])
+        if raw:
+            for i, ids in zip(raw, self._encode_joined(joined, kinds), strict=True):
+                made[i] = ids
         return made
 
-    def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all pieces, one after the other, and where each begins and the last one ends."""
-        out, sizes = [_NOTHING], [np.zeros(1, np.int64)]
-        step = CACHE_PIECES // 4
-        for at in range(0, len(pieces), step):
-            some = pieces[at : at + step]
-            if len(self.known) + len(some) > CACHE_PIECES:
+    def _kinds(self, text: np.ndarray) -> np.ndarray:
+        """The kind of the character that each byte belongs to."""
+        kinds = _BYTE_KINDS[text]
+        first = np.flatnonzero((text >= 0xC0) & (text < _END_BYTE))
+        if len(first):
+            more = 1 + (text[first] >= 0xE0) + (text[first] >= 0xF0)
+            point = text[first] & (0x3F >> more)
+            at = [(k, np.flatnonzero(more >= k)) for k in (1, 2, 3)]
+            for k, those in at:
+                point[those] = point[those] << 6 | text[first[those] + k] & 0x3F
+            for c in np.unique(point[self.kind_of[point] == 0]).tolist():
+                self.kind_of[c] = _kind(chr(c))
+            kind = self.kind_of[point]
+            kinds[first] = kind
+            for k, those in at:
+                kinds[first[those] + k] = kind[those]
+        return kinds
+
+    def _encode_joined(self, text: np.ndarray, kinds: np.ndarray) -> list[np.ndarray]:
+        """The ids of each of the joined texts."""
+        starts = _word_starts(text, kinds)
+        bounds = pa.py_buffer(np.append(starts, len(text)).astype(np.int32))
+        words = pa.Array.from_buffers(pa.binary(), len(starts), [None, bounds, pa.py_buffer(text)]).dictionary_encode()
+        ids, first, size = self._ids_of(_spelled(words.dictionary))
+        word = words.indices.to_numpy()
+        size = size[word]
+        ids = expand_ranges(ids, first[word], size)
+        ends = np.cumsum(size)[kinds[starts] == _END].tolist()
+        return [ids[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+    def _ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where those of each of the different words start and how many they are."""
+        if len(words) <= CACHE_PIECES // 2:
+            if len(self.known) > CACHE_PIECES:
                 self._forget_rare()
             before = len(self.known)
-            index = np.fromiter(map(self.known.__getitem__, some), np.int64, len(some))
-            if self.known.new and not self._learn(before):
-                self._forget()
-                each = [self.whole(p) for p in some]
-                out += each
-                sizes.append(np.fromiter(map(len, each), np.int64, len(each)))
-            else:
-                self.seen += np.bincount(index, minlength=CACHE_PIECES)
-                size = self.starts[index + 1] - self.starts[index]
-                out.append(expand_ranges(self.ids, self.starts[index], size))
-                sizes.append(size)
-        return np.concatenate(out), np.cumsum(np.concatenate(sizes))
-
-    def _learn(self, n: int) -> bool:
-        """Encodes the pieces that were numbered from ``n`` on; false if their ids have no room."""
-        ids, sizes = self._encode_new(self.known.new)
-        self.known.new = []
-        start = int(self.starts[n])
-        end = start + int(sizes.sum())
-        if end > CACHE_IDS:
-            return False
-        self.ids[start:end] = ids
-        self.starts[n + 1 : n + 1 + len(sizes)] = start + np.cumsum(sizes)
-        return True
-
-    def _encode_new(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all pieces and how many each has."""
-        plain = np.fromiter((self.line_feed is not None and _PLAIN.match(p) is not None for p in pieces), bool, len(pieces))
-        joined = self._encode_joined([p for p, yes in zip(pieces, plain, strict=True) if yes])
-        single = self._encode_each([p for p, yes in zip(pieces, plain, strict=True) if not yes])
-        order = np.argsort(np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)]))
-        sizes = np.concatenate([joined[1], single[1]])
-        starts = np.cumsum(sizes) - sizes
-        return expand_ranges(np.concatenate([joined[0], single[0]]), starts[order], sizes[order]), sizes[order]
-
-    def _encode_joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Pieces that begin with their only white space, a blank, in few texts with a line feed between
-        them: it is a token of its own there, and shows where a piece ends."""
-        lines = ["\n".join(pieces[i : i + JOINED_PIECES]) for i in range(0, len(pieces), JOINED_PIECES)]
-        each = [[*e.ids, self.line_feed] for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)]
-        ids = np.fromiter(chain.from_iterable(each), np.uint32, sum(map(len, each)))
-        ends = np.flatnonzero(ids == self.line_feed)
-        if len(ends) != len(pieces):
-            return self._encode_each(pieces)
-        return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
-
-    def _encode_each(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        made = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, made), np.int64, len(made))
-        return np.fromiter(chain.from_iterable(made), np.uint32, int(sizes.sum())), sizes
+            number = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            new, self.known.new = self.known.new, []
+            ids, sizes = self._tokenized(new)
+            start = int(self.starts[before])
+            if start + len(ids) <= CACHE_IDS:
+                self.ids[start : start + len(ids)] = ids
+                self.starts[before + 1 : before + 1 + len(new)] = start + np.cumsum(sizes)
+                self.seen[number] += 1
+                return self.ids, self.starts[number], self.starts[number + 1] - self.starts[number]
+            self._forget()
+        # More than is remembered.
+        ids, sizes = self._tokenized(words)
+        return ids, np.cumsum(sizes) - sizes, sizes
+
+    def _tokenized(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words and how many each has. The byte at the end of a text has none."""
+        tokenize, ids, ends = self.model.tokenize, array("I"), []
+        for word in words:
+            if len(word) >= LONG_WORD:
+                # In numbers, not in objects for each token.
+                ids.extend(self.whole(word.translate(_SYMBOL_BYTES).encode("latin-1").decode()))
+            elif word != _END_WORD:
+                ids.extend([token.id for token in tokenize(word)])
+            ends.append(len(ids))
+        return np.array(ids, np.uint32), np.diff(np.array(ends, np.int64), prepend=0)
+
+
+def _joined(texts: Iterable[bytes]) -> np.ndarray:
+    """All texts with ``_END_BYTE`` after each."""
+    return np.frombuffer(b"".join(chain.from_iterable((text, _END_TEXT) for text in texts)), np.uint8)
+
+
+def _spelled(words: pa.Array) -> list[str]:
+    """Words in the characters that stand for their bytes."""
+    _, bounds, data = words.buffers()
+    bounds = np.frombuffer(bounds, np.int32)[words.offset : words.offset + len(words) + 1].tolist()
+    text = _BYTE_SYMBOLS[np.frombuffer(data, np.uint8)[: bounds[-1]]].tobytes().decode("utf-16-le")
+    return [text[a:b] for a, b in pairwise(bounds)]
+
+
+def _kind(c: str) -> int:
+    """Letter, number, white space or other, as tokenizers cut texts; odd if that may depend on the version of the tables."""
+    if c in _SPACES:
+        return _SPACE
+    now, before = (_GENERAL.get(table.category(c)[0], _OTHER) for table in (unicodedata, unicodedata.ucd_3_2_0))
+    return now if now == before and unicodedata.category(c) != "Cn" else _ODD
+
+
+_LETTER, _NUMBER, _OTHER, _SPACE, _END, _ODD = range(1, 7)
+_GENERAL = {"L": _LETTER, "N": _NUMBER}
+_SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_END_TEXT = b"\xff"
+# In no UTF-8 text.
+_END_BYTE = 0xFF
+_BYTE_KINDS = np.array([_kind(chr(b)) if b < 0x80 else _ODD for b in range(255)] + [_END], np.uint8)
+_BYTE_SYMBOLS = np.array([ord(c) for c in byte_symbols()], "<u2")
+_SYMBOL_BYTES = {ord(c): b for b, c in enumerate(byte_symbols())}
+_END_WORD = byte_symbols()[_END_BYTE]
+
+
+def _word_starts(text: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    r"""Where the words of byte-level BPE start: ``'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+``.
+
+    The byte after each text is a word too.
+    """
+    space = kinds == _SPACE
+    ends = kinds == _END
+    before_word = ~(space | ends)[1:]
+    start = ends.copy()
+    start[0] = True
+    # A blank belongs to the word after it.
+    start[1:] |= (kinds[1:] != kinds[:-1]) & ~((text[:-1] == ord(" ")) & before_word)
+    # The last of several spaces before a word stands apart from those before it.
+    last = np.flatnonzero(space[:-1] & before_word)
+    for _ in range(2):
+        last = np.where(text[last] & 0xC0 == 0x80, last - 1, last)
+    start[last] = True
+    at = np.flatnonzero(text == ord("'"))
+    at = at[start[at]]
+    one, two = text[at + 1], text[np.minimum(at + 2, len(text) - 1)]
+    short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+    long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    start[at[short | long] + 1] = False
+    start[at[short] + 2] = True
+    start[at[long] + 3] = True
+    return np.flatnonzero(start)
 
 
 _encoders: dict[str, TextEncoder] = {}
@@ -214,12 +287,12 @@ def expand_ranges(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -
 
 
 def _frequent_pairs(keys: np.ndarray, min_pairs: int) -> list[int]:
-    """The pairs in ``keys`` at least half as frequent as the most frequent one, that one first."""
+    """The pairs in ``keys`` at least an eighth as frequent as the most frequent one, that one first."""
     ranked = np.sort(keys)
     edge = np.flatnonzero(ranked[1:] != ranked[:-1])
     ends = np.append(edge, len(ranked) - 1)
     counts = np.diff(ends, prepend=-1)
-    frequent = np.flatnonzero(counts >= max(min_pairs, int(counts.max()) // 2))
+    frequent = np.flatnonzero(counts >= max(min_pairs, int(counts.max()) // 8))
     pairs, counts = ranked[ends[frequent]], counts[frequent]
     return pairs[np.lexsort((pairs, -counts))].tolist()
 
@@ -310,7 +383,10 @@ class Shard:
                 start, n = int(self.starts[part]), int(lengths[part])
                 self.expansions[at : at + n] = self.expansions[start : start + n]
                 at += n
-        self.ends = np.cumsum(lengths[self.symbols])
+
+    @cached_property
+    def ends(self) -> np.ndarray:
+        return np.cumsum(self.lengths[self.symbols])
 
     def _expanded(self, symbols: np.ndarray) -> np.ndarray:
         return expand_ranges(self.expansions, self.starts[symbols], self.lengths[symbols])
@@ -410,7 +486,9 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
                     row["part_start"] + starts,
                     ends - starts,
                     [zlib.crc32(x.tobytes()) for x in each],
-                ] + [[x.tolist() for x in each]] * with_ids
+                ]
+                if with_ids:
+                    columns.append([x.tolist() for x in each])
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
         give_back()
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridshard.llm.common import documents, fresh, map_texts
+from gridshard.llm.common import byte_symbols, documents, fresh, map_texts
 from gridshard.llm.repair import default_tokenizer, expand_ranges
 
 # Words and token ids that a task remembers; beyond that it starts anew.
@@ -54,13 +54,6 @@ _END = 0xFF
 _NEVER = np.int64(1) << 40
 
 
-def byte_symbols() -> list[str]:
-    """The character that stands for each byte in a byte-level vocabulary: itself if it can be printed, else the next of those from 256 on."""
-    printed = {*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    others = iter(range(256, 512))
-    return [chr(b) if b in printed else chr(next(others)) for b in range(256)]
-
-
 class _Known(dict):
     """Numbers words as they come up and lists the new ones."""
 

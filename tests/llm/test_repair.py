@@ -23,6 +23,38 @@ def test_texts_encode_as_the_tokenizer_does(texts):
     assert [x.tolist() for x in ENCODER.encode(texts)] == [direct(t) for t in texts]
 
 
+def test_characters_are_cut_as_the_tokenizer_does():
+    characters = [chr(c) for c in (*range(1, 0xD800), *range(0xE000, 0x10000), *range(0x1F300, 0x1FB00))]
+    texts = ["".join(f"a{c}1{c}!{c}  {c} \n{c}\t" for c in characters[i : i + 20]) for i in range(0, len(characters), 20)]
+    assert [x.tolist() for x in ENCODER.encode(texts)] == [direct(t) for t in texts]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("'stmdrevl  \n\u3000a1.")), max_size=4))
+def test_contractions_and_spaces_are_cut_as_the_tokenizer_does(texts):
+    assert [x.tolist() for x in ENCODER.encode(texts)] == [direct(t) for t in texts]
+
+
+def test_a_word_is_encoded_once_whatever_stands_around_it():
+    encoder = R.TextEncoder(PATH)
+    marks = [a + b for a in ".,;:!?*)" for b in ".,;:!?*)"]
+    texts = [" ".join(f"Reference{m}" for m in marks), "\n".join(f" Reference{m}" for m in marks)]
+    assert [x.tolist() for x in encoder.encode(texts)] == [direct(t) for t in texts]
+    # The word with a blank and without, the marks, a line feed and the end of a text.
+    assert len(encoder.known) <= len(marks) + 4
+
+
+def test_other_tokenizers_get_whole_texts(tmp_path):
+    from tokenizers import Tokenizer, normalizers
+
+    other = Tokenizer.from_file(PATH)
+    other.normalizer = normalizers.Lowercase()
+    other.save(path := str(tmp_path / "lower.json"))
+    texts = ["The CAT's hat", " É. ", None, ""]
+    got = R.TextEncoder(path).encode(texts)
+    assert [x.tolist() for x in got] == [other.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
 def test_encoding_beyond_the_cache(monkeypatch):
     monkeypatch.setattr(R, "CACHE_PIECES", 64)
     monkeypatch.setattr(R, "CACHE_IDS", 300)
@@ -31,6 +63,12 @@ def test_encoding_beyond_the_cache(monkeypatch):
     assert [x.tolist() for x in encoder.encode(texts)] == [direct(t) for t in texts]
 
 
+def test_long_words(monkeypatch):
+    monkeypatch.setattr(R, "LONG_WORD", 20)
+    texts = ["é" * 30 + " " + "ab" * 40 + "'s" + " " * 50 + "x", "\n" * 40, "你好" * 20 + "." * 25]
+    assert [x.tolist() for x in R.TextEncoder(PATH).encode(texts)] == [direct(t) for t in texts]
+
+
 def shard_of(n_base, rules, lengths, symbols):
     return R.Shard(n_base, *(x.astype("<u4").tobytes() for x in (rules, lengths, symbols)))
 

@@ -37,12 +37,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from gridshard.llm.common import discard, documents, fresh, give_back, map_texts, slices, written
+from gridshard.llm.common import discard, documents, give_back, map_texts, slices, written
 
 WORD_SHARE = 2.0**-15
 LEAST_COUNT = 8
 OTHER = 64
 WINDOW = 2
+NEIGHBOURS = (*range(-WINDOW, 0), *range(1, WINDOW + 1))
 WIDTH = 24
 ROUNDS = 4
 SHARD_WORDS = 1 << 22
@@ -51,13 +52,15 @@ BATCH = 4096
 RATE = 0.1
 FAN_IN = 64
 BLOCK_FLOATS = 8192
-CHUNK_WORDS = 1 << 15
+# What these make stays in the processor's cache.
+CHUNK_WORDS = 1 << 12
 CACHE_WORDS = 500_000
 HOT_WORDS = 1 << 18
 # Parts of shares are added as whole numbers, so their sum doesn't depend on their order.
 SHARE_UNIT = 2.0**-32
 # Words of a shard that are made into one array.
 HELD_WORDS = 1 << 18
+NAMES = ("n_words", "log_likelihood", "mean_log_probability")
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -136,11 +139,11 @@ class Codes(Numbers):
             del self[w]
         self.cold = []
 
-    def split(self, codes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The codes with classes for all words outside the vocabulary, and the shares at ``places``, 0 for cold words."""
+    def split(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The codes with classes for all words outside the vocabulary, and the shares of these words, 0 for cold words."""
         classes = np.concatenate([self.classes, np.array([self.vocabulary.other_class(w) for w in self.cold], np.int32)])
         shares = np.concatenate([self.shares, np.zeros(len(self.cold))])
-        return classes[codes], shares[codes[places]]
+        return classes[codes], shares[codes]
 
     def cold_counts(self, codes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Where each text's cold words begin, their places in ``cold`` and how often the text has each."""
@@ -185,63 +188,82 @@ class Network:
         return self
 
     def _forward(self, padded: np.ndarray, places: np.ndarray) -> tuple:
-        """Places by the group of their word, with hidden layer and both normalised log-probabilities."""
+        """Places by the group of their word, with hidden layer and both outputs, a column for each place."""
         order = np.argsort((padded[places] // self.groups).astype(np.uint8), kind="stable")
         places = places[order]
-        around = [padded[places + k] for k in (*range(-WINDOW, 0), *range(1, WINDOW + 1))]
-        hidden = self.inputs[0][around[0]] + self.hidden_bias
-        for table, ids in zip(self.inputs[1:], around[1:], strict=True):
-            hidden += table[ids]
+        hidden = np.zeros((len(places), WIDTH), self.inputs.dtype) + self.hidden_bias
+        for table, k in zip(self.inputs, NEIGHBOURS, strict=True):
+            hidden += table.take(padded[places + k], axis=0)
         np.maximum(hidden, 0, out=hidden)
         group, word = np.divmod(padded[places], self.groups)
         edges = np.searchsorted(group, np.arange(self.groups + 1))
-        by_group = hidden @ self.group_out.T + self.group_bias
+        # Sums and maxima over the rows of such arrays are several times as fast as over their columns.
+        columns = np.ones((WIDTH + 1, len(places)), hidden.dtype)
+        columns[:WIDTH] = hidden.T
+        by_group = np.concatenate([self.group_out, self.group_bias[:, None]], axis=1) @ columns
         by_word = np.empty_like(by_group)
+        weights = np.concatenate([self.word_out, self.word_bias[:, :, None]], axis=2)
         for g in np.flatnonzero(np.diff(edges)):
             a, b = edges[g], edges[g + 1]
-            by_word[a:b] = hidden[a:b] @ self.word_out[g].T + self.word_bias[g]
-        for z in (by_group, by_word):
-            z -= z.max(axis=1, keepdims=True)
-            z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-        return order, around, hidden, group, word, edges, by_group, by_word
+            np.matmul(weights[g], columns[:, a:b], out=by_word[:, a:b])
+        return order, hidden, group, word, edges, by_group, by_word
 
     def log_probabilities(self, padded: np.ndarray, places: np.ndarray) -> np.ndarray:
         out = np.empty(len(places), np.float32)
         for i in range(0, len(places), CHUNK_WORDS):
-            order, _, _, group, word, _, by_group, by_word = self._forward(padded, places[i : i + CHUNK_WORDS])
-            rows = np.arange(len(order))
-            out[i + order] = by_group[rows, group] + by_word[rows, word]
+            order, _, group, word, _, by_group, by_word = self._forward(padded, places[i : i + CHUNK_WORDS])
+            out[i + order] = _exponentials(by_group, group)[1] + _exponentials(by_word, word)[1]
         return out
 
     def gradients(self, padded: np.ndarray, places: np.ndarray, weights: np.ndarray | None = None) -> tuple[dict[str, np.ndarray], float]:
         """Of the mean log loss at ``places``, weighted if ``weights`` are given, and that loss."""
-        order, around, hidden, group, word, edges, by_group, by_word = self._forward(padded, places)
-        rows = np.arange(len(places))
+        out, ids, loss = self.sparse_gradients(padded, places, weights)
+        inputs = np.zeros_like(self.inputs)
+        inputs[:, ids] = out["inputs"]
+        return out | {"inputs": inputs}, loss
+
+    def sparse_gradients(self, padded: np.ndarray, places: np.ndarray, weights: np.ndarray | None = None) -> tuple[dict[str, np.ndarray], np.ndarray, float]:
+        """As ``gradients``, but of the inputs only the rows of the words that are there, and these words."""
+        order, hidden, group, word, edges, by_group, by_word = self._forward(padded, places)
+        at = np.arange(len(places))
         share = np.full(len(places), 1 / len(places), np.float32) if weights is None else (weights[order] / weights.sum()).astype(np.float32)
-        loss = -float((by_group[rows, group] + by_word[rows, word]) @ share)
-        out = {}
+        out, loss = {}, 0.0
         for z, target in ((by_group, group), (by_word, word)):
-            np.exp(z, out=z)
-            z[rows, target] -= 1
-            z *= share[:, None]
-        out["group_out"], out["group_bias"] = by_group.T @ hidden, by_group.sum(axis=0)
-        back = by_group @ self.group_out
+            total, logs = _exponentials(z, target)
+            loss -= float(logs @ share)
+            z *= share / total
+            z[target, at] -= share
+        out["group_out"], out["group_bias"] = by_group @ hidden, by_group.sum(axis=1)
+        back = by_group.T @ self.group_out
         out["word_out"], out["word_bias"] = np.zeros_like(self.word_out), np.zeros_like(self.word_bias)
-        for g in np.flatnonzero(np.diff(edges)):
+        used = np.flatnonzero(np.diff(edges))
+        out["word_bias"][used] = np.add.reduceat(by_word, edges[used], axis=1).T
+        for g in used:
             a, b = edges[g], edges[g + 1]
-            out["word_out"][g] = by_word[a:b].T @ hidden[a:b]
-            out["word_bias"][g] = by_word[a:b].sum(axis=0)
-            back[a:b] += by_word[a:b] @ self.word_out[g]
-        back[hidden <= 0] = 0
+            np.matmul(by_word[:, a:b], hidden[a:b], out=out["word_out"][g])
+            back[a:b] += by_word[:, a:b].T @ self.word_out[g]
+        back *= hidden > 0
         out["hidden_bias"] = back.sum(axis=0)
-        out["inputs"] = np.zeros_like(self.inputs)
-        for k, ids in enumerate(around):
-            # Of two bytes they are sorted by radix.
-            order = np.argsort(ids.astype(np.uint16), kind="stable")
-            ranked = ids[order]
-            at = np.flatnonzero(np.diff(ranked, prepend=-1))
-            out["inputs"][k][ranked[at]] = np.add.reduceat(back[order], at, axis=0)
-        return out, loss
+        # A word is a neighbour of the places around its own: words are ordered once and their sums made of the rows before and after.
+        low = places.min() - WINDOW
+        ids = padded[low : places.max() + WINDOW + 1]
+        rows = np.zeros((len(ids) + 2 * WINDOW, WIDTH), back.dtype)
+        rows[places[order] - low + WINDOW] = back
+        # Of two bytes they are sorted by radix.
+        by_id = np.argsort(ids.astype(np.uint16), kind="stable")
+        ranked = ids[by_id]
+        first = np.flatnonzero(np.diff(ranked, prepend=-1))
+        out["inputs"] = [np.add.reduceat(rows.take(by_id + WINDOW - k, axis=0), first, axis=0) for k in NEIGHBOURS]
+        return out, ranked[first], loss
+
+
+def _exponentials(z: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Makes ``z`` its exponentials, up to a factor for each column; their sums, and the log of what ``target`` has of them."""
+    z -= z.max(axis=0)
+    own = z[target, np.arange(len(target))]
+    np.exp(z, out=z)
+    total = z.sum(axis=0)
+    return total, own - np.log(total)
 
 
 class Trainer:
@@ -265,7 +287,12 @@ class Trainer:
         return self
 
     def step(self, padded: np.ndarray, places: np.ndarray, weights: np.ndarray | None = None) -> float:
-        grads, loss = self.network.gradients(padded, places, weights)
+        grads, ids, loss = self.network.sparse_gradients(padded, places, weights)
+        # The other rows' gradients are 0, which changes nothing.
+        for table, kept, g in zip(self.network.inputs, self.past["inputs"], grads.pop("inputs"), strict=True):
+            past = kept.take(ids, axis=0) + g * g
+            kept[ids] = past
+            table[ids] -= RATE * g / np.sqrt(past)
         for name, g in grads.items():
             self.past[name] += g * g
             getattr(self.network, name)[...] -= RATE * g / np.sqrt(self.past[name])
@@ -334,21 +361,24 @@ def hot_shares(shares: DataFrame) -> tuple[pa.Array, np.ndarray]:
     return hot["word"].cast(pa.binary()).combine_chunks(), hot["share"].to_numpy()
 
 
+def _in_two_bytes(ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """The numbers of each text's words, 2 bytes each."""
+    raw, ends = ids.astype("<u2").tobytes(), (2 * np.append(0, np.cumsum(sizes))).tolist()
+    return [raw[a:b] for a, b in zip(ends, ends[1:])]
+
+
 def training_texts(docs: DataFrame, text: str, words: Vocabulary) -> DataFrame:
     """(ids, copies, place): different texts as the numbers of their words, 2 bytes each, how many there are of each, and a hash."""
 
     def make():
         numbers = Numbers(words)
+        return lambda texts: [_in_two_bytes(*numbers.ids(texts))]
 
-        def compute(texts):
-            ids, sizes = numbers.ids(texts)
-            raw, ends = ids.astype("<u2").tobytes(), (2 * np.append(0, np.cumsum(sizes))).tolist()
-            return [[raw[a:b] for a, b in zip(ends, ends[1:])]]
+    return _different(map_texts(docs.select(F.col(f"`{text}`").alias("text")), make, [("ids", T.BinaryType())], []))
 
-        return compute
 
-    made = map_texts(docs.select(F.col(f"`{text}`").alias("text")), make, [("ids", T.BinaryType())], [])
-    return made.where(F.length("ids") > 0).groupBy("ids").agg(F.count("*").alias("copies")).withColumn("place", F.xxhash64("ids"))
+def _different(numbered: DataFrame) -> DataFrame:
+    return numbered.where(F.length("ids") > 0).groupBy("ids").agg(F.count("*").alias("copies")).withColumn("place", F.xxhash64("ids"))
 
 
 def _trained(texts: DataFrame, words: Vocabulary, counts: np.ndarray, shards: int, start) -> DataFrame:
@@ -413,17 +443,21 @@ def train(docs: DataFrame, text: str = "text", counts: DataFrame | None = None)
     words, totals = vocabulary(counted)
     if counts is None:
         discard(counted)
+    return _network(training_texts(docs, text, words), words, totals)
+
+
+def _network(different: DataFrame, words: Vocabulary, totals: np.ndarray) -> tuple[Vocabulary, Network] | None:
     n_words = int(totals.sum())
     if not n_words:
         return None
-    texts = written(training_texts(docs, text, words), "training")
+    texts = written(different, "training")
     shards = min(MAX_SHARDS, -(-n_words // SHARD_WORDS))
     start = None
     for r in range(ROUNDS):
         some = texts.where(F.pmod(F.shiftright("place", 40), F.lit(ROUNDS)) == r)
         values = _averaged(_trained(some, words, totals, shards, start), shards)
         if values is not None:
-            start = docs.sparkSession.sparkContext.broadcast(values)
+            start = texts.sparkSession.sparkContext.broadcast(values)
     discard(texts)
     return words, Trainer(Network(words, totals)).load(start.value).network
 
@@ -447,14 +481,33 @@ def scored(docs: DataFrame, model: tuple[Vocabulary, Network] | None, keep: list
     ``counts`` (word, n) say how likely each word of a class is; without them a word outside the vocabulary
     is scored as its class. Columns of ``docs`` with these names give way.
     """
-    names = ("n_words", "log_likelihood", "mean_log_probability")
-    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in names]
+    keep = _kept(docs, keep)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     if model is not None and counts is not None:
-        out = _scored_by_word(docs, shared, word_shares(counts, model[0]), keep, text, names)
-    else:
-        out = map_texts(docs, lambda: _by_class(shared), [(names[0], T.LongType()), (names[1], T.DoubleType())], keep, text)
-    return out.withColumn(names[2], F.when(F.col(names[0]) > 0, F.col(names[1]) / F.col(names[0])))
+        shares, unseen = word_shares(counts, model[0])
+        return _scored_by_word(_numbered(docs, model[0], shares, keep, text), shared, shares, unseen, keep)
+    return _with_mean(map_texts(docs, lambda: _by_class(shared), [(NAMES[0], T.LongType()), (NAMES[1], T.DoubleType())], keep, text))
+
+
+def trained_and_scored(docs: DataFrame, keep: list[str] | None = None, text: str = "text") -> DataFrame:
+    """As ``scored``, with the model that ``train`` makes of these texts and with their counts. Words are numbered once for both."""
+    keep = _kept(docs, keep)
+    counts = written(word_counts(docs, text), "word-counts")
+    words, totals = vocabulary(counts)
+    if not totals.sum():
+        return scored(docs, None, keep, text)
+    shares, unseen = word_shares(counts, words)
+    numbered = _numbered(docs, words, shares, keep, text)
+    model = _network(_different(numbered.select("ids")), words, totals)
+    return _scored_by_word(numbered, docs.sparkSession.sparkContext.broadcast(model), shares, unseen, keep)
+
+
+def _kept(docs: DataFrame, keep: list[str] | None) -> list[str]:
+    return [c for c in (docs.columns if keep is None else keep) if c.lower() not in NAMES]
+
+
+def _with_mean(scores: DataFrame) -> DataFrame:
+    return scores.withColumn(NAMES[2], F.when(F.col(NAMES[0]) > 0, F.col(NAMES[1]) / F.col(NAMES[0])))
 
 
 def _text_sums(each: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -476,45 +529,60 @@ def _by_class(shared):
     return compute
 
 
-def _scored_by_word(docs: DataFrame, shared, by_word: tuple[DataFrame, Column], keep: list[str], text: str, names: tuple[str, ...]) -> DataFrame:
-    """Texts are passed over once; what they have of words that aren't hot is joined with its shares and added."""
-    shares, unseen = by_word
-    hot = docs.sparkSession.sparkContext.broadcast(hot_shares(shares))
-    row, cold, more = (fresh(docs, c) for c in ("scored_row", "cold_words", "cold_share"))
+def _numbered(docs: DataFrame, words: Vocabulary, shares: DataFrame, keep: list[str], text: str) -> DataFrame:
+    """(kept_0, ..., row, ids, share, cold, times), written: columns ``keep``, a number for the row, the numbers of its words, 2 bytes
+    each, the sum of the shares of its hot words, and its other words outside the vocabulary with how often it has each."""
+    context = docs.sparkSession.sparkContext
+    known, hot = context.broadcast(words), context.broadcast(hot_shares(shares))
     words_type, counts_type = T.ArrayType(T.StringType()), T.ArrayType(T.IntegerType())
 
     def make():
         from pyspark.sql.pandas.types import to_arrow_type
 
-        words, network = shared.value
-        codes = Codes(words, *hot.value)
+        codes = Codes(known.value, *hot.value)
 
         def compute(texts):
-            padded, sizes = codes.padded(texts)
-            places = word_places(sizes)
-            ids, each = codes.split(padded, places)
-            each = each + network.log_probabilities(ids, places)
-            starts, which, n = codes.cold_counts(padded[places], sizes)
+            numbers, sizes = codes.ids(texts)
+            ids, each = codes.split(numbers)
+            starts, which, n = codes.cold_counts(numbers, sizes)
             left = pa.array(codes.cold, pa.binary()).cast(pa.string()).take(pa.array(which))
             codes.forget()
             starts = pa.array(starts, pa.int32())
             lists = [pa.ListArray.from_arrays(starts, v).cast(to_arrow_type(t)) for v, t in ((left, words_type), (pa.array(n, pa.int32()), counts_type))]
-            return sizes, _text_sums(each, sizes), *lists
+            return _in_two_bytes(ids, sizes), _text_sums(each, sizes), *lists
+
+        return compute
+
+    kept = docs.select(*(F.col(f"`{c}`").alias(f"kept_{i}") for i, c in enumerate(keep)), F.col(f"`{text}`").alias("text"))
+    fields = [("ids", T.BinaryType()), ("share", T.DoubleType()), ("cold", words_type), ("times", counts_type)]
+    made = map_texts(kept, make, fields, [c for c in kept.columns if c != "text"])
+    return written(made.withColumn("row", F.monotonically_increasing_id()), "numbered")
+
+
+def _scored_by_word(numbered: DataFrame, shared, shares: DataFrame, unseen: Column, keep: list[str]) -> DataFrame:
+    """The shares of words that aren't hot are joined by word and added to what the network says and to those of hot words."""
+    kept = [f"kept_{i}" for i in range(len(keep))]
+
+    def make():
+        words, network = shared.value
+
+        def compute(texts):
+            sizes = np.fromiter(map(len, texts), np.int64, len(texts)) // 2
+            padded = words.padded(np.frombuffer(b"".join(texts), "<u2"), sizes)
+            return sizes, _text_sums(network.log_probabilities(padded, word_places(sizes)), sizes)
 
         return compute
 
-    made = map_texts(docs, make, [(names[0], T.LongType()), (names[1], T.DoubleType()), (cold, words_type), (more, counts_type)], keep, text)
-    made = written(made.withColumn(row, F.monotonically_increasing_id()), "scored")
-    found = made.select(row, F.explode(F.arrays_zip(F.col(cold).alias("word"), F.col(more).alias("times"))).alias("found")).select(row, "found.*")
+    made = map_texts(numbered, make, [("n_words", T.LongType()), ("said", T.DoubleType())], [*kept, "row", "share"], "ids")
+    made = written(made, "scored")
+    found = numbered.select("row", F.explode(F.arrays_zip(F.col("cold").alias("word"), "times")).alias("found")).select("row", "found.*")
     found = found.join(shares.select("word", "share"), "word", "left")
     share = F.coalesce("share", unseen)
-    sums = found.groupBy(row).agg(F.sum(F.col("times") * F.round(share / SHARE_UNIT).cast("long")).alias(more))
-    whole = F.col(names[1]) + F.coalesce(F.col(more) * SHARE_UNIT, F.lit(0.0))
-    out = made.drop(cold, more).join(sums, row, "left")
-    return out.select(*(F.col(f"`{c}`") for c in keep), names[0], whole.alias(names[1]))
+    sums = found.groupBy("row").agg(F.sum(F.col("times") * F.round(share / SHARE_UNIT).cast("long")).alias("more"))
+    whole = F.col("said") + F.col("share") + F.coalesce(F.col("more") * SHARE_UNIT, F.lit(0.0))
+    out = made.join(sums, "row", "left").select(*(F.col(c).alias(name) for c, name in zip(kept, keep, strict=True)), F.col("n_words").alias(NAMES[0]), whole.alias(NAMES[1]))
+    return _with_mean(out)
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    counts = written(word_counts(docs), "word-counts")
-    return scored(docs, train(docs, counts=counts), ["doc_id"], counts=counts)
+    return trained_and_scored(documents(spark, sf_dir), ["doc_id"])

@@ -202,3 +202,43 @@ def test_numbering_holds_the_words_of_one_text():
     tracemalloc.stop()
     assert sizes.tolist() == [100] * 2000 and ids.tolist() == first[0].tolist()
     assert peak < 4_000_000
+
+
+def test_words_of_texts_are_numbered_once(make_docs, monkeypatch):
+    """For training and for scores, with what training and scoring apart give."""
+    monkeypatch.setattr(L, "LEAST_COUNT", 100)
+    monkeypatch.setattr(L, "HOT_WORDS", 7)
+    rng = random.Random(8)
+    rows = [(i, " ".join(["a", "b", "d"] * 9 + [f"w{int(rng.random() ** 3 * 60)}" for _ in range(40)]), "en", "s") for i in range(20)]
+    docs = make_docs([*rows, rows[3], (30, None, "en", "s"), (31, " \n", "en", "s"), (None, "a w1 zä", "en", "s")])
+    counts = L.word_counts(docs)
+    apart = L.scored(docs, L.train(docs, counts=counts), ["doc_id"], counts=counts)
+    read, map_texts = [], L.map_texts
+    monkeypatch.setattr(L, "documents", lambda *_: docs)
+    monkeypatch.setattr(L, "map_texts", lambda df, make, fields, keep=None, text="text": read.append(text) or map_texts(df, make, fields, keep, text))
+    together = L.op4(docs.sparkSession, "")
+    assert read == ["text", "ids"] and together.columns == apart.columns
+    got, wanted = ([sorted(map(tuple, df.fillna(-1.0, "mean_log_probability").fillna(-1, "doc_id").collect())) for df in (together, apart)])
+    assert len(got) == 24 and [r[:2] for r in got] == [r[:2] for r in wanted]
+    for a, b in zip(got, wanted, strict=True):
+        assert a[2:] == pytest.approx(b[2:], abs=1e-3)
+
+
+def test_a_step_changes_only_inputs_that_are_there():
+    """As much as one by the gradients of all inputs."""
+    rng = np.random.default_rng(5)
+    padded, sizes = WORDS.padded(rng.integers(0, WORDS.size, 40).astype(np.int32), np.array([7, 1, 32])), np.array([7, 1, 32])
+    places = L.word_places(sizes)[3:35]
+    trainer, net = L.Trainer(network(2)), network(2)
+    past = {n: np.full_like(getattr(net, n), 1e-6) for n in net.NAMES}
+    for _ in range(3):
+        ids, loss = trainer.network.sparse_gradients(padded, places)[1:]
+        grads, same = net.gradients(padded, places)
+        assert loss == pytest.approx(same, abs=1e-6) and len(ids) < 45
+        rest = np.setdiff1d(np.arange(WORDS.size + 1), ids)
+        assert not grads["inputs"][:, rest].any()
+        trainer.step(padded, places)
+        for name, g in grads.items():
+            past[name] += g * g
+            getattr(net, name)[...] -= L.RATE * g / np.sqrt(past[name])
+            assert np.allclose(getattr(net, name), getattr(trainer.network, name), atol=1e-5), name

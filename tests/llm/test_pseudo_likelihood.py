@@ -242,3 +242,27 @@ def test_a_step_changes_only_inputs_that_are_there():
             past[name] += g * g
             getattr(net, name)[...] -= L.RATE * g / np.sqrt(past[name])
             assert np.allclose(getattr(net, name), getattr(trainer.network, name), atol=1e-5), name
+
+
+def test_words_of_a_slice_are_those_of_each_text():
+    import pyarrow as pa
+
+    texts = ["  A b\t\tÄé \n", "", None, " \r\n", "c\x0bd\x0ce\x1cf\x85g h i\x00", "B", "x" * 9000]
+    words, sizes = L.split_words(pa.array(["left out", *texts]).slice(1))
+    assert [w.encode() for w in words.to_pylist()] == [w for t in texts for w in L.words_of(t)]
+    assert sizes.tolist() == [len(L.words_of(t)) for t in texts]
+    for none in ([], [None, ""]):
+        ids, sizes = L.Numbers(WORDS).ids(none)
+        assert len(ids) == 0 and sizes.tolist() == [0] * len(none)
+
+
+def test_each_different_word_is_looked_up_once():
+    class Counted(L.Numbers):
+        looked_up = 0
+
+        def __getitem__(self, word):
+            type(self).looked_up += 1
+            return super().__getitem__(word)
+
+    ids, sizes = Counted(WORDS).ids(["w1 w2 W1 other"] * 50 + [None, "w2"])
+    assert Counted.looked_up == 3 and ids[:4].tolist() == [1, 2, 1, WORDS.other_class(b"other")] and ids[-1] == 2 and sizes.sum() == 201

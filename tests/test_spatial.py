@@ -526,3 +526,24 @@ def test_few_pairs_leave_points_where_they_are(spark):
     left = spark.range(2000).coalesce(1).selectExpr("id AS id1", "id / 2000D AS x1", "0.25D AS y1")
     right = spark.range(40).selectExpr("id AS id2", "0.5D AS x2", "id / 40D AS y2")
     assert len(_pairs_by_partition(spatial.distance_join(left, right, 2.0))) == 1
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+def test_pairs_of_neighbours_are_made_together(spark, monkeypatch, strategy):
+    """Pairs of a cell come in the order of their points; in the broadcast form a task has few of the cells, and so of the boxes."""
+    for module in (box_join, skew):
+        monkeypatch.setattr(module, "PAIRS_PER_PARTITION", 1 << 14 if strategy == "broadcast" else 1 << 16)
+    points = spark.range(16_000).selectExpr("id AS pid", "id * 7919 % 16000 / 400D AS x", "id * 10477 % 15991 / 400D AS y")
+    rects = spark.range(100).selectExpr("id AS rid", "id % 10 * 4 - 8D AS x1", "id div 10 * 4 - 8D AS y1", "id % 10 * 4 + 8D AS x2", "id div 10 * 4 + 8D AS y2")
+    pairs = spatial.range_join(points, rects, strategy=strategy)
+    number = F.monotonically_increasing_id().alias("n")
+    rows = sorted(pairs.select("rid", "pid", "x", "y", F.spark_partition_id().alias("part"), number).collect(), key=lambda r: r.n)
+    expected = points.join(rects, F.expr("x BETWEEN x1 AND x2 AND y BETWEEN y1 AND y2")).select("rid", "pid").collect()
+    assert sorted((r.rid, r.pid) for r in rows) == sorted((r.rid, r.pid) for r in expected)
+    places, boxes = {}, {}
+    for r in rows:
+        places.setdefault((r.part, r.x // 4, r.y // 4), []).append((r.x, r.y))
+        boxes.setdefault(r.part, set()).add(r.rid)
+    assert all(p == sorted(p) for p in places.values())
+    if strategy == "broadcast":
+        assert len(boxes) > 8 and max(map(len, boxes.values())) <= 70

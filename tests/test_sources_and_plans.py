@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gridshard.operators import integrity
 from gridshard.plans import hot_spots, ratings_layouts, schema_check, spatial_queries
-from gridshard.sources import scratch, text
+from gridshard.sources import scratch, sinks, text
 from gridshard.sources.schemas import RATINGS_SCHEMA, TableSpec
 from gridshard.sources.sinks import write_csv_results
 
@@ -260,3 +260,21 @@ def test_csv_query_compresses_its_pairs(spark, monkeypatch):
     monkeypatch.setattr(queries.inputs, "table", lambda *_: table)
     assert queries.sink_csv(spark, "").where("result = 1").count() > 0
     assert list(Path(made[1]).glob("part-*.gz")) and not list(Path(made[1]).glob("part-*.csv"))
+
+
+ODD_TEXTS = ["1,2", "a", "", None, 'say "hi", you', "back\\slash,", '\\"', " spaced , out ", "tab\tin", "é,ü", "#x,", '","', "'q'"]
+
+
+def test_lines_of_finished_fields_are_those_of_the_csv_writer(spark, tmp_path):
+    """And are read as Spark's reader has them, whichever way a line is taken."""
+    rows = [(a, b) for a in ODD_TEXTS for b in ODD_TEXTS if a is not None or b is not None]
+    pairs = spark.createDataFrame(rows, "a string, b string")
+    lines = sinks.csv_lines(sinks.csv_fields(pairs, "a", "b"))
+    ours, theirs = sinks.write_csv_results([lines, pairs], str(tmp_path / "r"), "gzip")
+    assert list(Path(ours).glob("part-*.gz"))
+    texts = [sorted(r.value for r in spark.read.text(path).collect()) for path in (ours, theirs)]
+    assert texts[0] == texts[1]
+    read = [text.scan_csv_texts(spark, ours, "a", "b"), spark.read.schema("a string, b string").csv(theirs)]
+    assert [df.columns for df in read] == [["a", "b"]] * 2
+    a, b = ([tuple(r) for r in df.collect()] for df in read)
+    assert sorted(a, key=str) == sorted(b, key=str)
